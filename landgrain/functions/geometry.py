@@ -87,6 +87,35 @@ def segment(x0, y0, x1, y1) -> Column:
     )
 
 
+def box_sql(x0: str, y0: str, x1: str, y1: str) -> str:
+    """SQL text of `rectangle`, for building layers from expressions."""
+    ring = ", ".join(_vertex_sql(x, y) for x, y in ((x0, y0), (x0, y1), (x1, y1), (x1, y0), (x0, y0)))
+    return _geometry_sql(2, ring, x0, y0, x1, y1, "true")
+
+
+def segment_sql(x0: str, y0: str, x1: str, y1: str) -> str:
+    """SQL text of `segment`."""
+    ring = f"{_vertex_sql(x0, y0)}, {_vertex_sql(x1, y1)}"
+    low, high = f"least({x0}, {x1})", f"greatest({x0}, {x1})"
+    return _geometry_sql(1, ring, low, f"least({y0}, {y1})", high, f"greatest({y0}, {y1})", f"({x0}) = ({x1}) OR ({y0}) = ({y1})")
+
+
+def point_sql(x: str, y: str) -> str:
+    """SQL text of `point`."""
+    return _geometry_sql(0, _vertex_sql(x, y), x, y, x, y, "true")
+
+
+def _vertex_sql(x: str, y: str) -> str:
+    return f"named_struct('x', double({x}), 'y', double({y}))"
+
+
+def _geometry_sql(dim: int, ring: str, xmin: str, ymin: str, xmax: str, ymax: str, boxy: str) -> str:
+    return (
+        f"named_struct('parts', array(named_struct('dim', {dim}, 'rings', array(array({ring})))), 'xmin', double({xmin}), "
+        f"'ymin', double({ymin}), 'xmax', double({xmax}), 'ymax', double({ymax}), 'boxy', {boxy})"
+    )
+
+
 def line(ring: Column) -> Column:
     """A line through an array of vertices."""
     return from_parts(F.array(part(1, F.array(_col(ring)))))

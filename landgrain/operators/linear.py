@@ -243,7 +243,7 @@ def buffer_spans(
         g,
         *[F.lit(None).cast("double").alias(f"_f{c}") for c in ("x0", "y0", "x1", "y1")],
     )
-    shapes = not only_boxes(polygons)
+    shapes = not only_boxes(features.where(F.exists(g["parts"], lambda p: p["dim"] == 2)))
     pairs = candidates(left, outline.unionAll(polygons), grid, far, once=False)
     if exclude:
         pairs = pairs.where(F.col("_own") != F.col(ex_feat))
@@ -299,7 +299,7 @@ def boundary_proportion(
     if parcels is None:
         joined = base.join(covered, segment_key)
     else:
-        feats = features.select(*columns, *([exclude[1]] if exclude and exclude[1] not in columns else []), "geometry").dropDuplicates()
+        feats = features.select(*columns, *([exclude[1]] if exclude and exclude[1] not in columns else []), "geometry")
         met = sjoin(parcels.select(F.col(key).alias("_parcel"), "geometry"), feats, float(max(buffers)), grid)
         if exclude:
             met = met.where(F.col("_parcel") != F.col(exclude[1]))

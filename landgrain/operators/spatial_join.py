@@ -69,15 +69,13 @@ def choose_cell(left: DataFrame, right: DataFrame, distance: float = 0.0) -> flo
 
 def list_cells(df: DataFrame, cell: float, margin: float = 0.0, names=("_cx", "_cy")) -> DataFrame:
     """One row per grid cell the envelope touches; the envelope is grown by `margin`."""
-    g = F.col("geometry")
-    cols = df.columns
+
+    def span(axis):
+        low, high = f"floor((geometry.{axis}min - {margin}) / {cell})", f"floor((geometry.{axis}max + {margin}) / {cell})"
+        return f"explode(sequence({low}, {high}))"
+
     cx, cy = names
-    return (
-        df.where(g["xmin"].isNotNull())
-        .withColumn(cx, F.explode(F.sequence(F.floor((g["xmin"] - margin) / cell), F.floor((g["xmax"] + margin) / cell))))
-        .withColumn(cy, F.explode(F.sequence(F.floor((g["ymin"] - margin) / cell), F.floor((g["ymax"] + margin) / cell))))
-        .select(*cols, cx, cy)
-    )
+    return df.where("geometry.xmin IS NOT NULL").selectExpr("*", f"{span('x')} AS {cx}").selectExpr("*", f"{span('y')} AS {cy}")
 
 
 def _quarter_levels(right: DataFrame, cell: float, crowd: int) -> DataFrame:
@@ -137,8 +135,8 @@ def _slices(lcells: DataFrame, rcells: DataFrame, crowd: int) -> DataFrame:
     """Cells still crowded on either side, with slice counts."""
     keys = ["_level", "_cx", "_cy"]
     loads = (
-        lcells.select(*keys, F.lit(1).alias("nl"), F.lit(0).alias("nr"))
-        .unionAll(rcells.select(*keys, F.lit(0).alias("nl"), F.lit(1).alias("nr")))
+        lcells.selectExpr(*keys, "1 AS nl", "0 AS nr")
+        .unionAll(rcells.selectExpr(*keys, "0 AS nl", "1 AS nr"))
         .groupBy(*keys)
         .agg(F.sum("nl").alias("nl"), F.sum("nr").alias("nr"))
     )
@@ -172,9 +170,8 @@ def place(left: DataFrame, right: DataFrame, grid: Grid, margin: float = 0.0) ->
             lcells, rcells = _apply_levels(lcells, levels, cell, margin), _apply_levels(rcells, levels, cell, 0.0)
             slices = _slices(lcells, rcells, crowd)
     if slices is None:
-        lcells = lcells.withColumns({"_level": F.lit(0), "_i": F.lit(0), "_j": F.lit(0)})
-        rcells = rcells.withColumns({"_level": F.lit(0), "_i": F.lit(0), "_j": F.lit(0)})
-        return lcells, rcells, cell, False
+        plain = ["*", "0 AS _level", "0 AS _i", "0 AS _j"]
+        return lcells.selectExpr(*plain), rcells.selectExpr(*plain), cell, False
 
     def cut(cells, own, count_own, other, count_other):
         joined = cells.join(F.broadcast(slices), ["_level", "_cx", "_cy"], "left")
@@ -211,18 +208,14 @@ def plan_candidates(
     clash = set(lnames) & set(rnames)
     lcells = lcells.withColumnsRenamed({c: c + lsuffix for c in clash})
     rcells = rcells.withColumnsRenamed({c: c + rsuffix for c in clash})
-    gl, gr = F.col("geometry" + lsuffix), F.col("geometry" + rsuffix)
-    m = F.lit(float(margin))
+    gl, gr, m = "geometry" + lsuffix, "geometry" + rsuffix, float(margin)
     pairs = lcells.join(rcells, KEY).where(
-        (gl["xmin"] - m <= gr["xmax"]) & (gr["xmin"] <= gl["xmax"] + m) & (gl["ymin"] - m <= gr["ymax"]) & (gr["ymin"] <= gl["ymax"] + m)
+        f"{gl}.xmin - {m} <= {gr}.xmax AND {gr}.xmin <= {gl}.xmax + {m} AND {gl}.ymin - {m} <= {gr}.ymax AND {gr}.ymin <= {gl}.ymax + {m}"
     )
-    pairs = pairs.withColumn("_side", F.lit(cell) / F.pow(F.lit(2.0), F.col("_level")))
-    if not sliced:
-        pairs = pairs.withColumn("_sr", F.lit(1))
+    pairs = pairs.selectExpr("*", f"{cell} / power(2D, _level) AS _side", *([] if sliced else ["1 AS _sr"]))
     if once:
         pairs = pairs.where(
-            (F.col("_cx") == F.floor(F.greatest(gl["xmin"] - m, gr["xmin"]) / F.col("_side")))
-            & (F.col("_cy") == F.floor(F.greatest(gl["ymin"] - m, gr["ymin"]) / F.col("_side")))
+            f"_cx = floor(greatest({gl}.xmin - {m}, {gr}.xmin) / _side) AND _cy = floor(greatest({gl}.ymin - {m}, {gr}.ymin) / _side)"
         )
     return pairs, sliced
 

@@ -100,14 +100,14 @@ def _spark(expr: str) -> str:
     return expr.replace("//", "DIV").replace("varchar(20)", "string")
 
 
-def layer(spark: SparkSession, sf_dir: str, name: str, distinct_key: bool = True) -> DataFrame:
+def layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A layer with its integer columns and a `geometry` of boxes, lines or points."""
     source, cols = LAYERS[name]
     named = table(spark, sf_dir, source).selectExpr(*[f"{_spark(e)} AS `{c}`" for c, e in cols.items()])
-    x0, y0 = F.col("x0"), F.col("y0")
-    x1, y1 = x0 + F.col("w"), y0 + F.col("h")
-    kind = {"trees": G.point(x0, y0), "hedges": G.segment(x0, y0, x1, y1), "walls": G.segment(x0, y0, x1, y1)}
-    return named.withColumn("geometry", kind.get(name, G.rectangle(x0, y0, x1, y1)))
+    shape = {"trees": G.point_sql("x0", "y0")}.get(name)
+    if shape is None:
+        shape = (G.segment_sql if name in ("hedges", "walls") else G.box_sql)("x0", "y0", "x0 + w", "y0 + h")
+    return named.selectExpr("*", f"{shape} AS geometry")
 
 
 def layer_sql(name: str) -> str:
@@ -123,22 +123,12 @@ def with_sql(*names: str) -> str:
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four sides of every parcel: west, north, east, south."""
-    p = layer(spark, sf_dir, "parcels")
-    x0, y0 = F.col("x0"), F.col("y0")
-    x1, y1 = x0 + F.col("w"), y0 + F.col("h")
-
-    def side(n, ax, ay, bx, by, m):
-        return F.struct(
-            (F.col("k") * 4 + n).alias("id_boundary"), G.segment(ax, ay, bx, by).alias("geometry"), m.cast("double").alias("m")
-        )
-
-    sides = F.array(
-        side(0, x0, y0, x0, y1, F.col("h")),
-        side(1, x0, y1, x1, y1, F.col("w")),
-        side(2, x1, y1, x1, y0, F.col("h")),
-        side(3, x1, y0, x0, y0, F.col("w")),
+    corners = [("x0", "y0", "x0", "y0 + h", "h"), ("x0", "y0 + h", "x0 + w", "y0 + h", "w"), ("x0 + w", "y0 + h", "x0 + w", "y0", "h"), ("x0 + w", "y0", "x0", "y0", "w")]
+    sides = ", ".join(
+        f"named_struct('id_boundary', k * 4 + {n}, 'geometry', {G.segment_sql(ax, ay, bx, by)}, 'm', double({m}))"
+        for n, (ax, ay, bx, by, m) in enumerate(corners)
     )
-    return p.select("id_parcel", F.inline(sides))
+    return layer(spark, sf_dir, "parcels").selectExpr("id_parcel", f"inline(array({sides}))")
 
 
 SEGMENTS_SQL = """segments AS (
