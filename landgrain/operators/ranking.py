@@ -34,9 +34,13 @@ def row_numbers(
 ) -> DataFrame:
     """1-based position of every row in the order (value, tie), within keys if given.
 
-    `tie` must be unique per value; `value` numeric and not null.
+    `tie` must be unique per value; `value` numeric and not null.  A tie column
+    that is not numeric orders by its hash.
     """
     keys = list(keys)
+    if dict(df.dtypes)[tie] in ("string", "binary", "boolean") or dict(df.dtypes)[tie].startswith(("struct", "array")):
+        hashed = row_numbers(df.withColumn("_tie", F.xxhash64(tie)), value, "_tie", keys, name, descending, buckets)
+        return hashed.drop("_tie")
     work = df.withColumn("_v", -F.col(value)) if descending else df.withColumn("_v", F.col(value))
     qs = _bounds(work, "_v", buckets)
     cuts = sorted(set(qs))

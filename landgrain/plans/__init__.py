@@ -1,6 +1,6 @@
 """Registered queries."""
 
 from landgrain.plans.book import CHECKS, QUERIES
-from landgrain.plans import columns, rows, spatial  # noqa: F401
+from landgrain.plans import columns, datasets, domain, rows, spatial  # noqa: F401
 
 __all__ = ["CHECKS", "QUERIES"]

@@ -721,7 +721,7 @@ def _o15_ctes():
         with_sql("parcels", "hedges", "walls", "water")
         + f", {SEGMENTS_SQL}, feats AS ({feats}), "
         + spans_sql("cov", "feats", [12], "use")
-        + """, ends AS (SELECT DISTINCT id_boundary, t FROM (SELECT id_boundary, t0 AS t FROM cov_spans UNION ALL SELECT id_boundary, t1 FROM cov_spans
+        + """, ends AS (SELECT DISTINCT id_boundary, t FROM (SELECT id_boundary, t0 AS t FROM cov_spans WHERE t1 > t0 UNION ALL SELECT id_boundary, t1 FROM cov_spans WHERE t1 > t0
             UNION ALL SELECT id_boundary, CASE WHEN sx0 = sx1 THEN least(sy0, sy1) ELSE least(sx0, sx1) END FROM segments
             UNION ALL SELECT id_boundary, CASE WHEN sx0 = sx1 THEN greatest(sy0, sy1) ELSE greatest(sx0, sx1) END FROM segments)),
         cells AS (SELECT id_boundary, t AS a, lead(t) OVER (PARTITION BY id_boundary ORDER BY t) AS b FROM ends),

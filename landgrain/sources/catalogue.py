@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from landgrain.functions.text import short_hash
+from landgrain.operators.spatial_join import durable
 from landgrain.operators.tables import rename_to_model
 from landgrain.sources import writers
 from landgrain.sources.readers import read_parquet
@@ -195,18 +196,29 @@ def source_hash(spark: SparkSession, d: Dataset) -> DataFrame:
 
 
 def lineage(edges: DataFrame) -> DataFrame:
-    """Transitive closure of (name, parent)."""
-    edges.createOrReplaceTempView("_lineage_edges")
-    return edges.sparkSession.sql(
-        """
-        WITH RECURSIVE walk(name, ancestor, depth) AS (
-            SELECT name, parent, 1 FROM _lineage_edges
-            UNION ALL
-            SELECT w.name, e.parent, w.depth + 1 FROM walk w JOIN _lineage_edges e ON w.ancestor = e.name
-        )
-        SELECT name, ancestor, max(depth) AS depth FROM walk GROUP BY name, ancestor
-        """
-    )
+    """Transitive closure of (name, parent) with the longest path between the two.
+
+    One join per level of depth, each from a checkpoint of the level before, so
+    neither the plan nor a recursion limit grows with the catalogue.
+    """
+    steps = edges.select("name", "parent").distinct()
+    walk = steps.select("name", F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
+    found, depth = walk, 1
+    while True:
+        depth += 1
+        if depth > 10_000:
+            raise ValueError("dependencies form a cycle")
+        hop = steps.withColumnsRenamed({"name": "ancestor", "parent": "_next"})
+        walk = durable(walk.join(hop, "ancestor").select("name", F.col("_next").alias("ancestor"), F.lit(depth).alias("depth")).distinct())
+        if walk.isEmpty():
+            break
+        found = found.unionAll(walk)
+    return found.groupBy("name", "ancestor").agg(F.max("depth").alias("depth"))
+
+
+def impact(edges: DataFrame) -> DataFrame:
+    """How many datasets are downstream of each."""
+    return lineage(edges).groupBy("ancestor").agg(F.count("*").alias("n_downstream"))
 
 
 def build_levels(names: DataFrame, edges: DataFrame) -> DataFrame:
@@ -225,5 +237,5 @@ def derive_hashes(known: DataFrame, table: DataFrame, edges: DataFrame, levels:
             F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "_h"))), lambda s: s["_h"]), "-").alias("_joined")
         )
         made = parts.join(table, "name").select("name", short_hash(F.col("_joined"), F.nullif(F.col("version"), F.lit(""))).alias("hash"))
-        out = out.unionAll(made)
+        out = durable(out.unionAll(made))
     return out
