@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landgrain.functions import geometry as G
-from landgrain.functions.kernels import PartsReader, write_parts
+from landgrain.functions.kernels import PartsReader, write_geometries
 
 # OGC well-known binary codes, 2-D.
 TYPE_CODES = {"Point": 1, "LineString": 2, "Polygon": 3, "MultiPoint": 4, "MultiLineString": 5, "MultiPolygon": 6, "GeometryCollection": 7}
@@ -144,16 +144,16 @@ def _read_geojson(text: str):
 
 
 def _decoder(parse):
-    @F.arrow_udf(returnType=G.PARTS_TYPE)
+    @F.arrow_udf(returnType=G.GEOMETRY_TYPE)
     def decode(values: pa.Array) -> pa.Array:
-        return write_parts([None if v is None else parse(v) for v in values.to_pylist()])
+        return write_geometries([None if v is None else parse(v) for v in values.to_pylist()])
 
     return decode
 
 
-_wkb_parts = _decoder(lambda v: _read_wkb(v)[0])
-_wkt_parts = _decoder(_read_wkt)
-_geojson_parts = _decoder(_read_geojson)
+_wkb_geometry = _decoder(lambda v: _read_wkb(v)[0])
+_wkt_geometry = _decoder(_read_wkt)
+_geojson_geometry = _decoder(_read_geojson)
 
 
 @F.arrow_udf(returnType=T.BinaryType())
@@ -163,15 +163,15 @@ def _parts_wkb(parts: pa.Array) -> pa.Array:
 
 
 def from_wkb(column) -> Column:
-    return G.from_parts(_wkb_parts(G._col(column)))
+    return _wkb_geometry(G._col(column))
 
 
 def from_wkt(column) -> Column:
-    return G.from_parts(_wkt_parts(G._col(column)))
+    return _wkt_geometry(G._col(column))
 
 
 def from_geojson(column) -> Column:
-    return G.from_parts(_geojson_parts(G._col(column)))
+    return _geojson_geometry(G._col(column))
 
 
 def to_wkb(g) -> Column:

@@ -28,6 +28,13 @@ GEOMETRY = f"struct<parts:{PARTS},xmin:double,ymin:double,xmax:double,ymax:doubl
 VERTEX_TYPE = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 PART_TYPE = T.StructType([T.StructField("dim", T.IntegerType()), T.StructField("rings", T.ArrayType(T.ArrayType(VERTEX_TYPE)))])
 PARTS_TYPE = T.ArrayType(PART_TYPE)
+GEOMETRY_TYPE = T.StructType(
+    [
+        T.StructField("parts", PARTS_TYPE),
+        *[T.StructField(n, T.DoubleType()) for n in ("xmin", "ymin", "xmax", "ymax")],
+        T.StructField("boxy", T.BooleanType()),
+    ]
+)
 
 
 def _col(c) -> Column:
@@ -141,8 +148,8 @@ def from_parts(parts: Column) -> Column:
     xmin, xmax, ymin, ymax = F.array_min(xs), F.array_max(xs), F.array_min(ys), F.array_max(ys)
     first = F.get(parts, F.lit(0))
     flat = (xmin == xmax) | (ymin == ymax)
-    full = (F.size(first["rings"]) == 1) & (_parts_area(parts) == (xmax - xmin) * (ymax - ymin))
-    boxy = (F.size(parts) == 1) & F.when(first["dim"] == 0, F.lit(True)).when(first["dim"] == 1, flat).otherwise(full & ~flat)
+    fills = (F.size(first["rings"]) == 1) & (_parts_area(parts) == (xmax - xmin) * (ymax - ymin))
+    boxy = F.when(F.size(parts) != 1, F.lit(False)).when(first["dim"] == 0, F.lit(True)).when(first["dim"] == 1, flat).otherwise(~flat & fills)
     return F.when(parts.isNotNull(), _geometry(parts, xmin, ymin, xmax, ymax, F.coalesce(boxy, F.lit(False))))
 
 
@@ -358,18 +365,21 @@ def _map_vertices(parts: Column, fn) -> Column:
 
 
 def snap(g, precision: float = 1.0) -> Column:
-    """Round coordinates to a grid."""
-    p = F.lit(float(precision))
-    parts = _map_vertices(
-        _col(g)["parts"],
-        lambda v: F.struct((F.floor(v["x"] / p + 0.5) * p).alias("x"), (F.floor(v["y"] / p + 0.5) * p).alias("y")),
-    )
-    return from_parts(parts)
+    """Round coordinates to a grid; rounding keeps order, so the envelope is the rounded envelope."""
+    g, p = _col(g), F.lit(float(precision))
+
+    def to_grid(v):
+        return F.floor(v / p + 0.5) * p
+
+    parts = _map_vertices(g["parts"], lambda v: F.struct(to_grid(v["x"]).alias("x"), to_grid(v["y"]).alias("y")))
+    return _geometry(parts, *[to_grid(g[c]) for c in ("xmin", "ymin", "xmax", "ymax")], g["boxy"])
 
 
 def flip(g) -> Column:
     """Swap the axes."""
-    return from_parts(_map_vertices(_col(g)["parts"], lambda v: F.struct(v["y"].alias("x"), v["x"].alias("y"))))
+    g = _col(g)
+    parts = _map_vertices(g["parts"], lambda v: F.struct(v["y"].alias("x"), v["x"].alias("y")))
+    return _geometry(parts, g["ymin"], g["xmin"], g["ymax"], g["xmax"], g["boxy"])
 
 
 def is_empty(g) -> Column:

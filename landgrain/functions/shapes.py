@@ -13,30 +13,30 @@ from landgrain.functions import kernels as K
 
 
 def _rewriter(fn):
-    """Column function: parts in, parts out, row by row on flat buffers."""
+    """Column function: parts in, geometry out, row by row on flat buffers."""
 
-    @F.arrow_udf(returnType=G.PARTS_TYPE)
+    @F.arrow_udf(returnType=G.GEOMETRY_TYPE)
     def run(parts: pa.Array) -> pa.Array:
         rows = K.PartsReader(parts)
-        return K.write_parts([fn(rows.parts(i)) if rows.valid[i] else None for i in range(len(rows))])
+        return K.write_geometries([fn(rows.parts(i)) if rows.valid[i] else None for i in range(len(rows))])
 
     return run
 
 
 def _splitter(fn):
-    """Column function: parts in, array of parts out."""
+    """Column function: parts in, array of geometries out."""
 
-    @F.arrow_udf(returnType=T.ArrayType(G.PARTS_TYPE))
+    @F.arrow_udf(returnType=T.ArrayType(G.GEOMETRY_TYPE))
     def run(parts: pa.Array) -> pa.Array:
         rows = K.PartsReader(parts)
-        return K.write_parts_lists([fn(rows.parts(i)) if rows.valid[i] and rows.parts(i) else [] for i in range(len(rows))])
+        return K.write_geometry_lists([fn(rows.parts(i)) if rows.valid[i] and rows.parts(i) else [] for i in range(len(rows))])
 
     return run
 
 
 def apply_parts(g, fn) -> Column:
     """An arbitrary function over [(dim, [ring])] of each geometry."""
-    return G.from_parts(_rewriter(fn)(G._col(g)["parts"]))
+    return _rewriter(fn)(G._col(g)["parts"])
 
 
 def clean(g, tolerance: float = 1.0, precision: float = 1.0) -> Column:
@@ -49,18 +49,14 @@ def simplify(g, tolerance: float) -> Column:
     return apply_parts(g, lambda p: K.simplify(p, tolerance))
 
 
-def _geometries(pieces: Column) -> Column:
-    return F.transform(pieces, G.from_parts)
-
-
 def subdivide(g, max_vertices: int = 256, max_depth: int = 100, max_area: float | None = None) -> Column:
     """Array of pieces of at most max_vertices vertices (or max_area envelope area)."""
-    return _geometries(_splitter(lambda p: K.halve_until(p, max_vertices, max_depth, max_area))(G._col(g)["parts"]))
+    return _splitter(lambda p: K.halve_until(p, max_vertices, max_depth, max_area))(G._col(g)["parts"])
 
 
 def fishnet(g, size: float) -> Column:
     """Array of pieces cut by a fixed square grid."""
-    return _geometries(_splitter(lambda p: K.fishnet(p, size))(G._col(g)["parts"]))
+    return _splitter(lambda p: K.fishnet(p, size))(G._col(g)["parts"])
 
 
 def segmentise(g, tolerance: float = 10.0, longest: float = 50.0) -> Column:
@@ -69,7 +65,7 @@ def segmentise(g, tolerance: float = 10.0, longest: float = 50.0) -> Column:
     def cut(parts):
         return [[(1, [piece])] for dim, rings in parts if dim == 1 for ring in rings for piece in K.segmentise(ring, tolerance, longest)]
 
-    return _geometries(_splitter(cut)(G._col(g)["parts"]))
+    return _splitter(cut)(G._col(g)["parts"])
 
 
 def chords(g, spacing: float = 10.0) -> Column:
@@ -78,19 +74,19 @@ def chords(g, spacing: float = 10.0) -> Column:
     def cut(parts):
         return [[(1, [piece])] for dim, rings in parts if dim == 1 for ring in rings for piece in K.chords(ring, spacing)]
 
-    return _geometries(_splitter(cut)(G._col(g)["parts"]))
+    return _splitter(cut)(G._col(g)["parts"])
 
 
-@F.arrow_udf(returnType=G.PARTS_TYPE)
+@F.arrow_udf(returnType=G.GEOMETRY_TYPE)
 def _clip(parts: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
     rows = K.PartsReader(parts)
     box = [c.to_numpy(zero_copy_only=False) for c in (x0, y0, x1, y1)]
-    return K.write_parts([K.clip_box(rows.parts(i), *(b[i] for b in box)) if rows.valid[i] else None for i in range(len(rows))])
+    return K.write_geometries([K.clip_box(rows.parts(i), *(b[i] for b in box)) if rows.valid[i] else None for i in range(len(rows))])
 
 
 def clip_to_box(g, x0, y0, x1, y1) -> Column:
     """The part of a geometry inside a box; boxes and points are clipped in closed form by callers."""
-    return G.from_parts(_clip(G._col(g)["parts"], *[G._dbl(c) for c in (x0, y0, x1, y1)]))
+    return _clip(G._col(g)["parts"], *[G._dbl(c) for c in (x0, y0, x1, y1)])
 
 
 @F.arrow_udf(returnType=T.DoubleType())

@@ -323,34 +323,39 @@ def boundary_adjacency(
 # -- merging boundary tables ---------------------------------------------------
 
 
+def use_flags(shares: DataFrame, uses: list[str], threshold: str = "0.5 < proportion_12m", use: str = "use", segment_key: str = "id_boundary") -> DataFrame:
+    """One row per segment with a flag per use, from shares listed by use; null where a use was never near."""
+    flagged = shares.withColumn("_f", F.expr(threshold))
+    return flagged.groupBy(segment_key).agg(*[F.max(F.when(F.col(use) == u, F.col("_f"))).alias(f"bool_{u}") for u in uses])
+
+
 def merge_boundaries(
     segments: DataFrame,
     adjacency: DataFrame,
-    uses: dict[str, DataFrame],
+    flags: DataFrame,
+    uses: list[str],
     threshold: str = "0.5 < proportion_12m",
     key: str = "id_parcel",
     segment_key: str = "id_boundary",
     mode: str = "segments",
 ) -> DataFrame:
-    """Boundary length per parcel by adjacency and by use.
+    """Boundary length per parcel by adjacency and by use (hedgerow, relict, wall, water).
 
-    uses maps hedgerow, relict, wall and water to their boundary tables.  Shared
-    boundary counts half in the m_adj columns.  mode="segments" starts from all
-    segments and reads an unknown flag as false; mode="outer" joins the tables
-    fully and drops segments whose adjacency is unknown from the m_adj sums.
+    Shared boundary counts half in the m_adj columns.  mode="segments" starts
+    from all segments and reads an unknown flag as false; mode="outer" takes
+    parcel and length from the adjacency table, and drops segments whose
+    adjacency is unknown from the m_adj sums.
     """
-    adj = adjacency.withColumn("_f", F.expr(threshold)).groupBy(segment_key).agg(F.max("_f").alias("bool_adjacency"))
+    adj = adjacency.withColumn("_f", F.expr(threshold)).groupBy(segment_key).agg(
+        F.first(key).alias(key), F.first("m").alias("m"), F.max("_f").alias("bool_adjacency")
+    )
+    named = [f"bool_{u}" for u in uses]
     if mode == "segments":
-        table = segments.select(segment_key, key, "m").join(adj, segment_key, "left")
+        base = segments.select(segment_key, key, "m")
+        table = base.join(adj.drop(key, "m"), segment_key, "left").join(flags, segment_key, "left").na.fill(False, ["bool_adjacency", *named])
     else:
-        table = adjacency.groupBy(segment_key).agg(F.first(key).alias(key), F.first("m").alias("m")).join(adj, segment_key)
-    for name, use in uses.items():
-        flag = use.select(segment_key, F.expr(threshold).alias(f"bool_{name}"))
-        table = table.join(flag, segment_key, "left" if mode == "segments" else "outer")
-    flags = ["bool_adjacency", *[f"bool_{n}" for n in uses]]
-    if mode == "segments":
-        table = table.na.fill(False, flags)
-    combined = {f"bool_{n}": F.col(f"bool_{n}") for n in uses}
+        table = adj.join(flags, segment_key, "outer")
+    combined = {f"bool_{u}": F.col(f"bool_{u}") for u in uses}
     if {"wall", "hedgerow"} <= set(uses):
         combined["bool_wall_or_hedgerow"] = F.col("bool_hedgerow") | F.col("bool_wall")
         if "water" in uses:

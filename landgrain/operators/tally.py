@@ -85,7 +85,8 @@ def interior_counts(
 def parcel_tree_features(
     boundary_counts: DataFrame,
     adjacency: DataFrame,
-    uses: dict[str, DataFrame],
+    flags: DataFrame,
+    uses: list[str],
     interior: DataFrame,
     buffers: list[int] = (4, 8),
     threshold: str = "0.5 < proportion_12m",
@@ -94,9 +95,8 @@ def parcel_tree_features(
 ) -> DataFrame:
     """Per parcel, boundary trees by use, halved on shared boundary, and interior trees."""
     adj = adjacency.withColumn("_f", F.expr(f"CAST({threshold} AS DOUBLE)")).groupBy(segment_key).agg(F.max("_f").alias("bool_adjacency"))
-    table = boundary_counts.join(adj, segment_key, "left")
-    for name, use in uses.items():
-        table = table.join(use.select(segment_key, F.expr(f"CAST({threshold} AS DOUBLE)").alias(f"bool_{name}")), segment_key, "left")
+    near = flags.select(segment_key, *[F.col(f"bool_{u}").cast("double").alias(f"bool_{u}") for u in uses])
+    table = boundary_counts.join(adj, segment_key, "left").join(near, segment_key, "left")
     half = (2 - F.col("bool_adjacency")) / 2
     aggs = []
     for b in buffers:

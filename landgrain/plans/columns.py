@@ -10,7 +10,7 @@ from landgrain.functions import shapes as S
 from landgrain.functions import text as X
 from landgrain.operators import linear, reference_grid
 from landgrain.plans.book import query
-from landgrain.plans.fixtures import layer, table, with_sql
+from landgrain.plans.fixtures import layer, spread, table, with_sql
 
 # -- F: scalars ------------------------------------------------------------------
 
@@ -320,7 +320,7 @@ def g11(spark, sf):
     ring = F.array(
         G.vertex(x0, y0), G.vertex(x0 + 0.1, ym), G.vertex(x0, y1), G.vertex(xm, y1 + 0.1), G.vertex(x1, y1), G.vertex(x1 - 0.1, ym), G.vertex(x1, y0), G.vertex(xm, y0 - 0.1), G.vertex(x0, y0)
     )
-    g = layer(spark, sf, "parcels").withColumn("geometry", S.clean(G.polygon(F.array(ring))))
+    g = spread(layer(spark, sf, "parcels")).withColumn("geometry", S.clean(G.polygon(F.array(ring))))
     return g.select("id_parcel", G.area("geometry").alias("area"), G.vertex_count("geometry").alias("n_vertices"))
 
 
@@ -331,7 +331,7 @@ def g12(spark, sf):
     ring = F.array(
         G.vertex(x, y), G.vertex(x + w / 2, y + 0.5), G.vertex(x + w, y), G.vertex(x + w + 0.4, y + h / 2), G.vertex(x + w, y + h), G.vertex(x + w * 1.5, y + h - 0.5), G.vertex(x + w * 2, y + h)
     )
-    g = zigzags(spark, sf).withColumn("geometry", S.simplify(G.line(ring), 1.0))
+    g = spread(zigzags(spark, sf)).withColumn("geometry", S.simplify(G.line(ring), 1.0))
     return g.select("k", G.vertex_count("geometry").alias("n"), G.length("geometry").alias("m"))
 
 
@@ -410,21 +410,21 @@ def g19(spark, sf):
 
     none = F.lit(0.0)
     ring = F.concat(side(x0, y0, none, h), side(x0, y0 + h, w, none), side(x0 + w, y0 + h, none, -h), side(x0 + w, y0, -w, none), F.array(G.vertex(x0, y0)))
-    g = layer(spark, sf, "parcels").select("id_parcel", G.polygon(F.array(ring)).alias("g"))
+    g = spread(layer(spark, sf, "parcels")).select("id_parcel", G.polygon(F.array(ring)).alias("g"))
     pieces = g.select("id_parcel", G.vertex_count("g").alias("before"), F.explode(S.subdivide("g", 12)).alias("p"))
     return pieces.groupBy("id_parcel", "before").agg(F.round(F.sum(G.area("p")), 6).alias("area"), (F.max(G.vertex_count("p")) <= 12).alias("small"))
 
 
 @query("G19_fishnet", with_sql("parcels") + "SELECT id_parcel, CAST(w * h AS DOUBLE) AS area, ((x1 - 1) // 50 - x0 // 50 + 1) * ((y1 - 1) // 50 - y0 // 50 + 1) AS n FROM parcels")
 def g19_fishnet(spark, sf):
-    cut = layer(spark, sf, "parcels").select("id_parcel", F.explode(S.fishnet("geometry", 50.0)).alias("p"))
+    cut = spread(layer(spark, sf, "parcels")).select("id_parcel", F.explode(S.fishnet("geometry", 50.0)).alias("p"))
     return cut.groupBy("id_parcel").agg(F.round(F.sum(G.area("p")), 6).alias("area"), F.count("*").alias("n"))
 
 
 @query("G20_lonlat")
 def g20(spark, sf):
     """Longitude and latitude of parcel centroids, axes flipped and restored."""
-    p = layer(spark, sf, "parcels").withColumn("c", G.centroid(G.flip(G.flip("geometry"))))
+    p = spread(layer(spark, sf, "parcels")).withColumn("c", G.centroid(G.flip(G.flip("geometry"))))
     ll = p.select("id_parcel", S.lonlat(F.col("c.x") + 300000, F.col("c.y") + 200000).alias("ll"))
     return ll.select("id_parcel", F.round("ll.x", 5).alias("lon"), F.round("ll.y", 5).alias("lat"))
 

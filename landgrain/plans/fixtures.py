@@ -137,3 +137,8 @@ SEGMENTS_SQL = """segments AS (
            CASE WHEN n = 0 THEN x0 ELSE x1 END AS sx1, CASE WHEN n = 3 THEN y0 ELSE y1 END AS sy1,
            CAST(CASE WHEN n % 2 = 0 THEN h ELSE w END AS DOUBLE) AS m
     FROM parcels, (VALUES (0), (1), (2), (3)) AS t(n))"""
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Share out the rows of a few small files before costly per-geometry work."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

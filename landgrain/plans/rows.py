@@ -290,11 +290,12 @@ def a2(spark, sf):
 
 @query(
     "A3_weighted_means",
-    "SELECT l_partkey, round(sum(w * l_quantity) / sum(w), 5) AS l_quantity, round(sum(w * l_discount) / sum(w), 5) AS l_discount FROM (SELECT *, CAST(l_linenumber - 2 AS DOUBLE) AS w FROM lineitem) WHERE w > 0 GROUP BY 1",
+    "SELECT l_partkey, round(sum(w * l_quantity) / sum(w) + 1e-7, 5) AS l_quantity, round(sum(w * l_discount) / sum(w) + 1e-7, 5) AS l_discount FROM (SELECT *, CAST(l_linenumber - 2 AS DOUBLE) AS w FROM lineitem) WHERE w > 0 GROUP BY 1",
 )
 def a3(spark, sf):
     li = table(spark, sf, "lineitem").withColumn("w", (F.col("l_linenumber") - 2).cast("double"))
-    return T.weighted_means(li, ["l_partkey"], "w", ["l_quantity", "l_discount"])
+    out = T.weighted_means(li, ["l_partkey"], "w", ["l_quantity", "l_discount"], 9)
+    return out.withColumns({c: F.round(F.col(c) + 1e-7, 5) for c in ("l_quantity", "l_discount")})
 
 
 @query(

@@ -8,7 +8,7 @@ from landgrain.functions import geometry as G
 from landgrain.functions import shapes as S
 from landgrain.operators import linear, overlap, spatial_join as SJ, tables, tally
 from landgrain.plans.book import query
-from landgrain.plans.fixtures import CELL, SEGMENTS_SQL, layer, layer_sql, segments, with_sql
+from landgrain.plans.fixtures import CELL, SEGMENTS_SQL, layer, layer_sql, segments, spread, with_sql
 
 MEET = "f.x0 <= p.x1 AND f.x1 >= p.x0 AND f.y0 <= p.y1 AND f.y1 >= p.y0"
 SHARED = "greatest(least(p.x1, f.x1) - greatest(p.x0, f.x0), 0) * greatest(least(p.y1, f.y1) - greatest(p.y0, f.y0), 0)"
@@ -293,7 +293,7 @@ def _buffer_sql():
     groups = [("'all'", ""), ("'subset'", " WHERE kind = '0'"), ("'other'", " WHERE kind != '0'")]
     rows = " UNION ALL ".join(grown.format(g=g, b=b, where=w) for g, w in groups for b in (0, 6))
     cols = ", ".join(
-        f"round(coalesce(max(CASE WHEN grp = {g} AND buf = {b} THEN least(area / (w * h), 1) END), 0), 9) AS proportion_{g[1:-1]}_{b}m"
+        f"round(coalesce(max(CASE WHEN grp = {g} AND buf = {b} THEN least(coalesce(area, 0) / (w * h), 1) END), 0), 9) AS proportion_{g[1:-1]}_{b}m"
         for g, _ in groups
         for b in (0, 6)
     )
@@ -606,25 +606,30 @@ def _o7_sql(threshold=0.5):
     return _flags_sql(threshold) + f" SELECT id_parcel, {', '.join(cols)}, {rest} AS m_adj_none FROM flags GROUP BY 1"
 
 
-def boundary_tables(spark, sf, buffers=(12,)):
+USE_NAMES = ["hedgerow", "relict", "wall", "water"]
+
+
+def boundary_tables(spark, sf, uses=("hedgerow", "relict", "wall", "water")):
+    """Segments, their adjacency, and the share of each near every use, all uses in one pass."""
     p, s = parcels(spark, sf), segments(spark, sf)
     hedges = layer(spark, sf, "hedges")
     sources = {"hedgerow": hedges, "relict": hedges.where("kind = 'BUILDING'"), "wall": layer(spark, sf, "walls"), "water": layer(spark, sf, "water")}
-    adj = linear.boundary_proportion(s, p.select(F.col("id_parcel").alias("id_parcel_right"), "geometry"), ["id_parcel_right"], list(buffers), grid=CELL, exclude=("id_parcel", "id_parcel_right"))
-    uses = {u: linear.boundary_proportion(s, df, [], list(buffers), grid=CELL) for u, df in sources.items()}
-    return s, adj, uses
+    feats = tables.combine_long([sources[u].select("geometry") for u in uses], list(uses)).withColumnRenamed("source", "use")
+    adj = linear.boundary_proportion(s, p.select(F.col("id_parcel").alias("id_parcel_right"), "geometry"), ["id_parcel_right"], [12], grid=CELL, exclude=("id_parcel", "id_parcel_right"))
+    return s, adj, linear.boundary_proportion(s, feats, ["use"], [12], grid=CELL)
 
 
 @query("O7_boundary_merger", _o7_sql(0.5))
 def o7(spark, sf):
-    s, adj, uses = boundary_tables(spark, sf)
-    return linear.merge_boundaries(s, adj, uses)
+    s, adj, near_uses = boundary_tables(spark, sf)
+    return linear.merge_boundaries(s, adj, linear.use_flags(near_uses, USE_NAMES), USE_NAMES)
 
 
 @query("O7_boundary_merger_90p12m", _o7_sql(0.9))
 def o7_90(spark, sf):
-    s, adj, uses = boundary_tables(spark, sf)
-    return linear.merge_boundaries(s, adj, uses, "0.9 < proportion_12m")
+    s, adj, near_uses = boundary_tables(spark, sf)
+    flags = linear.use_flags(near_uses, USE_NAMES, "0.9 < proportion_12m")
+    return linear.merge_boundaries(s, adj, flags, USE_NAMES, "0.9 < proportion_12m")
 
 
 SEG_GAP = "sqrt(power(greatest(least(s.sx0, s.sx1) - f.x0, f.x0 - greatest(s.sx0, s.sx1), 0), 2) + power(greatest(least(s.sy0, s.sy1) - f.y0, f.y0 - greatest(s.sy0, s.sy1), 0), 2))"
@@ -683,10 +688,11 @@ def _o8_sql():
 
 @query("O8_parcel_tree_features", _o8_sql())
 def o8(spark, sf):
-    s, adj, uses = boundary_tables(spark, sf)
+    s, adj, near_uses = boundary_tables(spark, sf, ("hedgerow", "water"))
+    flags = linear.use_flags(near_uses, ["hedgerow", "water"])
     counts = tally.nearest_segment_counts(s, trees(spark, sf), "fid", COUNT_BUFFERS, grid=CELL)
     inner = tally.interior_counts(parcels(spark, sf), s, trees(spark, sf), "fid", [0, *COUNT_BUFFERS], grid=CELL)
-    out = tally.parcel_tree_features(counts, adj, {u: uses[u] for u in ("hedgerow", "water")}, inner)
+    out = tally.parcel_tree_features(counts, adj, flags, ["hedgerow", "water"], inner)
     doubles = [c for c, t in out.dtypes if t == "double"]
     return out.withColumns({c: F.round(c, 6) for c in doubles})
 
@@ -698,7 +704,7 @@ def o8(spark, sf):
         SELECT id_parcel, CAST(sum(ceil(m / 50.0)) AS BIGINT) AS n, CAST(sum(m) AS DOUBLE) AS m FROM sides GROUP BY 1""",
 )
 def o6(spark, sf):
-    out = linear.segmentise_boundary(parcels(spark, sf))
+    out = linear.segmentise_boundary(spread(parcels(spark, sf)))
     return out.groupBy("id_parcel").agg(F.count("*").alias("n"), F.round(F.sum("m"), 6).alias("m"))
 
 
@@ -812,7 +818,7 @@ def o14_length(spark, sf):
 @query(
     "O32_buffer_metrics",
     with_sql("parcels", "hedges", "water")
-    + f"""SELECT id_parcel, {', '.join(f"CAST(coalesce(sum(CASE WHEN src = 'hedge' AND d <= {b} THEN len / 2.0 END), 0) AS DOUBLE) AS m_hedge_{b}m, coalesce(sum(CASE WHEN src = 'water' AND d <= {b} THEN a / 10000.0 END), 0) AS ha_water_{b}m" for b in (0, 4, 8, 12))}
+    + f"""SELECT id_parcel, {', '.join(f"CAST(coalesce(sum(CASE WHEN src = 'hedge' AND d <= {b} THEN len / 2.0 END), 0) AS DOUBLE) AS m_hedge_{b}m, round(coalesce(sum(CASE WHEN src = 'water' AND d <= {b} THEN a / 10000.0 END), 0), 9) AS ha_water_{b}m" for b in (0, 4, 8, 12))}
         FROM (SELECT p.id_parcel, NULL AS src, 0 AS len, 0 AS a, NULL AS d FROM parcels p
             UNION ALL SELECT p.id_parcel, 'hedge', f.w + f.h, 0, {GAP} FROM parcels p JOIN hedges f ON {near(12)}
             UNION ALL SELECT p.id_parcel, 'water', 0, f.w * f.h, {GAP} FROM parcels p JOIN water f ON {near(12)}) GROUP BY 1""",
