@@ -124,11 +124,12 @@ def existing_habitats(parcels: DataFrame, proportions: DataFrame, create: DataFr
     create = create.where("source = 'phi'").select(
         F.replace("action_group", F.lit("Create "), F.lit("")).alias("action_group"), "action_habitat", clean_name("habitat_name").alias("_clean")
     )
-    create = T.with_subtotals(create.distinct(), {"action_habitat": "action_group_total"})
+    # a total row repeats per habitat of its group; each (group, habitat, name) needs to match once
+    create = T.with_subtotals(create, {"action_habitat": "action_group_total"}).distinct()
     joint = manage.where("action_group IN ('Wetland', 'SRG')").withColumns(
         {"action_group": F.lit("Wetland and SRG"), "action_habitat": F.lit("action_group_total")}
     )
-    manage = T.with_subtotals(manage, {"action_habitat": "action_group_total"}).unionByName(joint)
+    manage = T.with_subtotals(manage, {"action_habitat": "action_group_total"}).unionByName(joint).distinct()
     cols = [KEY, "area_ha", "grouping_category", "action_group", "action_habitat", "fid", "proportion"]
     views = [
         base.withColumns({"action_habitat": F.col("habitat_name"), "action_group": F.lit(None).cast("string"), "grouping_category": F.lit("raw")}),

@@ -97,6 +97,8 @@ def validate(df: DataFrame, model: Model) -> DataFrame:
                     F.lit(name).alias("column"), F.lit("unique").alias("rule"), "failures"
                 )
             )
+    if not frames:
+        return df.sparkSession.createDataFrame([], "column string, rule string, failures long")
     return reduce(DataFrame.unionByName, frames)
 
 
