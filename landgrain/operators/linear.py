@@ -199,6 +199,25 @@ def merge_spans(spans: DataFrame, keys: list[str]) -> DataFrame:
     return isles.groupBy(*keys, "_isle").agg(F.min("t0").alias("t0"), F.max("t1").alias("t1")).drop("_isle")
 
 
+def _feature_edges(feats: DataFrame, cols: list[str]) -> DataFrame:
+    """Every edge of the features as a row, and every polygon once more as a whole."""
+    outline = dump_edges(feats).select(
+        *cols,
+        (F.col("dim") == 2).alias("_poly"),
+        F.lit(False).alias("_area"),
+        G.segment("x0", "y0", "x1", "y1").alias("geometry"),
+        *[F.col(c).alias(f"_f{c}") for c in ("x0", "y0", "x1", "y1")],
+    )
+    polygons = feats.where(F.exists(F.col("geometry")["parts"], lambda p: p["dim"] == 2)).select(
+        *cols,
+        F.lit(True).alias("_poly"),
+        F.lit(True).alias("_area"),
+        "geometry",
+        *[F.lit(None).cast("double").alias(f"_f{c}") for c in ("x0", "y0", "x1", "y1")],
+    )
+    return outline.unionAll(polygons)
+
+
 def buffer_spans(
     segments: DataFrame,
     features: DataFrame,
@@ -227,24 +246,9 @@ def buffer_spans(
         *[F.col(c).alias(f"_s{c}") for c in ("x0", "y0", "x1", "y1")],
     )
     feat_cols = list(dict.fromkeys([*columns, *([ex_feat] if ex_feat else [])]))
-    feats = features.select(*feat_cols, "geometry").dropDuplicates()
-    outline = dump_edges(feats).select(
-        *feat_cols,
-        (F.col("dim") == 2).alias("_poly"),
-        F.lit(False).alias("_area"),
-        G.segment("x0", "y0", "x1", "y1").alias("geometry"),
-        *[F.col(c).alias(f"_f{c}") for c in ("x0", "y0", "x1", "y1")],
-    )
-    g = F.col("geometry")
-    polygons = feats.where(F.exists(g["parts"], lambda p: p["dim"] == 2)).select(
-        *feat_cols,
-        F.lit(True).alias("_poly"),
-        F.lit(True).alias("_area"),
-        g,
-        *[F.lit(None).cast("double").alias(f"_f{c}") for c in ("x0", "y0", "x1", "y1")],
-    )
-    shapes = not only_boxes(features.where(F.exists(g["parts"], lambda p: p["dim"] == 2)))
-    pairs = candidates(left, outline.unionAll(polygons), grid, far, once=False)
+    whole = features.select(*feat_cols, "geometry")
+    pairs = candidates(left, _feature_edges(whole.dropDuplicates(), feat_cols), grid, far, once=False, bound=_feature_edges(whole, feat_cols))
+    shapes = not only_boxes(whole.where(F.exists(F.col("geometry")["parts"], lambda p: p["dim"] == 2)))
     if exclude:
         pairs = pairs.where(F.col("_own") != F.col(ex_feat))
     gl, gr = F.col("geometry_left"), F.col("geometry_right")

@@ -151,10 +151,10 @@ def shared_area(
         one = layer.where(~G.is_empty("geometry")).select(*columns, _compact(F.col("geometry"), F.lit(t)).alias("geometry"))
         tagged = one if tagged is None else tagged.unionAll(one)
     # a union does not change with copies: drop them before anything is replicated
-    tagged = tagged.dropDuplicates()
+    whole, tagged = tagged, tagged.dropDuplicates()
     left = parcels.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "geometry")
     held = [f"_k{i}" for i in range(len(keys))]
-    pairs, has_slices = plan_candidates(left, tagged, grid, 0.0, once=False)
+    pairs, has_slices = plan_candidates(left, tagged, grid, 0.0, once=False, bound=whole)
     gl, gr = F.col("geometry_left"), F.col("geometry_right")
     window = F.struct(
         (F.col("_cx") * F.col("_side")).alias("xmin"),

@@ -154,21 +154,27 @@ def _row_hash(cells: DataFrame) -> Column:
     return F.xxhash64(*flat, g["xmin"], g["ymin"], g["xmax"], g["ymax"])
 
 
-def place(left: DataFrame, right: DataFrame, grid: Grid, margin: float = 0.0) -> tuple[DataFrame, DataFrame, float, bool]:
-    """Both sides listed under join keys; returns (left, right, cell, sliced)."""
+def place(left: DataFrame, right: DataFrame, grid: Grid, margin: float = 0.0, bound: DataFrame | None = None) -> tuple[DataFrame, DataFrame, float, bool]:
+    """Both sides listed under join keys; returns (left, right, cell, sliced).
+
+    `bound` is a superset of the right side that is cheaper to count, such as
+    the rows before copies are dropped; if it is not crowded, neither is right.
+    """
     cell = grid.cell or choose_cell(left, right, margin)
     lcells, rcells = list_cells(left, cell, margin), list_cells(right, cell)
     crowd = grid.crowd
-    levels = slices = None
-    if crowd:
+
+    def is_crowded(other: DataFrame) -> bool:
         # one narrow pass over envelopes decides between the plain and the crowded plan
-        base = ["_cx", "_cy"]
-        probe = _slices(lcells.withColumn("_level", F.lit(0)), rcells.withColumn("_level", F.lit(0)), crowd)
-        if not probe.isEmpty():
-            if grid.quarter:
-                levels = _quarter_levels(right, cell, crowd)
-            lcells, rcells = _apply_levels(lcells, levels, cell, margin), _apply_levels(rcells, levels, cell, 0.0)
-            slices = _slices(lcells, rcells, crowd)
+        flat = ["*", "0 AS _level"]
+        return not _slices(lcells.selectExpr(*flat), list_cells(other, cell).selectExpr(*flat), crowd).isEmpty()
+
+    levels = slices = None
+    if crowd and (bound is None or is_crowded(bound)) and is_crowded(right):
+        if grid.quarter:
+            levels = _quarter_levels(right, cell, crowd)
+        lcells, rcells = _apply_levels(lcells, levels, cell, margin), _apply_levels(rcells, levels, cell, 0.0)
+        slices = _slices(lcells, rcells, crowd)
     if slices is None:
         plain = ["*", "0 AS _level", "0 AS _i", "0 AS _j"]
         return lcells.selectExpr(*plain), rcells.selectExpr(*plain), cell, False
@@ -197,13 +203,14 @@ def plan_candidates(
     once: bool = True,
     lsuffix: str = "_left",
     rsuffix: str = "_right",
+    bound: DataFrame | None = None,
 ) -> tuple[DataFrame, bool]:
     """Candidate pairs, and whether crowded cells had to be sliced.
 
     once=True emits each pair from one cell.  once=False emits it from every
     shared cell, for aggregates that add up or merge over cells.
     """
-    lcells, rcells, cell, sliced = place(left, right, grid, margin)
+    lcells, rcells, cell, sliced = place(left, right, grid, margin, bound)
     lnames, rnames = [c for c in lcells.columns if c not in KEY], [c for c in rcells.columns if c not in KEY]
     clash = set(lnames) & set(rnames)
     lcells = lcells.withColumnsRenamed({c: c + lsuffix for c in clash})
