@@ -133,8 +133,8 @@ def existing_habitats(parcels: DataFrame, proportions: DataFrame, create: DataFr
     cols = [KEY, "area_ha", "grouping_category", "action_group", "action_habitat", "fid", "proportion"]
     views = [
         base.withColumns({"action_habitat": F.col("habitat_name"), "action_group": F.lit(None).cast("string"), "grouping_category": F.lit("raw")}),
-        base.join(create, "_clean").withColumn("grouping_category", F.lit("evast_create")),
-        base.join(manage, "habitat_name").withColumn("grouping_category", F.lit("evast_manage")),
+        base.join(create, "_clean").withColumn("grouping_category", F.lit("create")),
+        base.join(manage, "habitat_name").withColumn("grouping_category", F.lit("manage")),
     ]
     rows = reduce(DataFrame.unionAll, [v.select(*cols) for v in views])
     group = [KEY, "grouping_category", "action_group", "action_habitat"]

@@ -68,7 +68,7 @@ def s4(spark, sf):
 
 @query("S5_path_columns", "SELECT p_partkey, p_type AS woodland_type, lpad(CAST(p_size AS VARCHAR), 2, '0') AS rcp FROM part")
 def s5(spark, sf):
-    path = F.concat(F.lit("/raw/esc/"), F.col("p_type"), F.lit("/EMS_output_rcp"), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit(".csv"))
+    path = F.concat(F.lit("/raw/panel/"), F.col("p_type"), F.lit("/output_rcp"), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit(".csv"))
     df = table(spark, sf, "part").withColumn("_path", path)
     cols = readers.path_columns("_path")
     return df.select("p_partkey", *[c.alias(n) for n, c in cols.items()])

@@ -325,8 +325,8 @@ MANAGE = f"SELECT DISTINCT CASE WHEN p_size % 3 = 0 THEN 'Wetland' WHEN p_size %
     create_all AS (SELECT * FROM created UNION ALL SELECT action_group, 'action_group_total', clean FROM created),
     manage_all AS (SELECT * FROM manage UNION ALL SELECT action_group, 'action_group_total', habitat_name FROM manage UNION ALL SELECT 'Wetland and SRG', 'action_group_total', habitat_name FROM manage WHERE action_group IN ('Wetland', 'SRG')),
     long AS (SELECT id_parcel, 'raw' AS grouping_category, NULL AS action_group, habitat_name AS action_habitat, fid, proportion FROM phi
-        UNION ALL SELECT p.id_parcel, 'evast_create', c.action_group, c.action_habitat, p.fid, p.proportion FROM phi p JOIN create_all c ON {CLEAN.replace('habitat_name', 'p.habitat_name')} = c.clean
-        UNION ALL SELECT p.id_parcel, 'evast_manage', m.action_group, m.action_habitat, p.fid, p.proportion FROM phi p JOIN manage_all m USING (habitat_name)),
+        UNION ALL SELECT p.id_parcel, 'create', c.action_group, c.action_habitat, p.fid, p.proportion FROM phi p JOIN create_all c ON {CLEAN.replace('habitat_name', 'p.habitat_name')} = c.clean
+        UNION ALL SELECT p.id_parcel, 'manage', m.action_group, m.action_habitat, p.fid, p.proportion FROM phi p JOIN manage_all m USING (habitat_name)),
     once AS (SELECT id_parcel, grouping_category, action_group, action_habitat, fid, max(proportion) AS proportion FROM long GROUP BY ALL)
     SELECT id_parcel, grouping_category, action_group, action_habitat, round(p, 6) AS proportion, round(area_ha * p + 1e-7, 4) AS habitat_area_ha FROM (
         SELECT id_parcel, grouping_category, action_group, action_habitat, least(greatest(sum(proportion), 0), 1) AS p FROM once GROUP BY ALL) JOIN area USING (id_parcel) WHERE p > 0""",

@@ -118,3 +118,32 @@ def test_union_area_against_pixels(spark, grid):
     }
     for key, wkt in parcels:
         assert got.get(key, 0.0) == pytest.approx(_grid_area(wkt, [w for _, w in feats]), abs=1.5)
+
+
+def test_round_buffers_against_pixels(spark):
+    """Parcel share within 6 m of a bent line and a triangle, against distances on a fine grid."""
+    from landgrain.functions.codecs import _read_wkt
+    from landgrain.functions.kernels import _point_edges_distance, edges_of, inside
+
+    parcel = "POLYGON((0 0,0 40,40 40,40 0,0 0))"
+    shapes = ["LINESTRING(-5 10,20 15,25 50)", "POLYGON((30 5,38 5,34 12,30 5))"]
+    parcels = frame(spark, [("p", parcel)], ["id_parcel", "wkt"])
+    feats = frame(spark, [(w,) for w in shapes], ["wkt"])
+    row = overlap.buffer_proportions(parcels, feats, [0, 6], grid=Grid(15.0)).first()
+    xs = np.arange(0.05, 40, 0.1)
+    pts = np.array([(x, y) for x in xs for y in xs])
+    near, within = np.zeros(len(pts), bool), np.zeros(len(pts), bool)
+    for w in shapes:
+        parts = _read_wkt(w)
+        within |= inside(pts, parts)
+        for edge in edges_of(parts):
+            near |= _point_edges_distance(pts, edge[None])[:, 0] <= 6
+    assert row.proportion_all_0m == pytest.approx(within.mean(), abs=2e-3)
+    assert row.proportion_all_6m == pytest.approx((near | within).mean(), abs=5e-3)
+
+
+def test_random_metric_repeats(spark, sf_dir):
+    from landgrain.plans import QUERIES
+
+    a, b = (sorted(map(tuple, QUERIES["F21_random_metric"](spark, sf_dir).collect())) for _ in range(2))
+    assert a == b and all(0 <= m < 1 for _, m in a)
