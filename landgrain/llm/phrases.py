@@ -59,9 +59,9 @@ def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(column.fill_null(0)).astype(np.int64), null
 
 
-def _send(block: np.ndarray, columns: list[np.ndarray]) -> Iterator[list]:
-    """Rows (block, packed columns) of the entries of each block."""
-    order = np.argsort(block, kind="stable")
+def _send(block: np.ndarray, columns: list[np.ndarray], by: list[np.ndarray]) -> Iterator[list]:
+    """Rows (block, packed columns) of the entries of each block, in the order of `by`, which makes equal values adjacent."""
+    order = np.lexsort([*by[::-1], block])
     block, columns = block[order], [c[order] for c in columns]
     starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
     for a, b in zip(starts, np.append(starts[1:], len(block))):
@@ -222,7 +222,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hom
                     many[rest] = 2
                 block = (found % np.uint64(blocks)).astype(np.int64)
                 block = np.where(many == 2, (found + _mixed(doc)) % np.uint64(blocks), block).astype(np.int64)
-                yield _batch(list(_send(block, [place, doc, found, many])), ANCHOR_ROWS)
+                yield _batch(list(_send(block, [place, doc, found, many], [doc])), ANCHOR_ROWS)
 
     def common_anchors(rows: pa.Table) -> pa.Table:
         place, doc = _unpack(rows["home"], np.int32), _unpack(rows["doc"], np.int64)
@@ -234,7 +234,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hom
             several = (np.minimum.reduceat(doc, start) < np.maximum.reduceat(doc, start)) | (np.maximum.reduceat(many, start) > 0)
             keep = np.repeat(several, np.diff(np.append(start, len(found))))
             place, doc, found = place[keep], doc[keep], found[keep]
-        return _table(list(_send(place, [doc, found])), REPORT_ROWS)
+        return _table(list(_send(place, [doc, found], [doc])), REPORT_ROWS)
 
     def send_phrases(texts: pa.Table, reports: pa.Table) -> pa.Table:
         texts = texts.combine_chunks()
@@ -278,7 +278,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hom
         ref_p = np.where(repeat, from_pos, np.where(known, lead_p, -1)).astype(np.int32)
         low, high = np.where(known, np.uint64(0), low), np.where(known, np.uint32(0), high)
         homes_ = np.full(len(order), place, np.int32)
-        return _table(list(_send(block, [homes_, d, t, p, low, high, ref_d, ref_p])), PHRASE_ROWS)
+        return _table(list(_send(block, [homes_, d, t, p, low, high, ref_d, ref_p], [d, t, p])), PHRASE_ROWS)
 
     def copied_phrases(rows: pa.Table) -> pa.Table:
         place, d, t, p = _unpack(rows["home"], np.int32), _unpack(rows["doc"], np.int64), _unpack(rows["tag"], np.uint32), _unpack(rows["pos"], np.int32)
@@ -293,7 +293,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hom
         lead_d, lead_p = np.repeat(d[first], sizes), np.repeat(p[first], sizes)
         later = d > lead_d
         out = [np.concatenate([x, y[later]]) for x, y in zip(out, (place, row, p, lead_d, lead_p))]
-        return _table(list(_send(out[0], out[1:])), COPY_ROWS)
+        return _table(list(_send(out[0], out[1:], [out[1], out[2]])), COPY_ROWS)
 
     result = docs.select(*columns).withColumns({"n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "n_factors": F.lit(0).cast("long"), "kept": F.lit("")})
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in result.schema])
