@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landgrain.llm.book import query, table
+from landgrain.llm.spaces import cut
 
 # Short notices by which licences are declared, with their SPDX names.
 NOTICES = [
@@ -27,38 +28,35 @@ NOTICES = [
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
 ]
 
-# Spellings that mean the same in a licence, replaced in this order on whole words.
+# Spellings that mean the same in a licence, replaced in this order wherever they stand in a line.
 SPELLINGS = [
     ("licence", "license"),
-    ("licences", "licenses"),
-    ("licenced", "licensed"),
-    ("sublicence", "sublicense"),
     ("organisation", "organization"),
     ("favour", "favor"),
-    ("whilst", "while"),
-    ("v", "version"),
+    (" whilst ", " while "),
+    (" v ", " version "),
 ]
 
 
 def canonical_lines(text: Column) -> Column:
-    """The canonical form of a text with its line breaks kept; copyright lines become empty."""
+    """The canonical lines of a text: trimmed, without empty ones; copyright lines are dropped."""
     out = F.lower(F.coalesce(text, F.lit("")))
-    out = F.regexp_replace(out, r"\r\n?", "\n")
+    out = F.translate(F.replace(out, F.lit("\r\n"), F.lit("\n")), "\r", "\n")
     out = F.regexp_replace(out, r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$", "")
     out = F.regexp_replace(out, r"[^\p{L}\p{N}\n]+", " ")
     for old, new in SPELLINGS:
-        out = F.regexp_replace(out, rf"(^|[ \n]){old}([ \n]|$)", rf"$1{new}$2")
-    return out
+        out = F.replace(out, F.lit(old), F.lit(new))
+    return F.filter(F.transform(F.split(out, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form of a text on one line."""
-    return F.trim(F.regexp_replace(canonical_lines(text), r"[ \n]+", " "))
+def canonical(lines: Column) -> Column:
+    """Canonical lines as one text."""
+    return F.array_join(lines, " ")
 
 
 def known_digests(known: DataFrame, name: str = "license", text: str = "text") -> DataFrame:
     """(license, digest, size) of each known text; of names with one canonical text the first counts."""
-    whole = known.select(F.col(name).alias("license"), canonical(F.col(text)).alias("canon")).where("canon <> ''")
+    whole = known.select(F.col(name).alias("license"), canonical(canonical_lines(F.col(text))).alias("canon")).where("canon <> ''")
     return whole.groupBy(F.sha2("canon", 256).alias("digest"), F.length("canon").alias("size")).agg(F.min("license").alias("license"))
 
 
@@ -71,14 +69,13 @@ def scan(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "te
     Repeated rows and null keys are kept.  Only lines as long as some known text are
     hashed; that set of lengths is bounded by the table of known texts.
     """
-    digests = known_digests(known, "license", "text")
+    digests = cut(known_digests(known, "license", "text"))
     sizes = [r["size"] for r in digests.select("size").distinct().collect()] or [-1]
-    lines = canonical_lines(F.col(text))
-    base = docs.select(F.col(key).alias("key"), F.sha2(canonical(F.col(text)), 256).alias("canonical_sha256"))
-    kept = F.filter(F.transform(F.split(lines, "\n"), lambda x: F.trim(x)), lambda x: F.length(x).isin(sizes))
+    lined = docs.select(F.col(key).alias("key"), canonical_lines(F.col(text)).alias("lines"))
+    known_sizes = F.array_distinct(F.filter("lines", lambda x: F.length(x).isin(sizes)))
+    base = cut(lined.select("key", F.sha2(canonical(F.col("lines")), 256).alias("canonical_sha256"), F.transform(known_sizes, lambda x: F.sha2(x, 256)).alias("line_digests")))
     found = (
-        docs.select(F.col(key).alias("key"), F.sha2(canonical(F.col(text)), 256).alias("canonical_sha256"), F.explode(F.array_distinct(kept)).alias("line"))
-        .select("key", "canonical_sha256", F.sha2("line", 256).alias("digest"))
+        base.select("key", "canonical_sha256", F.explode("line_digests").alias("digest"))
         .join(digests.select("digest", "license"), "digest")
         .groupBy("key", "canonical_sha256")
         .agg(F.concat_ws(",", F.array_sort(F.collect_set("license"))).alias("line_licenses"))
@@ -100,18 +97,20 @@ def _check_sql() -> str:
         return "'" + x.replace("'", "''") + "'"
 
     body = "lower(coalesce(text, ''))"
-    body = rf"regexp_replace({body}, '\r\n?', chr(10), 'g')"
+    body = f"replace(replace({body}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
     body = rf"regexp_replace({body}, '(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$', '', 'g')"
     body = rf"regexp_replace({body}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
     for old, new in SPELLINGS:
-        body = rf"regexp_replace({body}, '(^|[ \n]){old}([ \n]|$)', '\1{new}\2', 'g')"
+        body = f"replace({body}, '{old}', '{new}')"
+    lines = f"[trim(x, ' ') FOR x IN string_split({body}, chr(10)) IF trim(x, ' ') <> '']"
     known = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in NOTICES)
     return rf"""WITH known AS (SELECT * FROM (VALUES {known}) AS t(license, text)),
-        k AS (SELECT sha256(c) AS digest, min(license) AS license FROM (SELECT license, trim(regexp_replace({body}, '[ \n]+', ' ', 'g')) AS c FROM known) WHERE c <> '' GROUP BY 1),
-        d AS (SELECT doc_id, sha256(trim(regexp_replace({body}, '[ \n]+', ' ', 'g'))) AS sha, [trim(x, ' ') FOR x IN string_split({body}, chr(10))] AS lines FROM documents),
+        k AS (SELECT sha256(array_to_string(l, ' ')) AS digest, min(license) AS license FROM (SELECT license, {lines} AS l FROM known) WHERE len(l) > 0 GROUP BY 1),
+        d AS (SELECT doc_id, {lines} AS lines FROM documents),
+        s AS (SELECT doc_id, sha256(array_to_string(lines, ' ')) AS sha FROM d),
         m AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses FROM (SELECT doc_id, unnest(lines) AS line FROM d) JOIN k ON sha256(line) = k.digest GROUP BY 1)
-        SELECT d.doc_id, sha AS canonical_sha256, k.license AS text_license, m.line_licenses
-        FROM d LEFT JOIN k ON k.digest = d.sha LEFT JOIN m ON m.doc_id = d.doc_id"""
+        SELECT s.doc_id, sha AS canonical_sha256, k.license AS text_license, m.line_licenses
+        FROM s LEFT JOIN k ON k.digest = s.sha LEFT JOIN m ON m.doc_id = s.doc_id"""
 
 
 @query("op4_license_digests", _check_sql())
