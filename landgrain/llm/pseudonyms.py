@@ -255,7 +255,7 @@ def pseudonymise(text: str, key: bytes = KEY, known: dict | None = None) -> tupl
             at, n = done[0], n + 1
         else:
             stop = begin + 1
-            while stop < len(text) and text[stop].isascii() and text[stop].isalnum():
+            while text[begin].isalnum() and stop < len(text) and text[stop].isascii() and text[stop].isalnum():
                 stop += 1
             out.append(text[at:stop])
             at = stop
