@@ -249,25 +249,16 @@ def join_parcels(
     distance: float = 0.0,
     key: str = "id_parcel",
     grid: Grid = Grid(),
-    parts_limit: int = 100_000,
     **kw,
 ) -> DataFrame:
-    """O1: features near each parcel, gathered per (parcel, class) as multipart geometries.
+    """O1: features near each parcel, one row per (parcel, class, feature); copies of a feature count once.
 
-    The union stays implicit.  A group that would exceed `parts_limit` feature
-    rows is returned as several numbered bundles instead of one oversized value.
+    The union of a class on a parcel stays implicit: measures of it are sums over its
+    rows or over cells, so no parcel's features are gathered into one value.
     """
     columns = list(columns)
     feats = features.select(*columns, "geometry").dropDuplicates()
-    pairs = sjoin(parcels.select(key, "geometry"), feats, distance, grid, **kw)
-    sizes = pairs.groupBy(key, *columns).agg(F.ceil(F.count("*") / parts_limit).cast("int").alias("n"))
-    gr = F.col("geometry_right")
-    spread = F.pmod(F.xxhash64(gr["xmin"], gr["ymin"], gr["xmax"], gr["ymax"]), F.col("n")).cast("int")
-    matched = [F.col(c) for c in (key, *columns)]
-    bundled = pairs.join(sizes, [key, *columns]).select(*matched, spread.alias("bundle"), "geometry_left", "geometry_right")
-    return bundled.groupBy(key, *columns, "bundle").agg(
-        F.first("geometry_left").alias("geometry_left"), G.collect_multipart("geometry_right").alias("geometry_right")
-    )
+    return sjoin(parcels.select(key, "geometry"), feats, distance, grid, **kw).select(key, *columns, "geometry_left", "geometry_right")
 
 
 # -- pairwise ----------------------------------------------------------------

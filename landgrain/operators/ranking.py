@@ -34,7 +34,7 @@ def row_numbers(
 ) -> DataFrame:
     """1-based position of every row in the order (value, tie), within keys if given.
 
-    `tie` must be unique per value; `value` numeric and not null.  A tie column
+    `tie` must be unique per value; `value` numeric and not null.  Null keys are a group of their own.  A tie column
     that is not numeric orders by its hash.
     """
     keys = list(keys)
@@ -52,8 +52,10 @@ def row_numbers(
     before = W.partitionBy(*keys).orderBy("_b", "_s").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select(*keys, "_b", "_s", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     local = F.row_number().over(W.partitionBy(*keys, "_b", "_s").orderBy("_v", tie))
-    numbered = placed.withColumn("_r", local).join(starts, [*keys, "_b", "_s"])
-    return numbered.withColumn(name, F.col("_start") + F.col("_r")).select(*df.columns, name)
+    numbered = placed.withColumn("_r", local)
+    spots = starts.withColumnsRenamed({c: f"_at{i}" for i, c in enumerate(keys)}).withColumnsRenamed({"_b": "_atb", "_s": "_ats"})
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_at{i}")) for i, c in enumerate(keys)], (F.col("_b") == F.col("_atb")) & (F.col("_s") == F.col("_ats")))
+    return numbered.join(spots, same).withColumn(name, F.col("_start") + F.col("_r")).select(*df.columns, name)
 
 
 def ntile(df: DataFrame, value: str, tie: str, n: int, name: str) -> DataFrame:
@@ -79,15 +81,15 @@ def batches(df: DataFrame, keys: list[str], order: str, tie: str, size: int, nam
 
 
 def average_rank(df: DataFrame, value: str, tie: str, name: str = "rank", descending: bool = True) -> DataFrame:
-    """Ranks where equal values share the mean of their positions."""
-    placed = row_numbers(df, value, tie, name="_pos", descending=descending)
+    """Ranks where equal values share the mean of their positions; a null value has a null rank and takes no position."""
+    placed = row_numbers(df.where(F.col(value).isNotNull()), value, tie, name="_pos", descending=descending)
     shared = placed.groupBy(value).agg(((F.min("_pos") + F.max("_pos")) / 2).alias(name))
-    return df.join(shared, value).select(*df.columns, name)
+    return df.join(shared, value, "left").select(*df.columns, name)
 
 
 def top_flag(df: DataFrame, value: str, tie: str, n: int, name: str = "is_top") -> DataFrame:
-    """Is the average rank, largest first, within the top n."""
-    return average_rank(df, value, tie, "_rank").withColumn(name, F.col("_rank") <= n).drop("_rank")
+    """Is the average rank, largest first, within the top n; null values are not."""
+    return average_rank(df, value, tie, "_rank").withColumn(name, F.coalesce(F.col("_rank") <= n, F.lit(False))).drop("_rank")
 
 
 def best_rows(df: DataFrame, keys: list[str], order: list[Column], k: int = 1, name: str = "rank") -> DataFrame:

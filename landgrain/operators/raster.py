@@ -62,9 +62,13 @@ def ndvi_cloud(stack: DataFrame, red: str, nir: str, cloud: str, offset: float =
     )
 
 
-def ndvi_ndsi(stack: DataFrame, red: str, nir: str, green: str, swir: str) -> DataFrame:
-    """Vegetation and snow index."""
-    return stack.withColumns({"ndvi": normalised_difference(nir, red), "ndsi": normalised_difference(green, swir)})
+def ndvi_ndsi(stack: DataFrame, red: str, nir: str, green: str, swir: str, offset: float = 0.0) -> DataFrame:
+    """Vegetation index, and the index of short-wave infrared against green that snow and cloud lower.
+
+    The radiometric offset is added first; 0 is no data after it.
+    """
+    r, n, g, s = (mask_value(apply_offset(band, offset), 0) for band in (red, nir, green, swir))
+    return stack.withColumns({"ndvi": normalised_difference(n, r), "ndsi": normalised_difference(s, g)})
 
 
 # -- composites ---------------------------------------------------------------
@@ -88,11 +92,12 @@ def clearest_pixels(scenes: DataFrame, values: list[str], limit: float = 0.2) ->
 
 
 def snow_free_pixels(scenes: DataFrame, values: list[str], snow: float = 0.32) -> DataFrame:
-    """The first scene in order that is not snow, else the last scene.
+    """The first scene in order that needs no replacement, else the last scene.
 
-    A scene is taken over while the one held shows snow or has no index.
+    A scene is replaced by the next while its snow index is below `snow` or it has no
+    vegetation index.
     """
-    good = (F.col("ndvi").isNotNull()) & ~F.coalesce(F.col("ndsi") >= snow, F.lit(False))
+    good = (F.col("ndvi").isNotNull()) & ~F.coalesce(F.col("ndsi") < snow, F.lit(False))
     order = F.struct((~good).alias("bad"), F.when(good, F.col("scene_rank")).otherwise(-F.col("scene_rank")).alias("r"))
     return scenes.groupBy(*PIXEL).agg(F.min_by(F.struct(*values, "scene"), order).alias("p")).select(*PIXEL, "p.*")
 

@@ -313,12 +313,21 @@ def small_enough(df: DataFrame, rows: int) -> bool:
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
-def sjoin_small(left: DataFrame, right: DataFrame, distance: float = 0.0, max_rows: int = 5_000, grid: Grid = Grid(), **kw) -> DataFrame:
-    """Nested-loop join with a right side checked to be small, else the grid join."""
+def sjoin_small(
+    left: DataFrame,
+    right: DataFrame,
+    distance: float = 0.0,
+    max_rows: int = 5_000,
+    grid: Grid = Grid(),
+    lsuffix: str = "_left",
+    rsuffix: str = "_right",
+    distance_col: str | None = None,
+) -> DataFrame:
+    """Nested-loop join with a right side checked to be small, else the grid join; both give the same columns."""
     if not small_enough(right, max_rows):
-        return sjoin(left, right, distance, grid, **kw)
-    lf, rt = suffix_clashes(left, right)
-    gl, gr = F.col("geometry_left"), F.col("geometry_right")
+        return sjoin(left, right, distance, grid, lsuffix, rsuffix, distance_col=distance_col)
+    lf, rt = suffix_clashes(left, right, lsuffix, rsuffix)
+    gl, gr = F.col("geometry" + lsuffix), F.col("geometry" + rsuffix)
     near = lf.join(
         F.broadcast(rt),
         (gl["xmin"] - distance <= gr["xmax"])
@@ -328,13 +337,17 @@ def sjoin_small(left: DataFrame, right: DataFrame, distance: float = 0.0, max_ro
     )
     flat = only_boxes(left) and only_boxes(right)
     measure = G.envelope_distance(gl, gr) if flat else S.distance(gl, gr)
-    return near.withColumn("_gap", measure).where(F.col("_gap") <= distance).drop("_gap")
+    met = near.withColumn("_gap", measure).where(F.col("_gap") <= distance)
+    return met.withColumnRenamed("_gap", distance_col) if distance_col else met.drop("_gap")
 
 
 def sjoin_anti(left: DataFrame, right: DataFrame, keys: list[str], distance: float = 0.0, grid: Grid = Grid(), **kw) -> DataFrame:
     """Left rows with no right geometry within `distance`."""
-    hit = sjoin(left.select(*keys, "geometry"), right.select("geometry"), distance, grid, **kw).select(*keys).distinct()
-    return left.join(hit, keys, "left_anti")
+    hit = sjoin(left.select(*keys, "geometry"), right.select("geometry"), distance, grid, **kw).select(*[F.col(k).alias(f"_hit{i}") for i, k in enumerate(keys)]).distinct()
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_hit{i}"))
+    return left.join(hit, same, "left_anti")
 
 
 def contains(left: DataFrame, points: DataFrame, grid: Grid = Grid()) -> DataFrame:

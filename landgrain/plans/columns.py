@@ -284,6 +284,17 @@ def g8(spark, sf):
     return e.select("k", "pos", F.sqrt(F.pow(F.col("x1") - F.col("x0"), 2) + F.pow(F.col("y1") - F.col("y0"), 2)).alias("m"))
 
 
+@query(
+    "W7_lead_pairs",
+    ZIGZAG_SQL
+    + """SELECT k, CAST(n AS INT) AS pos, CAST(x + CASE WHEN n > 0 THEN w ELSE 0 END AS DOUBLE) AS x0, CAST(y + CASE WHEN n = 2 THEN h ELSE 0 END AS DOUBLE) AS y0,
+        CAST(x + CASE WHEN n = 2 THEN 2 * w ELSE w END AS DOUBLE) AS x1, CAST(y + CASE WHEN n > 0 THEN h ELSE 0 END AS DOUBLE) AS y1 FROM zig, range(3) t(n)""",
+)
+def w7(spark, sf):
+    pairs = linear.lead_edges(linear.dump_points(zigzags(spark, sf).select("k", "geometry")), ["k", "part", "ring"])
+    return pairs.select("k", "pos", "x0", "y0", "x1", "y1")
+
+
 def mixed(spark, sf):
     """One collection per business: its parcels, a point at each parcel's corner, and a line."""
     p = layer(spark, sf, "parcels")

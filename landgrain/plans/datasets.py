@@ -158,6 +158,31 @@ def d2_impact(spark, sf):
     return catalogue.impact(tree(spark, sf)[1])
 
 
+REGISTRY_SQL = "SELECT CAST(p_partkey AS VARCHAR) AS name, CASE WHEN p_partkey % 3 = 0 THEN 'source' ELSE 'derived' END AS kind, 'level' || CAST(p_partkey % 4 AS VARCHAR) AS level, p_partkey % 5 = 0 AS restricted, CASE WHEN p_partkey > 0 THEN 1 ELSE 0 END AS n FROM part"
+
+
+def registry(spark, sf):
+    """One dataset per part, which depends on the part with half its key."""
+    k = F.col("p_partkey")
+    return table(spark, sf, "part").select(
+        k.cast("string").alias("name"),
+        F.when(k % 3 == 0, "source").otherwise("derived").alias("kind"),
+        F.concat(F.lit("level"), (k % 4).cast("string")).alias("level"),
+        (k % 5 == 0).alias("restricted"),
+        F.when(k > 0, F.array(F.floor(k / 2).cast("string"))).otherwise(F.array().cast("array<string>")).alias("depends"),
+    )
+
+
+@query("D1_summary", f"SELECT kind, level, count(*) AS n, count(*) FILTER (restricted) AS n_restricted, sum(n)::BIGINT AS n_depends FROM ({REGISTRY_SQL}) GROUP BY ALL")
+def d1(spark, sf):
+    return catalogue.summary(registry(spark, sf))
+
+
+@query("D1_select", f"SELECT name, level FROM ({REGISTRY_SQL}) WHERE kind = 'source' AND restricted")
+def d1_select(spark, sf):
+    return catalogue.select_datasets(registry(spark, sf), kind="source", restricted=True).select("name", "level")
+
+
 LISTING = "SELECT concat('/lake/', 'set_', CAST(o_custkey AS varchar(20)), '-', {day}, '-', left({sha}, 8), '.parquet') AS path, o_orderdate AS modified FROM orders"
 LISTING_SQL = LISTING.format(day="strftime(o_orderdate, '%Y_%m_%d')", sha="sha256(CAST(o_orderkey % 3 AS VARCHAR))")
 

@@ -76,7 +76,7 @@ def r5(spark, sf):
     return out.select("col", "row", "scene", F.round("ndvi", 9).alias("ndvi"), "cloud")
 
 
-@query("R6_ndvi_ndsi", PIX + "SELECT col, row, scene, round((nir - red) / nullif(nir + red, 0), 9) AS ndvi, round((green - swir) / nullif(green + swir, 0), 9) AS ndsi FROM pixels")
+@query("R6_ndvi_ndsi", PIX + "SELECT col, row, scene, round((nullif(nir, 0) - nullif(red, 0)) / (nir + red), 9) AS ndvi, round((nullif(swir, 0) - nullif(green, 0)) / (swir + green), 9) AS ndsi FROM pixels")
 def r6(spark, sf):
     out = R.ndvi_ndsi(stacked(spark, sf), "red", "nir", "green", "swir")
     return out.select("col", "row", "scene", F.round("ndvi", 9).alias("ndvi"), F.round("ndsi", 9).alias("ndsi"))
@@ -95,10 +95,13 @@ def r7(spark, sf):
 
 @query(
     "R8_snow_free_composite",
-    PIX + """SELECT col, row, scene, round(ndvi, 9) AS ndvi FROM (
-        SELECT *, row_number() OVER (PARTITION BY col, row ORDER BY CASE WHEN good THEN 0 ELSE 1 END, CASE WHEN good THEN scene_rank ELSE -scene_rank END) AS rn FROM (
-        SELECT *, ndvi IS NOT NULL AND NOT coalesce(ndsi >= 0.32, false) AS good FROM (
-        SELECT col, row, scene, scene_rank, (nir - red) / nullif(nir + red, 0) AS ndvi, (green - swir) / nullif(green + swir, 0) AS ndsi FROM pixels))) WHERE rn = 1""",
+    # The scenes of a pixel in order, each replaced by the next while it has to be.
+    "WITH RECURSIVE" + PIX.removeprefix("WITH") + """, lit AS (
+        SELECT col, row, scene, row_number() OVER (PARTITION BY col, row ORDER BY scene_rank) AS step, (nullif(nir, 0) - nullif(red, 0)) / (nir + red) AS ndvi, (nullif(swir, 0) - nullif(green, 0)) / (swir + green) AS ndsi FROM pixels),
+        held AS (SELECT * FROM lit WHERE step = 1
+            UNION ALL SELECT n.col, n.row, CASE WHEN swap THEN n.scene ELSE h.scene END, n.step, CASE WHEN swap THEN n.ndvi ELSE h.ndvi END, CASE WHEN swap THEN n.ndsi ELSE h.ndsi END
+            FROM (SELECT *, coalesce(ndsi < 0.32, false) OR ndvi IS NULL AS swap FROM held) h JOIN lit n ON n.col = h.col AND n.row = h.row AND n.step = h.step + 1)
+        SELECT col, row, scene, round(ndvi, 9) AS ndvi FROM held QUALIFY row_number() OVER (PARTITION BY col, row ORDER BY step DESC) = 1""",
 )
 def r8(spark, sf):
     best = R.snow_free_pixels(R.ndvi_ndsi(pixels(spark, sf), "red", "nir", "green", "swir"), ["ndvi"])
@@ -245,7 +248,7 @@ def r21(spark, sf):
 # -- H: rule pipelines -------------------------------------------------------------------
 
 UPLAND = "SELECT c_custkey AS id_parcel, c_custkey % 3 = 0 AS is_upland FROM customer"
-SOIL = "SELECT DISTINCT o_custkey AS id_parcel, o_orderkey % 31 + 1 AS unit, CAST(o_orderkey % 12 AS INT) AS habitat_code FROM orders WHERE o_orderstatus = 'F'"
+SOIL = "SELECT DISTINCT o_custkey AS id_parcel, o_orderkey % 31 + 1 AS unit, CAST(o_orderkey % 12 AS INT) AS habitat_code FROM orders"
 NAMES = "CASE {v} % 7 WHEN 0 THEN 'Lowland Raised Bogs' WHEN 1 THEN 'Upland Fens' WHEN 2 THEN 'Blanket Bog' WHEN 3 THEN 'Purple Moor Grass & Rush Pastures' WHEN 4 THEN 'Upland Heathland' WHEN 5 THEN 'Coastal Saltmarsh' ELSE 'Lowland Meadows' END"
 CLEAN = "rtrim(replace(replace(replace(replace(lower(habitat_name), '&', 'and'), ',', ''), 'calaminarian grass', 'calaminarian grassland'), 'grasslandland', 'grassland'), 's')"
 LOOKUP = (

@@ -739,25 +739,25 @@ def _o15_ctes():
 
 @query(
     "O15_divide_by_use",
-    _o15_ctes() + f" SELECT id_boundary, {', '.join('bool_' + u for u in USES)}, round(sum(b - a), 4) AS m FROM flagged GROUP BY ALL HAVING sum(b - a) > 0.01",
+    _o15_ctes() + f" SELECT id_boundary, {', '.join('bool_' + u for u in USES)}, round(sum(b - a), 4) AS m FROM flagged GROUP BY ALL HAVING round(sum(b - a), 4) > 0",
 )
 def o15(spark, sf):
     s, spans = use_spans(spark, sf)
     pieces = linear.divide_by_use(spans, USES, s)
     out = pieces.groupBy("id_boundary", *[f"bool_{u}" for u in USES]).agg(F.sum("m").alias("m"))
-    return out.where("m > 0.01").withColumn("m", F.round("m", 4))
+    return out.withColumn("m", F.round("m", 4)).where("m > 0")
 
 
 @query(
     "O16_allocate_by_priority",
     _o15_ctes()
     + """ SELECT id_boundary, use, round(sum(len), 4) AS m FROM (SELECT id_boundary, b - a AS len, CASE WHEN bool_water THEN 'water' WHEN bool_hedgerow THEN 'hedgerow' WHEN bool_wall THEN 'wall' ELSE 'none' END AS use FROM flagged)
-        GROUP BY ALL HAVING sum(len) > 0.01""",
+        GROUP BY ALL HAVING round(sum(len), 4) > 0""",
 )
 def o16(spark, sf):
     s, spans = use_spans(spark, sf)
     pieces = linear.allocate_by_priority(linear.divide_by_use(spans, USES, s), ["water", "hedgerow", "wall"])
-    return pieces.groupBy("id_boundary", "use").agg(F.sum("m").alias("m")).where("m > 0.01").withColumn("m", F.round("m", 4))
+    return pieces.groupBy("id_boundary", "use").agg(F.round(F.sum("m"), 4).alias("m")).where("m > 0")
 
 
 @query(

@@ -195,6 +195,20 @@ def source_hash(spark: SparkSession, d: Dataset) -> DataFrame:
     return listed.agg(short_hash(one, F.lit(d.version)).alias("hash")).select(F.lit(d.name).alias("name"), "hash")
 
 
+def select_datasets(registry: DataFrame, **wanted) -> DataFrame:
+    """The datasets whose columns have the given values; a null column matches only None."""
+    for column, value in wanted.items():
+        registry = registry.where(F.col(column).eqNullSafe(F.lit(value)))
+    return registry
+
+
+def summary(registry: DataFrame) -> DataFrame:
+    """Datasets, restricted ones and direct dependencies per kind and level."""
+    return registry.groupBy("kind", "level").agg(
+        F.count("*").alias("n"), F.count_if("restricted").alias("n_restricted"), F.sum(F.coalesce(F.size("depends"), F.lit(0))).cast("long").alias("n_depends")
+    )
+
+
 def lineage(edges: DataFrame) -> DataFrame:
     """Transitive closure of (name, parent) with the longest path between the two.
 
@@ -206,7 +220,7 @@ def lineage(edges: DataFrame) -> DataFrame:
     found, depth = walk, 1
     while True:
         depth += 1
-        if depth > 10_000:
+        if not walk.where("name = ancestor").isEmpty():
             raise ValueError("dependencies form a cycle")
         hop = steps.withColumnsRenamed({"name": "ancestor", "parent": "_next"})
         walk = durable(walk.join(hop, "ancestor").select("name", F.col("_next").alias("ancestor"), F.lit(depth).alias("depth")).distinct())

@@ -38,10 +38,10 @@ def write_batches(df: DataFrame, path: str, keys: list[str], order: str, tie: st
     batches(df, keys, order, tie, size).write.mode("overwrite").partitionBy(*keys, "batch").parquet(path)
 
 
-def export(df: DataFrame, path: str, format: str = "csv", single: bool = True, max_rows: int = 5_000_000) -> None:
-    """One file in a folder of its own; tables above `max_rows` are written as several files."""
+def export(df: DataFrame, path: str, format: str = "csv", single: bool = True) -> None:
+    """One file in a folder of its own, whatever the size; `single=False` writes one file per partition."""
     out = encode_geometry(df) if format == "parquet" else df
-    if single and out.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows:
+    if single:
         out = out.coalesce(1)
     writer = out.write.mode("overwrite")
     (writer.option("header", True) if format == "csv" else writer).format(format).save(path)

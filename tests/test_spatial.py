@@ -115,3 +115,51 @@ def test_composites_equal_a_fold(spark):
                 held = (scene, ndvi, cloud)
         want = held[1] if held[2] is None or held[2] <= 0.2 else None
         assert got[pixel] == (held[0], want)
+
+
+def test_snow_free_equals_a_fold(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for pixel in range(200):
+        for rank in range(4):
+            ndvi = None if rng.random() < 0.3 else float(rng.random())
+            ndsi = None if rng.random() < 0.2 else float(rng.integers(-2, 3)) * 0.32
+            rows.append((pixel, 0, f"s{rank}", rank, ndvi, ndsi))
+    df = spark.createDataFrame(rows, "col long, row long, scene string, scene_rank int, ndvi double, ndsi double")
+    got = {r.col: r.scene for r in raster.snow_free_pixels(df, ["ndvi"]).collect()}
+    for pixel in range(200):
+        held = rows[pixel * 4]
+        for after in rows[pixel * 4 + 1 : pixel * 4 + 4]:
+            if held[4] is None or (held[5] is not None and held[5] < 0.32):
+                held = after
+        assert got[pixel] == held[2]
+
+
+def test_snow_index_masks_no_data(spark):
+    bands = spark.createDataFrame([(2000.0, 4000.0, 1000.0, 3000.0), (0.0, 4000.0, 0.0, 3000.0), (1000.0, 4000.0, 1000.0, 3000.0)], "red double, nir double, green double, swir double")
+    got = [(r.ndvi, r.ndsi) for r in raster.ndvi_ndsi(bands, "red", "nir", "green", "swir").collect()]
+    assert got == [(pytest.approx(1 / 3), 0.5), (None, None), (0.6, 0.5)]
+    moved = [(r.ndvi, r.ndsi) for r in raster.ndvi_ndsi(bands, "red", "nir", "green", "swir", offset=-1000.0).collect()]
+    assert moved == [(0.5, None), (None, None), (None, None)]
+
+
+def test_null_keys_and_values_are_kept(spark):
+    from landgrain.operators import ranking
+
+    df = spark.createDataFrame([("a", 1, 5.0), ("a", 2, 5.0), (None, 3, 7.0), (None, 4, 6.0), ("b", 5, None)], "g string, id long, v double")
+    known = df.where("v IS NOT NULL")
+    got = {r.id: r.position for r in ranking.row_numbers(known, "v", "id", ["g"]).collect()}
+    assert got == {1: 1, 2: 2, 4: 1, 3: 2}
+    assert {r.id: r["rank"] for r in ranking.average_rank(df, "v", "id").collect()} == {3: 1.0, 4: 2.0, 1: 3.5, 2: 3.5, 5: None}
+    left = spark.createDataFrame([(None, 0), ("x", 100)], "k string, x long").selectExpr("k", f"{G.box_sql('x', 'x', 'x + 5', 'x + 5')} AS geometry")
+    right = spark.createDataFrame([(1,)], "x long").selectExpr(f"{G.box_sql('x', 'x', 'x + 2', 'x + 2')} AS geometry")
+    assert [r.k for r in SJ.sjoin_anti(left, right, ["k"], grid=SJ.Grid(20.0)).collect()] == ["x"]
+    for rows in (0, 10):
+        assert SJ.sjoin_small(left, right, max_rows=rows, grid=SJ.Grid(20.0), distance_col="gap").columns == ["k", "geometry_left", "geometry_right", "gap"]
+
+
+def test_cycles_are_found(spark):
+    from landgrain.sources import catalogue
+
+    with pytest.raises(ValueError, match="cycle"):
+        catalogue.lineage(spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "name string, parent string"))
