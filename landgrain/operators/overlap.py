@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from landgrain.functions import geometry as G
 from landgrain.functions import kernels as K
 from landgrain.functions import shapes as S
-from landgrain.operators.spatial_join import KEY, Grid, list_cells, only_boxes, plan_candidates, sjoin
+from landgrain.operators.spatial_join import CELL_KEY, KEY, Grid, list_cells, only_boxes, plan_candidates, sjoin
 
 PIECE_NAMES = ("x0", "x1", "b0", "b1", "t0", "t1")
 PIECE_ARROW = pa.struct([("tag", pa.int32()), *[(n, pa.float64()) for n in PIECE_NAMES]])
@@ -190,16 +190,14 @@ def shared_area(
     cells = groups.withColumn("r", hard).select(
         *held,
         *columns,
-        "_level",
-        "_cx",
-        "_cy",
+        *CELL_KEY,
         G.area(p).alias("parcel_area"),
         F.when(simple, closed).otherwise(F.col("r.area")).alias("area"),
         (simple | F.col("r.hit")).alias("hit"),
         F.when(sliced, F.col("r.pieces")).alias("pieces"),
     )
     if has_slices:
-        united = cells.groupBy(*held, *columns, "_level", "_cx", "_cy").agg(
+        united = cells.groupBy(*held, *columns, *CELL_KEY).agg(
             F.first("parcel_area").alias("parcel_area"),
             F.sum("area").alias("area"),
             F.max("hit").alias("hit"),

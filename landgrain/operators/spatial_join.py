@@ -5,6 +5,14 @@ share a cell become candidates, and the exact test runs on candidates only.
 A pair that shares several cells is emitted from one of them: the cell that
 holds the lower-left corner of the common envelope.
 
+Cell sizes.  Every geometry has a level of its own, the lowest whose cells are at
+least a quarter of its size; cells double from level to level, so no geometry
+touches more than a few dozen cells.  A pair meets on the coarser of its two
+levels: the finer side is listed there too, but only for the levels the other
+side has.  Which levels a layer has is one small aggregate over both sides.
+Aggregates that add up over cells need the cells of one left row to be disjoint,
+so there a pair always meets on the level of the left geometry.
+
 Crowded cells.  Cell loads are counted first (one aggregate over envelope
 columns).  When no cell is crowded the join uses cells as they are.  Otherwise
   * cells holding many small geometries are cut into quarters, repeatedly,
@@ -13,12 +21,13 @@ columns).  When no cell is crowded the join uses cells as they are.  Otherwise
     `sl` slices and meet all `sr` right slices, and the other way round, so
     every pair meets exactly once and no task holds more than about
     `crowd` x `crowd` rows.
-The table of crowded cells has at most (listed rows / crowd) entries.
+The table of crowded cells grows with the data (at most listed rows / crowd
+entries), so it is joined without a broadcast hint.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +38,10 @@ from landgrain.functions import geometry as G
 from landgrain.functions import shapes as S
 
 MAX_LEVEL = 8
+"""Halvings of a crowded cell."""
+
+SPAN = 4
+"""Cells of its own level that a geometry may be wide."""
 
 
 @dataclass(frozen=True)
@@ -42,7 +55,8 @@ class Grid:
     quarter: bool = True
 
 
-KEY = ["_level", "_cx", "_cy", "_i", "_j"]
+CELL_KEY = ["_base", "_level", "_cx", "_cy"]
+KEY = [*CELL_KEY, "_i", "_j"]
 
 
 def suffix_clashes(left: DataFrame, right: DataFrame, lsuffix: str = "_left", rsuffix: str = "_right") -> tuple[DataFrame, DataFrame]:
@@ -55,16 +69,41 @@ def suffix_clashes(left: DataFrame, right: DataFrame, lsuffix: str = "_left", rs
 
 
 def choose_cell(left: DataFrame, right: DataFrame, distance: float = 0.0) -> float:
-    """Twice the root-mean-square envelope side of both layers, so a geometry touches about four cells."""
+    """Twice the median envelope side of the layer with the larger geometries; larger ones go to higher levels."""
 
-    def spread(df):
+    def typical(df):
         g = F.col("geometry")
-        return df.agg(
-            F.avg(F.pow(g["xmax"] - g["xmin"], 2) + F.pow(g["ymax"] - g["ymin"], 2)).alias("s"),
-        )
+        return df.agg(F.percentile_approx(F.greatest(g["xmax"] - g["xmin"], g["ymax"] - g["ymin"]), 0.5).alias("s"))
+
+    s = typical(left).unionAll(typical(right)).agg(F.max("s")).first()[0]
+    return max(2.0 * (s or 0.0), 2.0 * distance, 1.0)
 
-    s = spread(left).unionAll(spread(right)).agg(F.max("s")).first()[0]
-    return max(2.0 * (s or 0.0) ** 0.5, 2.0 * distance, 1.0)
+
+def _own_level(cell: float, margin: float) -> str:
+    side = f"(greatest(geometry.xmax - geometry.xmin, geometry.ymax - geometry.ymin) + {2 * float(margin)}D)"
+    return f"CAST(greatest(0, ceil(log2({side} / {SPAN * float(cell)}D))) AS INT)"
+
+
+@dataclass(frozen=True)
+class Survey:
+    """Levels of both sides, their row counts, and whether every geometry equals its envelope."""
+
+    left: tuple[int, ...]
+    right: tuple[int, ...]
+    rows: tuple[int, int]
+    boxes: tuple[bool, bool]
+
+
+def survey(left: DataFrame, right: DataFrame, cell: float, margin: float = 0.0) -> Survey:
+    """One aggregate over the envelopes of both sides; a row per side and level reaches the driver."""
+
+    def one(df, side, grown):
+        return df.where("geometry.xmin IS NOT NULL").selectExpr(f"{side} AS side", f"{_own_level(cell, grown)} AS level", "geometry.boxy AS boxy")
+
+    both = one(left, 0, margin).unionAll(one(right, 1, 0.0)).groupBy("side", "level").agg(F.count("*").alias("n"), F.min("boxy").alias("boxy")).collect()
+    sides = [[r for r in both if r.side == k] for k in (0, 1)]
+    levels = [tuple(sorted(r.level for r in side)) for side in sides]
+    return Survey(*levels, tuple(sum(r.n for r in side) for side in sides), tuple(all(r.boxy for r in side) for side in sides))
 
 
 def list_cells(df: DataFrame, cell: float, margin: float = 0.0, names=("_cx", "_cy")) -> DataFrame:
@@ -78,109 +117,166 @@ def list_cells(df: DataFrame, cell: float, margin: float = 0.0, names=("_cx", "_
     return df.where("geometry.xmin IS NOT NULL").selectExpr("*", f"{span('x')} AS {cx}").selectExpr("*", f"{span('y')} AS {cy}")
 
 
-def _quarter_levels(right: DataFrame, cell: float, crowd: int) -> DataFrame:
+def _numbers(items) -> str:
+    return f"CAST(array({', '.join(map(str, items))}) AS array<int>)"
+
+
+def _code(df: DataFrame, cell: float, margin: float, mine: str | None) -> DataFrame:
+    """One row per code in `_base`: twice the level, plus one where a pair meets on the right side's level."""
+    there = df.where("geometry.xmin IS NOT NULL")
+    if mine is None:
+        return there.selectExpr("*", "0 AS _base")
+    level = _own_level(cell, margin)
+    return there.selectExpr("*", f"explode({mine.replace('_own_level', level)}) AS _base")
+
+
+def _coded(left: DataFrame, right: DataFrame, cell: float, margin: float, seen: Survey, once: bool) -> tuple[DataFrame, DataFrame]:
+    """Both sides under the levels where their pairs meet.
+
+    Even codes: the left geometry is at its own level and the right one at that level or
+    below.  Odd codes: the right geometry is at its own level and the left one below.  So
+    two small geometries never meet in a large cell.
+    """
+    flat = set(seen.left) <= {0} and (not once or set(seen.right) <= {0})
+    if flat:
+        return _code(left, cell, margin, None), _code(right, cell, 0.0, None)
+    if not once:
+        return _code(left, cell, margin, "array(2 * _own_level)"), _code(right, cell, 0.0, _numbers([2 * k for k in seen.left]))
+    lower = min(seen.left, default=0)
+    above = f"transform(filter({_numbers(seen.right)}, k -> k > _own_level), k -> 2 * k + 1)"
+    here = f"transform(filter({_numbers(seen.left)}, k -> k >= _own_level), k -> 2 * k)"
+    own = f"CASE WHEN _own_level > {lower} THEN array(2 * _own_level + 1) ELSE {_numbers([])} END"
+    return _code(left, cell, margin, f"concat(array(2 * _own_level), {above})"), _code(right, cell, 0.0, f"concat({here}, {own})")
+
+
+def _list_codes(coded: DataFrame, cell: float, margin: float = 0.0) -> DataFrame:
+    """One row per cell of the code's level that the envelope touches; `_level` counts halvings of the cell, negative for larger cells."""
+    size = f"({cell} / power(2D, -(_base DIV 2)))"
+
+    def span(axis):
+        low, high = f"floor((geometry.{axis}min - {margin}) / {size})", f"floor((geometry.{axis}max + {margin}) / {size})"
+        return f"explode(sequence({low}, {high}))"
+
+    listed = coded.selectExpr("*", f"{span('x')} AS _cx").selectExpr("*", f"{span('y')} AS _cy")
+    return listed.selectExpr("*", "CAST(-(_base DIV 2) AS INT) AS _level")
+
+
+def _quarter_levels(left: DataFrame, right: DataFrame, cell: float, crowd: int) -> DataFrame:
     """Crowded base cells with the number of halvings that thins them out.
 
-    Geometries are counted once, at their envelope centre, on the finest grid,
-    and the counts are rolled up level by level.  A cell is not cut below the
-    root-mean-square geometry size in it, which bounds the copies made.
+    Geometries are counted once per code, at their envelope centre, on the finest grid,
+    and the counts are rolled up level by level.  A cell is not cut below the mean
+    geometry size in it, which bounds the copies made.
     """
     g = F.col("geometry")
-    fine = cell / 2**MAX_LEVEL
-    centres = right.where(g["xmin"].isNotNull()).select(
-        F.floor((g["xmin"] + g["xmax"]) / 2 / fine).alias("fx"),
-        F.floor((g["ymin"] + g["ymax"]) / 2 / fine).alias("fy"),
-        (F.pow(g["xmax"] - g["xmin"], 2) + F.pow(g["ymax"] - g["ymin"], 2)).alias("s"),
-    )
-    counts = centres.groupBy("fx", "fy").agg(F.count("*").alias("n"), F.sum("s").alias("s"))
+    fine = F.lit(cell) * F.pow(F.lit(2.0), F.floor(F.col("_base") / 2)) / 2**MAX_LEVEL
+
+    def centres(df, nl, nr):
+        return df.select(
+            "_base",
+            F.floor((g["xmin"] + g["xmax"]) / 2 / fine).alias("fx"),
+            F.floor((g["ymin"] + g["ymax"]) / 2 / fine).alias("fy"),
+            F.greatest(g["xmax"] - g["xmin"], g["ymax"] - g["ymin"]).alias("s"),
+            F.lit(nl).alias("nl"),
+            F.lit(nr).alias("nr"),
+        )
+
+    counts = centres(left, 1, 0).unionAll(centres(right, 0, 1)).groupBy("_base", "fx", "fy").agg(F.sum("nl").alias("nl"), F.sum("nr").alias("nr"), F.sum("s").alias("s"))
     base = 2**MAX_LEVEL
-    base_cols = [F.floor(F.col("fx") / base).alias("_cx"), F.floor(F.col("fy") / base).alias("_cy")]
-    crowded = counts.groupBy(*base_cols).agg(F.sum("n").alias("total"), F.sqrt(F.sum("s") / F.sum("n")).alias("side")).where(F.col("total") > crowd)
+    at = ["_base", F.floor(F.col("fx") / base).alias("_cx"), F.floor(F.col("fy") / base).alias("_cy")]
+    most = F.greatest(F.sum("nl"), F.sum("nr"))
+    crowded = counts.groupBy(*at).agg(most.alias("total"), (F.sum("s") / F.sum(F.col("nl") + F.col("nr"))).alias("side")).where(F.col("total") > crowd)
     rolled = (
-        counts.select("*", *base_cols)
-        .join(crowded, ["_cx", "_cy"])
-        .withColumn("_level", F.explode(F.sequence(F.lit(1), F.lit(MAX_LEVEL))))
-        .where(F.lit(cell) / F.pow(F.lit(2.0), F.col("_level")) >= F.col("side"))
-        .withColumn("shift", F.pow(F.lit(2.0), F.lit(MAX_LEVEL) - F.col("_level")))
-        .groupBy("_cx", "_cy", "_level", F.floor(F.col("fx") / F.col("shift")).alias("sx"), F.floor(F.col("fy") / F.col("shift")).alias("sy"))
-        .agg(F.sum("n").alias("n"))
-        .groupBy("_cx", "_cy", "_level")
+        counts.select("*", *at[1:])
+        .join(crowded, ["_base", "_cx", "_cy"])
+        .withColumn("_halve", F.explode(F.sequence(F.lit(1), F.lit(MAX_LEVEL))))
+        .where(F.lit(cell) * F.pow(F.lit(2.0), F.floor(F.col("_base") / 2) - F.col("_halve")) >= F.col("side"))
+        .withColumn("shift", F.pow(F.lit(2.0), F.lit(MAX_LEVEL) - F.col("_halve")))
+        .groupBy("_base", "_cx", "_cy", "_halve", F.floor(F.col("fx") / F.col("shift")).alias("sx"), F.floor(F.col("fy") / F.col("shift")).alias("sy"))
+        .agg(most.alias("n"))
+        .groupBy("_base", "_cx", "_cy", "_halve")
         .agg(F.max("n").alias("n"))
     )
-    return rolled.groupBy("_cx", "_cy").agg(
-        F.coalesce(F.min(F.when(F.col("n") <= crowd, F.col("_level"))), F.max("_level")).alias("_level")
+    return rolled.groupBy("_base", "_cx", "_cy").agg(
+        F.coalesce(F.min(F.when(F.col("n") <= crowd, F.col("_halve"))), F.max("_halve")).alias("_halve")
     )
 
 
 def _apply_levels(cells: DataFrame, levels: DataFrame | None, cell: float, margin: float) -> DataFrame:
     """Replace crowded base cells by their sub-cells."""
     if levels is None:
-        return cells.withColumn("_level", F.lit(0))
+        return cells
     g = F.col("geometry")
-    joined = cells.join(F.broadcast(levels), ["_cx", "_cy"], "left").withColumn("_level", F.coalesce("_level", F.lit(0)))
-    scale = F.pow(F.lit(2.0), F.col("_level"))
-    side = F.lit(cell) / scale
+    joined = cells.join(levels, ["_base", "_cx", "_cy"], "left").withColumn("_halve", F.coalesce("_halve", F.lit(0)))
+    joined = joined.withColumn("_level", (F.col("_level") + F.col("_halve")).cast("int"))
+    scale = F.pow(F.lit(2.0), F.col("_halve"))
+    side = F.lit(cell) / F.pow(F.lit(2.0), F.col("_level"))
 
     def span(lo, hi, c):
         first = F.greatest(F.floor((lo - margin) / side), (F.col(c) * scale).cast("long"))
         last = F.least(F.floor((hi + margin) / side), ((F.col(c) + 1) * scale).cast("long") - 1)
         return F.sequence(first, last)
 
-    return joined.withColumn("_cx", F.explode(span(g["xmin"], g["xmax"], "_cx"))).withColumn(
-        "_cy", F.explode(span(g["ymin"], g["ymax"], "_cy"))
+    return (
+        joined.withColumn("_cx", F.explode(span(g["xmin"], g["xmax"], "_cx")))
+        .withColumn("_cy", F.explode(span(g["ymin"], g["ymax"], "_cy")))
+        .drop("_halve")
     )
 
 
 def _slices(lcells: DataFrame, rcells: DataFrame, crowd: int) -> DataFrame:
     """Cells still crowded on either side, with slice counts."""
-    keys = ["_level", "_cx", "_cy"]
     loads = (
-        lcells.selectExpr(*keys, "1 AS nl", "0 AS nr")
-        .unionAll(rcells.selectExpr(*keys, "0 AS nl", "1 AS nr"))
-        .groupBy(*keys)
+        lcells.selectExpr(*CELL_KEY, "1 AS nl", "0 AS nr")
+        .unionAll(rcells.selectExpr(*CELL_KEY, "0 AS nl", "1 AS nr"))
+        .groupBy(*CELL_KEY)
         .agg(F.sum("nl").alias("nl"), F.sum("nr").alias("nr"))
     )
     return loads.where((F.col("nl") > crowd) | (F.col("nr") > crowd)).select(
-        *keys,
+        *CELL_KEY,
         F.ceil(F.greatest(F.col("nl"), F.lit(1)) / crowd).cast("int").alias("_sl"),
         F.ceil(F.greatest(F.col("nr"), F.lit(1)) / crowd).cast("int").alias("_sr"),
     )
 
 
 def _row_hash(cells: DataFrame) -> Column:
-    skip = {"_level", "_cx", "_cy", "_sl", "_sr"}
+    skip = {*CELL_KEY, "_sl", "_sr"}
     flat = [F.col(c) for c, t in cells.dtypes if c not in skip and not t.startswith(("map", "struct", "array"))]
     g = F.col("geometry")
     return F.xxhash64(*flat, g["xmin"], g["ymin"], g["xmax"], g["ymax"])
 
 
-def place(left: DataFrame, right: DataFrame, grid: Grid, margin: float = 0.0, bound: DataFrame | None = None) -> tuple[DataFrame, DataFrame, float, bool]:
+def place(
+    left: DataFrame, right: DataFrame, grid: Grid, margin: float = 0.0, once: bool = True, bound: DataFrame | None = None, seen: Survey | None = None
+) -> tuple[DataFrame, DataFrame, float, bool]:
     """Both sides listed under join keys; returns (left, right, cell, sliced).
 
     `bound` is a superset of the right side that is cheaper to count, such as
     the rows before copies are dropped; if it is not crowded, neither is right.
     """
-    cell = grid.cell or choose_cell(left, right, margin)
-    lcells, rcells = list_cells(left, cell, margin), list_cells(right, cell)
-    crowd = grid.crowd
+    if grid.cell is None:
+        grid = replace(grid, cell=choose_cell(left, right, margin))
+    cell, crowd = grid.cell, grid.crowd
+    seen = seen or survey(left, right if bound is None else bound, cell, margin)
+    lcoded, rcoded = _coded(left, right, cell, margin, seen, once)
+    lcells, rcells = _list_codes(lcoded, cell, margin), _list_codes(rcoded, cell)
 
     def is_crowded(other: DataFrame) -> bool:
         # one narrow pass over envelopes decides between the plain and the crowded plan
-        flat = ["*", "0 AS _level"]
-        return not _slices(lcells.selectExpr(*flat), list_cells(other, cell).selectExpr(*flat), crowd).isEmpty()
+        return not _slices(lcells, _list_codes(_coded(left, other, cell, margin, seen, once)[1], cell), crowd).isEmpty()
 
     levels = slices = None
-    if crowd and (bound is None or is_crowded(bound)) and is_crowded(right):
+    if crowd and max(seen.rows) > crowd and (bound is None or is_crowded(bound)) and is_crowded(right):
         if grid.quarter:
-            levels = _quarter_levels(right, cell, crowd)
+            levels = _quarter_levels(lcoded, rcoded, cell, crowd)
         lcells, rcells = _apply_levels(lcells, levels, cell, margin), _apply_levels(rcells, levels, cell, 0.0)
         slices = _slices(lcells, rcells, crowd)
     if slices is None:
-        plain = ["*", "0 AS _level", "0 AS _i", "0 AS _j"]
+        plain = ["*", "0 AS _i", "0 AS _j"]
         return lcells.selectExpr(*plain), rcells.selectExpr(*plain), cell, False
 
     def cut(cells, own, count_own, other, count_other):
-        joined = cells.join(F.broadcast(slices), ["_level", "_cx", "_cy"], "left")
+        joined = cells.join(slices, CELL_KEY, "left")
         joined = joined.withColumns({count_own: F.coalesce(count_own, F.lit(1)), count_other: F.coalesce(count_other, F.lit(1))})
         joined = joined.withColumn(own, F.pmod(_row_hash(cells), F.col(count_own)).cast("int"))
         return joined.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(count_other) - 1)))
@@ -204,13 +300,15 @@ def plan_candidates(
     lsuffix: str = "_left",
     rsuffix: str = "_right",
     bound: DataFrame | None = None,
+    seen: Survey | None = None,
 ) -> tuple[DataFrame, bool]:
     """Candidate pairs, and whether crowded cells had to be sliced.
 
     once=True emits each pair from one cell.  once=False emits it from every
-    shared cell, for aggregates that add up or merge over cells.
+    shared cell, for aggregates that add up or merge over cells; all cells of a left
+    row then have one level.
     """
-    lcells, rcells, cell, sliced = place(left, right, grid, margin, bound)
+    lcells, rcells, cell, sliced = place(left, right, grid, margin, once, bound, seen)
     lnames, rnames = [c for c in lcells.columns if c not in KEY], [c for c in rcells.columns if c not in KEY]
     clash = set(lnames) & set(rnames)
     lcells = lcells.withColumnsRenamed({c: c + lsuffix for c in clash})
@@ -245,9 +343,12 @@ def sjoin(
     When every geometry equals its envelope the whole test stays inside the
     JVM; boxes_only=None looks, True promises it.
     """
+    if grid.cell is None:
+        grid = replace(grid, cell=choose_cell(left, right, distance))
+    seen = survey(left, right, grid.cell, distance)
     if boxes_only is None:
-        boxes_only = only_boxes(left) and only_boxes(right)
-    pairs = candidates(left, right, grid, distance, True, lsuffix=lsuffix, rsuffix=rsuffix)
+        boxes_only = all(seen.boxes)
+    pairs = candidates(left, right, grid, distance, True, lsuffix=lsuffix, rsuffix=rsuffix, seen=seen)
     gl, gr = F.col("geometry" + lsuffix), F.col("geometry" + rsuffix)
     if boxes_only:
         measured = pairs.withColumn("_gap", G.envelope_distance(gl, gr))

@@ -147,3 +147,19 @@ def test_random_metric_repeats(spark, sf_dir):
 
     a, b = (sorted(map(tuple, QUERIES["F21_random_metric"](spark, sf_dir).collect())) for _ in range(2))
     assert a == b and all(0 <= m < 1 for _, m in a)
+
+
+def test_area_of_large_beside_small(spark):
+    from landgrain.functions import geometry as G
+    from landgrain.operators import overlap
+    from landgrain.operators.spatial_join import Grid
+
+    rows = [(k, float(x), float(y), float(s)) for k, x, y, s in [(0, 0, 0, 400), (1, 3, 3, 2), (2, 100, 100, 50), (3, 399, 399, 2)]]
+    layer = [("c", 0.0, 0.0, 250.0), ("c", 200.0, 0.0, 100.0), ("c", 4.0, 4.0, 1.0), ("d", 101.0, 101.0, 3.0)]
+    box = G.box_sql("x", "y", "x + s", "y + s")
+    parcels = spark.createDataFrame(rows, "k int, x double, y double, s double").selectExpr("k", f"{box} AS geometry")
+    feats = spark.createDataFrame(layer, "c string, x double, y double, s double").selectExpr("c", f"{box} AS geometry")
+    want = {(0, "c"): 250 * 250 + 50 * 100, (1, "c"): 4, (2, "c"): 2500, (0, "d"): 9, (2, "d"): 9}
+    for grid in (Grid(1.0), Grid(10.0), Grid(2.0, crowd=1), Grid(None)):
+        got = {(r.k, r.c): r.area for r in overlap.shared_area(parcels, [feats], "k", ["c"], grid).collect()}
+        assert got == pytest.approx(want)

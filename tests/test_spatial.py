@@ -163,3 +163,28 @@ def test_cycles_are_found(spark):
 
     with pytest.raises(ValueError, match="cycle"):
         catalogue.lineage(spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "name string, parent string"))
+
+
+def test_large_beside_small(spark):
+    rng = np.random.default_rng(8)
+
+    def boxes(n, key, large):
+        rows = [(f"{key}{i}", *rng.uniform(0, 1000, 2).tolist(), float(rng.choice([0.5, 3.0, 40.0]))) for i in range(n)]
+        rows += [(f"{key}L{i}", 0.0, 0.0, side) for i, side in enumerate(large)]
+        return spark.createDataFrame(rows, [key, "x", "y", "s"]).selectExpr(key, f"{G.box_sql('x', 'y', 'x + s', 'y + s')} AS geometry"), rows
+
+    left, lrows = boxes(150, "a", [1000.0, 90.0])
+    right, rrows = boxes(200, "b", [1000.0, 1000.0, 300.0])
+    for d in (0.0, 7.0):
+        want = sorted(
+            (a, b)
+            for a, x, y, s in lrows
+            for b, u, v, t in rrows
+            if max(u - x - s, x - u - t, 0.0) ** 2 + max(v - y - s, y - v - t, 0.0) ** 2 <= d * d
+        )
+        for grid in (Grid(1.0), Grid(5.0), Grid(None), Grid(2.0, crowd=10)):
+            got = sorted((r.a, r.b) for r in SJ.sjoin(left, right, d, grid).select("a", "b").collect())
+            assert got == want
+    # a geometry touches few cells, however large
+    cells = SJ.place(left, right, Grid(1.0), once=True)[0].groupBy("a", "_base").count()
+    assert cells.agg(F.max("count")).first()[0] <= 36
