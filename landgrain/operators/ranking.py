@@ -1,10 +1,11 @@
 """Positions in a total order, without sorting everything in one task.
 
 A window over a whole table (or over one key that holds much of it) would run
-in a single task.  Here the order is cut into buckets at sampled quantiles, rows
-are numbered inside their bucket in parallel, and the bucket's starting position
-is added.  A value so frequent that it fills whole buckets gets a bucket of its
-own, which is cut again by the tie-break column.
+in a single task.  Here the rows are range-partitioned by the whole order, ties
+included, so that neither a frequent value nor a busy key fills a partition, and
+sorted inside their partition.  A row's position is its place in the partition
+plus the rows of the partitions before.  The number of partitions is
+spark.sql.shuffle.partitions, which grows with the cluster.
 """
 
 from __future__ import annotations
@@ -15,47 +16,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from landgrain.operators.spatial_join import durable
+
 
 def _bounds(df: DataFrame, column: str, buckets: int) -> list:
     steps = [i / buckets for i in range(1, buckets)]
     return df.agg(F.percentile_approx(column, steps, 10_000)).first()[0] or []
 
 
-def _bucket(column: str, cuts: list, on_cut: set) -> Column:
-    """Even numbers lie between cuts, odd numbers are rows equal to a frequent cut."""
-    v = F.col(column)
-    below = reduce(lambda acc, c: acc + F.when(v > c, 2).otherwise(0), cuts, F.lit(0))
-    equal = v.isin(*on_cut) if on_cut else F.lit(False)
-    return below + F.when(equal, 1).otherwise(0)
-
-
-def row_numbers(
-    df: DataFrame, value: str, tie: str, keys: list[str] = (), name: str = "position", descending: bool = False, buckets: int = 64
-) -> DataFrame:
+def row_numbers(df: DataFrame, value: str, tie: str, keys: list[str] = (), name: str = "position", descending: bool = False) -> DataFrame:
     """1-based position of every row in the order (value, tie), within keys if given.
 
-    `tie` must be unique per value; `value` numeric and not null.  Null keys are a group of their own.  A tie column
-    that is not numeric orders by its hash.
+    `tie` must be unique per value; it orders as its type does, text by text.  Null
+    values come last, and null keys are a group of their own.  The rows are written to
+    the checkpoint folder once, because range bounds are sampled.
     """
     keys = list(keys)
-    if dict(df.dtypes)[tie] in ("string", "binary", "boolean") or dict(df.dtypes)[tie].startswith(("struct", "array")):
-        hashed = row_numbers(df.withColumn("_tie", F.xxhash64(tie)), value, "_tie", keys, name, descending, buckets)
-        return hashed.drop("_tie")
-    work = df.withColumn("_v", -F.col(value)) if descending else df.withColumn("_v", F.col(value))
-    qs = _bounds(work, "_v", buckets)
-    cuts = sorted(set(qs))
-    often = {q for q in cuts if qs.count(q) > 1}
-    tie_cuts = sorted(set(_bounds(work, tie, buckets))) if often else []
-    sub = F.when(F.col("_b") % 2 == 1, _bucket(tie, tie_cuts, set())).otherwise(F.lit(0)) if often else F.lit(0)
-    placed = work.withColumn("_b", _bucket("_v", cuts, often)).withColumn("_s", sub)
-    counts = placed.groupBy(*keys, "_b", "_s").agg(F.count("*").alias("_n"))
-    before = W.partitionBy(*keys).orderBy("_b", "_s").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select(*keys, "_b", "_s", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    local = F.row_number().over(W.partitionBy(*keys, "_b", "_s").orderBy("_v", tie))
-    numbered = placed.withColumn("_r", local)
-    spots = starts.withColumnsRenamed({c: f"_at{i}" for i, c in enumerate(keys)}).withColumnsRenamed({"_b": "_atb", "_s": "_ats"})
-    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_at{i}")) for i, c in enumerate(keys)], (F.col("_b") == F.col("_atb")) & (F.col("_s") == F.col("_ats")))
-    return numbered.join(spots, same).withColumn(name, F.col("_start") + F.col("_r")).select(*df.columns, name)
+    v = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
+    order = [*[F.col(k).asc_nulls_last() for k in keys], v, F.col(tie).asc_nulls_last()]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = durable(ranged.withColumn("_id", F.monotonically_increasing_id()))
+    # the id holds the partition above 33 bits and the place in it below
+    placed = placed.select("*", F.shiftrightunsigned("_id", 33).alias("_part"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_at")).drop("_id")
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    # one row per partition
+    starts = placed.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    numbered = placed.join(F.broadcast(starts), "_part").withColumn("_row", F.col("_start") + F.col("_at"))
+    if not keys:
+        return numbered.withColumn(name, F.col("_row") + 1).select(*df.columns, name)
+    firsts = numbered.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min("_row").alias("_first"))
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return numbered.join(firsts, same).withColumn(name, F.col("_row") - F.col("_first") + 1).select(*df.columns, name)
 
 
 def ntile(df: DataFrame, value: str, tie: str, n: int, name: str) -> DataFrame:

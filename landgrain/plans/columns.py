@@ -178,10 +178,10 @@ def f20(spark, sf):
     return keyed.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.count_distinct("key").alias("n_keys"))
 
 
-@query("F21_random_metric")
+@query("F21_random_metric", "SELECT o_orderkey, CAST('0x' || substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS metric FROM orders")
 def f21(spark, sf):
     """A made-up metric per parcel, repeatable: drawn from the key, not from row order."""
-    u = F.pmod(F.xxhash64("o_orderkey", F.lit(42)), F.lit(1_000_003)) / 1_000_003
+    u = F.conv(F.substring(F.sha2(F.col("o_orderkey").cast("string"), 256), 1, 8), 16, 10).cast("double") / 4294967296.0
     return table(spark, sf, "orders").select("o_orderkey", u.alias("metric"))
 
 

@@ -326,3 +326,43 @@ def u8(spark, sf):
         grid=CELL,
     )
     return out
+
+
+# -- a lake of three datasets over the orders ------------------------------------------------
+
+
+def lake(spark, sf, first: str = "true"):
+    """A catalogue whose source holds the orders that `first` selects; returns it with the source's path."""
+    src = scratch(spark)
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    orders.where(first).write.parquet(src)
+    by_status = lambda df: df.groupBy("status").agg(F.count("*").alias("n"), F.sum("key").alias("keys"))
+    model = rules.Model({"key": rules.Rule("bigint", nullable=False, unique=True, alias="o_orderkey"), "status": rules.Rule("string", alias="o_orderstatus")})
+    made = [
+        catalogue.Dataset("raw", kind="source", level="bronze", path=src, model=model),
+        catalogue.Dataset("totals", depends=("raw",), build=by_status),
+        catalogue.Dataset("closed", depends=("raw",), build=by_status, restricted=True),
+    ]
+    return catalogue.Catalogue(spark, scratch(spark), made), src, orders
+
+
+@query("D5_refresh", "SELECT o_orderstatus AS status, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, 'raw totals closed,,raw totals closed' AS rebuilt FROM orders GROUP BY 1")
+def d5(spark, sf):
+    """The source grows between two refreshes; a refresh with nothing new rebuilds nothing."""
+    cat, src, orders = lake(spark, sf, "o_orderstatus = 'F'")
+    rebuilt = [cat.refresh("2024_01_01"), cat.refresh("2024_01_02")]
+    orders.where("o_orderstatus <> 'F'").write.mode("append").parquet(src)
+    rebuilt.append(cat.refresh("2024_01_03"))
+    order = {"raw": 0, "totals": 1, "closed": 2}
+    runs = ",".join(" ".join(sorted(r, key=order.get)) for r in rebuilt)
+    return cat.read("totals").select("status", "n", "keys", F.lit(runs).alias("rebuilt"))
+
+
+@query("S14_publish", "SELECT o_orderstatus AS status, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, 'totals,' AS published FROM orders GROUP BY 1")
+def s14(spark, sf):
+    """Open derived tables reach the target once; the restricted one never does."""
+    cat, _, _ = lake(spark, sf)
+    cat.refresh("2024_01_01")
+    target = scratch(spark)
+    published = ",".join(" ".join(cat.publish(target)) for _ in range(2))
+    return spark.read.parquet(f"{target}/totals-latest.parquet").select("status", "n", "keys", F.lit(published).alias("published"))

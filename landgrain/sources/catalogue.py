@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from graphlib import CycleError, TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from landgrain.functions.text import short_hash
 from landgrain.operators.spatial_join import durable
 from landgrain.operators.tables import rename_to_model
 from landgrain.sources import writers
-from landgrain.sources.readers import read_parquet
+from landgrain.sources.readers import decode_geometry, read_glob, read_parquet
 from landgrain.sources.rules import Model, require
 
 
@@ -105,24 +106,28 @@ class Catalogue:
             if d.kind == "derived":
                 df = d.build(*[self.read(p) for p in d.depends])
             else:
-                df = rename_to_model(self.spark.read.format(d.format).options(header=True).load(d.path), d.model.aliases)
+                df = rename_to_model(self._ingest(d), d.model.aliases)
             df = require(df, d.model)
             writers.write_parquet(df, f"{self.root}/{name}-{date}-{current[name]}.parquet", list(d.partition_by))
             done.append(name)
         return done
 
-    def _order(self) -> list[str]:
-        seen: list[str] = []
-
-        def visit(n):
-            if n not in seen:
-                for p in self.datasets[n].depends:
-                    visit(p)
-                seen.append(n)
+    def _ingest(self, d: Dataset) -> DataFrame:
+        """The raw rows: globs keep the file they came from and are united by name, geometry is decoded."""
+        if d.kind == "glob":
+            df = read_glob(self.spark, d.path, d.format, **({"mergeSchema": True} if d.format == "parquet" else {"header": True}))
+        else:
+            df = self.spark.read.format(d.format).options(header=True).load(d.path)
+        held = dict(df.dtypes).get("geometry")
+        return decode_geometry(df) if held in ("binary", "string") else df
 
-        for n in self.datasets:
-            visit(n)
-        return seen
+    def _order(self) -> list[str]:
+        """Names, dependencies first; a cycle is an error."""
+        sorter = TopologicalSorter({n: d.depends for n, d in self.datasets.items()})
+        try:
+            return list(sorter.static_order())
+        except CycleError as e:
+            raise ValueError(f"dependencies form a cycle: {e.args[1]}") from None
 
     def read(self, name: str, **kw) -> DataFrame:
         """The newest table of a dataset."""
