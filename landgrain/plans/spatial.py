@@ -367,6 +367,30 @@ def o19(spark, sf):
     return out.select("id_parcel", "fid", F.round("proportion", 9).alias("proportion"))
 
 
+# Diamonds are axis-parallel squares in the coordinates u = x + y and v = x - y, so pairs of them have a closed form.
+DIAMONDS_SQL = """pairs AS (SELECT p.id_parcel, f.k AS water, p.w::DOUBLE AS r,
+    least(p.x0 + p.y0 + p.w, f.x0 + f.y0 + f.w) - greatest(p.x0 + p.y0 - p.w, f.x0 + f.y0 - f.w) AS du,
+    least(p.x0 - p.y0 + p.w, f.x0 - f.y0 + f.w) - greatest(p.x0 - p.y0 - p.w, f.x0 - f.y0 - f.w) AS dv
+    FROM parcels p JOIN water f ON abs(f.x0 - p.x0) <= p.w + f.w + 100 AND abs(f.y0 - p.y0) <= p.w + f.w + 100)"""
+
+
+def diamonds(spark, sf):
+    plots = layer(spark, sf, "parcels").select("id_parcel", G.diamond("x0", "y0", "w").alias("geometry"))
+    return plots, layer(spark, sf, "water").select(F.col("k").alias("water"), G.diamond("x0", "y0", "w").alias("geometry"))
+
+
+@query("O19_pair_overlap_diamond", with_sql("parcels", "water") + f", {DIAMONDS_SQL} SELECT id_parcel, water, round(du * dv / 2 / (2 * r * r), 9) AS proportion FROM pairs WHERE du >= 0 AND dv >= 0")
+def o19_diamond(spark, sf):
+    plots, zones = diamonds(spark, sf)
+    return overlap.overlap(plots, zones, CELL).select("id_parcel", "water", F.round("proportion", 9).alias("proportion"))
+
+
+@query("J2_within_distance_diamond", with_sql("parcels", "water") + f", {DIAMONDS_SQL} SELECT id_parcel, water FROM pairs WHERE pow(greatest(-du, 0), 2) + pow(greatest(-dv, 0), 2) <= 2 * pow(49.9, 2)")
+def j2_diamond(spark, sf):
+    plots, zones = diamonds(spark, sf)
+    return SJ.sjoin(plots, zones, 49.9, CELL).select("id_parcel", "water")
+
+
 @query(
     "O20_overlap_census",
     with_sql("parcels")

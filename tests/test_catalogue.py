@@ -57,3 +57,12 @@ def test_pivot_round_trip(spark):
     df = spark.createDataFrame(rows, "id int, x int, y int")
     wide = pivot_wide(pivot_long(df, ["x", "y"])).select("id", "x", "y")
     assert sorted(map(tuple, wide.collect())) == rows
+
+
+def test_globs_keep_their_files_and_cycles_are_errors(spark, tmp_path):
+    spark.range(3).selectExpr("id", "1 AS a").write.parquet(str(tmp_path / "in1"))
+    spark.range(2).selectExpr("id", "2 AS b").write.parquet(str(tmp_path / "in2"))
+    cat = Catalogue(spark, str(tmp_path / "lake"), [Dataset("all", kind="glob", path=str(tmp_path / "in*"))])
+    assert set(cat._ingest(cat.datasets["all"]).columns) == {"id", "a", "b", "_path"}
+    with pytest.raises(ValueError, match="cycle"):
+        Catalogue(spark, str(tmp_path / "x"), [Dataset("p", depends=("q",)), Dataset("q", depends=("p",))])._order()

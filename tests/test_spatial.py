@@ -188,3 +188,16 @@ def test_large_beside_small(spark):
     # a geometry touches few cells, however large
     cells = SJ.place(left, right, Grid(1.0), once=True)[0].groupBy("a", "_base").count()
     assert cells.agg(F.max("count")).first()[0] <= 36
+
+
+def test_positions_follow_text_ties(spark):
+    from landgrain.operators import ranking
+
+    rows = [("k" if i % 3 else None, 1.0 if i % 2 else None, f"t{i * 37 % 101:03d}") for i in range(101)]
+    df = spark.createDataFrame(rows, "g string, v double, name string")
+    for descending in (False, True):
+        got = {r.name: r.position for r in ranking.row_numbers(df, "v", "name", ["g"], descending=descending).collect()}
+        for key in ("k", None):
+            want = sorted((v is None, name) for g, v, name in rows if g == key)
+            assert [got[name] for _, name in want] == list(range(1, len(want) + 1))
+    assert ranking.row_numbers(df.limit(0), "v", "name").count() == 0
