@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import brute
-from landgrain.llm import languages, licences, packing, pairs, phrases, pieces, pseudonyms, signatures
+from landgrain.llm import languages, licences, overlaps, packing, pairs, phrases, pieces, pseudonyms, signatures
 from landgrain.llm.components import components
 
 SCHEMA = "doc_id long, text string, score string"
@@ -109,6 +109,64 @@ def test_simhash_edges(spark):
     assert pairs.near_duplicates(docs.limit(0)).count() == 0
 
 
+def near_by_counting(texts):
+    """{id: smallest id that pairs with 4/5 of their 5-word shingles in common reach}."""
+    sets = {}
+    for i, text in texts.items():
+        w = (text or "").encode().lower().split()
+        sets[i] = {b" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else {b""}
+    root = {i: i for i in sets}
+    for i, j in itertools.combinations(sorted(sets), 2):
+        if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and root[i] != root[j]:
+            low, high = sorted((root[i], root[j]))
+            root = {k: low if r == high else r for k, r in root.items()}
+    return root
+
+
+def test_overlaps_equal_counting(spark, sf_dir, monkeypatch):
+    rng = random.Random(11)
+    common = words(0, 60).split()
+    texts, k = {}, 0
+    for size in (5, 6, 9, 20, 40, 90, 300):
+        for _ in range(4):
+            base = [f"x{rng.randrange(10**6)}" for _ in range(size)] + common * (size == 40)
+            for share in (0, 0.005, 0.01, 0.02, 0.03, 0.05):
+                texts[k] = " ".join(f"y{rng.randrange(10**6)}" if rng.random() < share else w for w in base).upper()
+                k += 7
+    texts |= {1: None, 2: "", 3: " \n", 8: "One Two", 9: "one two"}
+    docs = spark.createDataFrame([*texts.items(), (None, "one two")], "doc_id long, text string")
+    want = near_by_counting(texts)
+    for slices in (pairs.SLICE, 3):
+        monkeypatch.setattr(overlaps, "SLICE", slices)
+        assert {r["doc_id"]: r["component_id"] for r in overlaps.near_sets(docs).collect()} == want
+    assert overlaps.near_sets(docs.limit(0)).count() == 0
+    assert sorted(r["doc_id"] for r in overlaps.one_of_each(docs).collect() if r["doc_id"] is not None) == sorted({*want.values()})
+
+
+def test_shared_blocks(spark):
+    rng = random.Random(4)
+    rows = [(rng.randrange(60), rng.randrange(-5, 5)) for _ in range(150)] + [(7, 100 + k % 50) for k in range(300)]
+    members = {}
+    for block, node in rows:
+        members.setdefault(block, set()).add(node)
+    want = sorted((b, min(m), x) for b, m in members.items() if len(m) > 1 for x in m)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for n in ("1", "3", size):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+            assert sorted(map(tuple, overlaps._shared(spark.createDataFrame(rows, "block long, node long")).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
+def test_pipeline_drops_edited_copies(spark, sf_dir):
+    import corpus_pipeline
+
+    docs, texts = documents(spark, sf_dir)
+    got = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()}
+    assert got == set(near_by_counting(texts).values())
+
+
 # -- repeats -----------------------------------------------------------------------------
 
 
