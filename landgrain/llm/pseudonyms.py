@@ -11,6 +11,7 @@ import datetime as dt
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import product
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -229,7 +230,7 @@ KINDS = {
     "phone": (r"(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|-[0-9])", phone),
     "plus": (r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,5}\)?){2,6}(?![0-9]|-[0-9])", international),
 }
-_STARTS = re.compile(r"(?<![A-Za-z0-9@._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@|(?<![A-Za-z0-9])(?:[0-9]|[A-Z]{2}[0-9]{2})|\+[0-9]|\([0-9]")
+_STARTS = re.compile(r"(?<![A-Za-z0-9@._%+-])[._%+-]*([A-Za-z0-9])[A-Za-z0-9._%+-]*@|(?<![A-Za-z0-9])(?:[0-9]|[A-Z]{2}[0-9]{2})|\+[0-9]|\([0-9]")
 _PATTERNS: dict[str, re.Pattern] = {k: re.compile(p) for k, (p, _) in KINDS.items()}
 
 
@@ -238,8 +239,9 @@ def pseudonymise(text: str, key: bytes = KEY, known: dict | None = None) -> tupl
     known = {} if known is None else known
     out, at, n = [], 0, 0
     while m := _STARTS.search(text, at):
-        begin, done = m.start(), None
-        for kind, (_, fn) in KINDS.items():
+        done = None
+        # Marks before a mail name are no part of it; whatever else starts at them is tried next.
+        for begin, (kind, (_, fn)) in product(dict.fromkeys((m.start(1), m.start()) if m[1] else (m.start(),)), KINDS.items()):
             if found := _PATTERNS[kind].match(text, begin):
                 value = found[0]
                 if (kind, value) not in known:
@@ -248,12 +250,13 @@ def pseudonymise(text: str, key: bytes = KEY, known: dict | None = None) -> tupl
                     known[kind, value] = fn(value, key)
                 new = known[kind, value]
                 if new is not None:
-                    done = (found.end(), new)
+                    done = (begin, found.end(), new)
                     break
         if done:
-            out += [text[at:begin], done[1]]
-            at, n = done[0], n + 1
+            out += [text[at : done[0]], done[2]]
+            at, n = done[1], n + 1
         else:
+            begin = m.start()
             stop = begin + 1
             while text[begin].isalnum() and stop < len(text) and text[stop].isascii() and text[stop].isalnum():
                 stop += 1

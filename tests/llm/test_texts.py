@@ -254,6 +254,13 @@ def test_plain_text_is_left_alone(spark):
     assert got == [(0, False, 1), (1, True, 0), (2, False, 0)]
 
 
+@pytest.mark.parametrize("around", ["-{}", "_{}_", "...{}", "+{}", "* -{}, x", "%{}", "a -{}-", "({})", "+_-.{}"])
+def test_marks_before_mail_addresses(around):
+    plain = pseudonyms.pseudonymise("jane.b+c9@example.com")[0]
+    assert "jane" not in plain
+    assert pseudonyms.pseudonymise(around.format("jane.b+c9@example.com")) == (around.format(plain), 1)
+
+
 # -- languages ---------------------------------------------------------------------------
 
 
