@@ -124,12 +124,28 @@ def phone(text: str, key: bytes) -> str | None:
     return head + _refill(shape, _cycle(ds, [10] * 10, key, "phone", lambda x: x[0] >= 2))
 
 
+# Digits after the country code, for countries whose numbers all have one of few lengths.
+NATIONAL = {
+    "1": (10,), "7": (10,), "27": (9,), "30": (10,), "31": (9,), "32": (8, 9), "33": (9,), "34": (9,), "36": (8, 9),
+    "40": (9,), "41": (9,), "44": (9, 10), "45": (8,), "47": (8,), "48": (9,), "51": (8, 9), "52": (10,), "61": (9,),
+    "63": (10,), "65": (8,), "66": (8, 9), "81": (9, 10), "82": (8, 9, 10), "84": (9, 10), "90": (10,), "91": (10,), "92": (9, 10),
+    "351": (9,), "353": (7, 8, 9), "380": (9,), "420": (9,), "421": (9,), "852": (8,), "886": (8, 9), "966": (8, 9), "971": (8, 9), "972": (8, 9),
+}
+
+
+def _country(ds: list[int]) -> str:
+    """The country code of NATIONAL that the digits start with, or nothing."""
+    head = "".join(map(str, ds[:3]))
+    return next((head[:k] for k in (1, 2, 3) if head[:k] in NATIONAL), "")
+
+
 def international(text: str, key: bytes) -> str | None:
-    """Numbers with a plus sign and 8 to 15 digits keep their first two digits."""
+    """Numbers with a plus sign and 8 to 15 digits keep their first two digits, and a country code of NATIONAL."""
     ds = _digits(text)
     if not 8 <= len(ds) <= 15:
         return None
-    return _refill(text, ds[:2] + permute(ds[2:], [10] * (len(ds) - 2), key, f"plus{ds[0]}{ds[1]}"))
+    k = max(2, len(_country(ds)))
+    return _refill(text, ds[:k] + permute(ds[k:], [10] * (len(ds) - k), key, "plus" + "".join(map(str, ds[:k]))))
 
 
 def _real_ssn(ds: list[int]) -> bool:
@@ -234,6 +250,64 @@ _STARTS = re.compile(r"(?<![A-Za-z0-9@._%+-])[._%+-]*([A-Za-z0-9])[A-Za-z0-9._%+
 _PATTERNS: dict[str, re.Pattern] = {k: re.compile(p) for k, (p, _) in KINDS.items()}
 
 
+# Characters of an account number, by country.
+IBAN_SIZES = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22,
+    "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22,
+    "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30,
+    "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31,
+    "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24,
+    "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+# Lengths of payment cards by their first digit.
+CARD_SIZES = {2: (16,), 3: (14, 15, 16), 4: (13, 16, 19), 5: (16,), 6: (16, 17, 18, 19)}
+_CARD_RUN = re.compile(r"[0-9](?:[ -]?[0-9]){12,18}")
+_PLUS_RUN = re.compile(r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,5}\)?){1,8}")
+
+
+def _group_ends(text: str, begin: int, end: int) -> list[int]:
+    """The ends of the groups of digits in a match, the last first."""
+    return [e for e in range(end, begin, -1) if "0" <= text[e - 1] <= "9" and not "0" <= text[e : e + 1] <= "9"]
+
+
+def _usual_card(text: str, begin: int) -> int | None:
+    """The end of the longest card at `begin` that has a right check digit and a usual length."""
+    if run := _CARD_RUN.match(text, begin):
+        for end in _group_ends(text, begin, run.end()):
+            ds = _digits(text[begin:end])
+            if len(ds) in CARD_SIZES.get(ds[0], ()) and luhn(ds):
+                return end
+    return None
+
+
+def _tries(kind: str, text: str, begin: int) -> Iterator[int]:
+    """The ends of the values of one kind that may start at `begin`, the best first.
+
+    More groups may follow a number, such as a card's CVV or an amount.  The longest match
+    is tried first, then ends at its groups; numbers whose country has a fixed length end there.
+    """
+    found = _PATTERNS[kind].match(text, begin)
+    if kind == "iban" and found:
+        ends = [found.end(), *(e for e in range(found.end() - 1, begin, -1) if text[e] == " ")]
+        size = IBAN_SIZES.get(found[0][:2])
+        yield from sorted(ends, key=lambda e: e - begin - text.count(" ", begin, e) != size)
+        return
+    if kind == "plus" and (run := _PLUS_RUN.match(text, begin)):
+        ds = _digits(run[0])
+        code = _country(ds)
+        ends = {len(_digits(text[begin:e])) - len(code): e for e in _group_ends(text, begin, run.end())}
+        yield from (e for k, e in ends.items() if k in NATIONAL.get(code, ()))
+    if found:
+        yield found.end()
+    if kind == "card" and (run := _CARD_RUN.match(text, begin)):
+        ends = _group_ends(text, begin, run.end())
+        usual = _usual_card(text, begin)
+        # A number that stands before a card must not take a part of it.
+        if usual and not any("0" <= text[k] <= "9" and not text[k - 1].isdigit() and (_usual_card(text, k) or 0) > usual for k in range(begin + 1, usual)):
+            yield usual
+        yield from (e for e in ends if e - begin == 16 and text[begin:e].isdigit())
+
+
 def pseudonymise(text: str, key: bytes = KEY, known: dict | None = None) -> tuple[str, int]:
     """The text with its personal data replaced, and how many values were."""
     known = {} if known is None else known
@@ -242,16 +316,18 @@ def pseudonymise(text: str, key: bytes = KEY, known: dict | None = None) -> tupl
         done = None
         # Marks before a mail name are no part of it; whatever else starts at them is tried next.
         for begin, (kind, (_, fn)) in product(dict.fromkeys((m.start(1), m.start()) if m[1] else (m.start(),)), KINDS.items()):
-            if found := _PATTERNS[kind].match(text, begin):
-                value = found[0]
+            for end in _tries(kind, text, begin):
+                value = text[begin:end]
                 if (kind, value) not in known:
                     if len(known) > 200_000:
                         known.clear()
                     known[kind, value] = fn(value, key)
                 new = known[kind, value]
                 if new is not None:
-                    done = (begin, found.end(), new)
+                    done = (begin, end, new)
                     break
+            if done:
+                break
         if done:
             out += [text[at : done[0]], done[2]]
             at, n = done[1], n + 1

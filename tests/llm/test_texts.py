@@ -261,6 +261,25 @@ def test_marks_before_mail_addresses(around):
     assert pseudonyms.pseudonymise(around.format("jane.b+c9@example.com")) == (around.format(plain), 1)
 
 
+@pytest.mark.parametrize("value", ["4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1111", "378282246310005", "4610568901970798", "AT61 1904 3002 3457 3201", "AT611904300234573201", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "+44 20 7946 0958", "+442079460958", "+33 1 23 45 67 89", "+351 912 345 678"])
+@pytest.mark.parametrize("after", [" 123", " 12/26", " 123 12/26", " 2026", " 50.00", " 1 2 3", " BIC", " BANK", " EUR 50", " BIC GIBAATWWXXX", "-123", "-2026"])
+def test_values_before_more_groups(value, after):
+    plain, n = pseudonyms.pseudonymise(value)
+    assert n == 1 and plain != value
+    if after[0] == "-" and value[:2].isalpha():
+        return
+    got = pseudonyms.pseudonymise(f"a {value}{after}")[0]
+    assert got == f"a {plain}{after}"
+
+
+def test_numbers_before_cards():
+    plain = pseudonyms.pseudonymise("4111 1111 1111 1111")[0]
+    assert plain != "4111 1111 1111 1111"
+    for k in range(1, 100):
+        got = pseudonyms.pseudonymise(f"{k} 4111 1111 1111 1111")[0]
+        assert "1111 1111" not in got and not got.endswith(" 1111")
+
+
 # -- languages ---------------------------------------------------------------------------
 
 
