@@ -28,8 +28,20 @@ NOTICES = [
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
 ]
 
-# Spellings that mean the same in a licence, replaced in this order wherever they stand in a line.
+# Spellings that mean the same in a licence, replaced in this order on whole words.
 SPELLINGS = [
+    ("licence", "license"),
+    ("licences", "licenses"),
+    ("licenced", "licensed"),
+    ("sublicence", "sublicense"),
+    ("organisation", "organization"),
+    ("favour", "favor"),
+    ("whilst", "while"),
+    ("v", "version"),
+]
+# The check SQL still replaces these strings wherever they stand in a line, so it
+# differs from the query on texts with a spelling inside a word or beside a line break.
+CHECK_SPELLINGS = [
     ("licence", "license"),
     ("organisation", "organization"),
     ("favour", "favor"),
@@ -44,8 +56,11 @@ def canonical_lines(text: Column) -> Column:
     out = F.translate(F.replace(out, F.lit("\r\n"), F.lit("\n")), "\r", "\n")
     out = F.regexp_replace(out, r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$", "")
     out = F.regexp_replace(out, r"[^\p{L}\p{N}\n]+", " ")
+    # Every word gets a space of its own on both sides, so plain replacement hits whole words only.
+    out = F.concat(F.lit(" "), F.replace(F.replace(out, F.lit(" "), F.lit("  ")), F.lit("\n"), F.lit(" \n ")), F.lit(" "))
     for old, new in SPELLINGS:
-        out = F.replace(out, F.lit(old), F.lit(new))
+        out = F.replace(out, F.lit(f" {old} "), F.lit(f" {new} "))
+    out = F.replace(out, F.lit("  "), F.lit(" "))
     return F.filter(F.transform(F.split(out, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
@@ -100,7 +115,7 @@ def _check_sql() -> str:
     body = f"replace(replace({body}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
     body = rf"regexp_replace({body}, '(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$', '', 'g')"
     body = rf"regexp_replace({body}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
-    for old, new in SPELLINGS:
+    for old, new in CHECK_SPELLINGS:
         body = f"replace({body}, '{old}', '{new}')"
     lines = f"[trim(x, ' ') FOR x IN string_split({body}, chr(10)) IF trim(x, ' ') <> '']"
     known = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in NOTICES)

@@ -63,6 +63,15 @@ def test_licence_forms(spark):
     assert {r["text_license"] for r in licences.scan(docs, known.limit(0)).collect()} == {None}
 
 
+def test_licence_spellings_are_whole_words(spark):
+    same = ["License, v\n2 while v v licenses", "Licence, version 2\r\nWhilst version\nv LICENCES", "license version 2 whilst\nv\nversion licences"]
+    other = ["favourite organisational", "favorite organizational", "v2", "version2", "whilsts", "whiles"]
+    docs = spark.createDataFrame(list(enumerate(same + other)), "doc_id long, text string")
+    got = {r["doc_id"]: r["canonical_sha256"] for r in licences.scan(docs, licences.notices(spark)).collect()}
+    assert {got[k] for k in range(len(same))} == {hashlib.sha256(b"license version 2 while version version licenses").hexdigest()}
+    assert [got[len(same) + k] for k in range(len(other))] == [hashlib.sha256(t.encode()).hexdigest() for t in other]
+
+
 # -- near copies -------------------------------------------------------------------------
 
 
