@@ -118,20 +118,6 @@ def test_simhash_edges(spark):
     assert pairs.near_duplicates(docs.limit(0)).count() == 0
 
 
-def near_by_counting(texts):
-    """{id: smallest id that pairs with 4/5 of their 5-word shingles in common reach}."""
-    sets = {}
-    for i, text in texts.items():
-        w = (text or "").encode().lower().split()
-        sets[i] = {b" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else {b""}
-    root = {i: i for i in sets}
-    for i, j in itertools.combinations(sorted(sets), 2):
-        if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and root[i] != root[j]:
-            low, high = sorted((root[i], root[j]))
-            root = {k: low if r == high else r for k, r in root.items()}
-    return root
-
-
 def test_overlaps_equal_counting(spark, sf_dir, monkeypatch):
     rng = random.Random(11)
     common = words(0, 60).split()
@@ -144,7 +130,7 @@ def test_overlaps_equal_counting(spark, sf_dir, monkeypatch):
                 k += 7
     texts |= {1: None, 2: "", 3: " \n", 8: "One Two", 9: "one two"}
     docs = spark.createDataFrame([*texts.items(), (None, "one two")], "doc_id long, text string")
-    want = near_by_counting(texts)
+    want = brute.near_by_counting(texts)
     for slices in (pairs.SLICE, 3):
         monkeypatch.setattr(overlaps, "SLICE", slices)
         assert {r["doc_id"]: r["component_id"] for r in overlaps.near_sets(docs).collect()} == want
@@ -173,7 +159,7 @@ def test_pipeline_drops_edited_copies(spark, sf_dir):
 
     docs, texts = documents(spark, sf_dir)
     got = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()}
-    assert got == set(near_by_counting(texts).values())
+    assert got == set(brute.near_by_counting(texts).values())
 
 
 # -- repeats -----------------------------------------------------------------------------
