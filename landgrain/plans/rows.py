@@ -515,12 +515,12 @@ def a23(spark, sf):
 
 @query(
     "A24_scenario_grid",
-    f"WITH {FARMS_SQL}, s AS (SELECT * FROM (VALUES (100.0, true), (100.0, false), (250.0, true), (250.0, false)) t(rate, with_fallow)) SELECT CAST(rate AS DOUBLE) AS rate, with_fallow, farm_type, sum(rate * (coalesce(ha_peas, 0) + CASE WHEN with_fallow THEN coalesce(ha_other_crop, 0) ELSE 0 END))::DOUBLE AS payment, count(*) FILTER (ha_peas > 20) AS n_large FROM farms, s GROUP BY ALL",
+    f"WITH {FARMS_SQL}, s AS (SELECT * FROM (VALUES (100.0, true), (100.0, false), (250.0, true), (250.0, false)) t(rate, with_fallow)) SELECT CAST(rate AS DOUBLE) AS rate, with_fallow, farm_type, sum(rate * (coalesce(ha_peas, 0) + CASE WHEN with_fallow THEN coalesce(ha_beans, 0) ELSE 0 END))::DOUBLE AS payment, count(*) FILTER (ha_peas > 20) AS n_large FROM farms, s GROUP BY ALL",
 )
 def a24(spark, sf):
     scenarios = spark.createDataFrame([(100.0, True), (100.0, False), (250.0, True), (250.0, False)], "rate double, with_fallow boolean")
     metrics = {
-        "payment": "sum(rate * (coalesce(ha_peas, 0) + CASE WHEN with_fallow THEN coalesce(ha_other_crop, 0) ELSE 0 END))",
+        "payment": "sum(rate * (coalesce(ha_peas, 0) + CASE WHEN with_fallow THEN coalesce(ha_beans, 0) ELSE 0 END))",
         "n_large": "count_if(ha_peas > 20)",
     }
     return T.scenario_grid(farms(spark, sf), ["farm_type"], scenarios, metrics)
