@@ -162,24 +162,18 @@ def _near(g: Edges, ids: np.ndarray, boxes: np.ndarray, limit: np.ndarray) -> tu
     return np.concatenate([none, *pairs]), np.concatenate([none, *edges])
 
 
-def _inside(inner: Edges, ids: np.ndarray, outer: Edges, others: np.ndarray, boxes: np.ndarray) -> np.ndarray:
-    """Does the first vertex of some part of inner[ids[p]] lie in a polygon of outer[others[p]] (even-odd)."""
-    out = np.zeros(len(ids), bool)
-    n = np.diff(inner.lead_first)[ids]
-    pair = np.repeat(np.arange(len(ids)), n)
-    point = inner.lead[spread(inner.lead_first[:-1][ids], n)]
-    box = boxes[pair]
-    held = (point[:, 0] >= box[:, 0]) & (point[:, 0] <= box[:, 2]) & (point[:, 1] >= box[:, 1]) & (point[:, 1] <= box[:, 3])
-    pair, point = pair[held], point[held]
-    counts = outer.counts()[others[pair]]
+def points_inside(points: np.ndarray, outer: Edges, ids: np.ndarray) -> np.ndarray:
+    """Does points[k] lie in a polygon of outer[ids[k]] (even-odd, each part by itself)."""
+    out = np.zeros(len(points), bool)
+    counts = outer.counts()[ids]
     for a, b in _steps(counts):
         who = np.repeat(np.arange(a, b), counts[a:b])
-        edge = spread(outer.first[:-1][others[pair[a:b]]], counts[a:b])
+        edge = spread(outer.first[:-1][ids[a:b]], counts[a:b])
         flat = outer.dim[edge] == 2
         who, edge = who[flat], edge[flat]
         if not len(who):
             continue
-        e, px, py = outer.xy[edge], point[who, 0], point[who, 1]
+        e, px, py = outer.xy[edge], points[who, 0], points[who, 1]
         spans = (e[:, 1] <= py) != (e[:, 3] <= py)
         with np.errstate(divide="ignore", invalid="ignore"):
             at = e[:, 0] + (py - e[:, 1]) * (e[:, 2] - e[:, 0]) / (e[:, 3] - e[:, 1])
@@ -187,10 +181,53 @@ def _inside(inner: Edges, ids: np.ndarray, outer: Edges, others: np.ndarray, box
         part = outer.part[edge]
         start = np.flatnonzero(np.append(True, (who[1:] != who[:-1]) | (part[1:] != part[:-1])))
         odd = np.add.reduceat(right, start) % 2 == 1
-        out[pair[who[start[odd]]]] = True
+        out[who[start[odd]]] = True
+    return out
+
+
+def _inside(inner: Edges, ids: np.ndarray, outer: Edges, others: np.ndarray, boxes: np.ndarray) -> np.ndarray:
+    """Does the first vertex of some part of inner[ids[p]] lie in a polygon of outer[others[p]]."""
+    out = np.zeros(len(ids), bool)
+    n = np.diff(inner.lead_first)[ids]
+    pair = np.repeat(np.arange(len(ids)), n)
+    point = inner.lead[spread(inner.lead_first[:-1][ids], n)]
+    box = boxes[pair]
+    held = (point[:, 0] >= box[:, 0]) & (point[:, 0] <= box[:, 2]) & (point[:, 1] >= box[:, 1]) & (point[:, 1] <= box[:, 3])
+    pair, point = pair[held], point[held]
+    out[pair[points_inside(point, outer, others[pair])]] = True
     return out
 
 
+def spans_inside(lines: np.ndarray, areas: Edges, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line, t0, t1) of the stretches of lines[k], an edge, inside the polygons of areas[ids[k]]; t runs from 0 to 1."""
+    n = len(lines)
+    whole = np.arange(n)
+    owners, cuts = [whole, whole], [np.zeros(n), np.ones(n)]
+    counts = areas.counts()[ids]
+    for a, b in _steps(counts):
+        who = np.repeat(np.arange(a, b), counts[a:b])
+        edge = spread(areas.first[:-1][ids[a:b]], counts[a:b])
+        flat = areas.dim[edge] == 2
+        who, edge = who[flat], edge[flat]
+        p, q = lines[who], areas.xy[edge]
+        dx, dy, rx, ry = p[:, 2] - p[:, 0], p[:, 3] - p[:, 1], q[:, 2] - q[:, 0], q[:, 3] - q[:, 1]
+        wx, wy = q[:, 0] - p[:, 0], q[:, 1] - p[:, 1]
+        den = dx * ry - dy * rx
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t, u = (wx * ry - wy * rx) / den, (wx * dy - wy * dx) / den
+        ok = (den != 0) & (u >= 0) & (u <= 1) & (t > 0) & (t < 1)
+        owners.append(who[ok])
+        cuts.append(t[ok])
+    owner, t = np.concatenate(owners), np.concatenate(cuts)
+    order = np.lexsort((t, owner))
+    owner, t = owner[order], t[order]
+    real = (owner[1:] == owner[:-1]) & (t[1:] > t[:-1]) if n else np.zeros(0, bool)
+    who, t0, t1 = owner[:-1][real], t[:-1][real], t[1:][real]
+    mid = lines[who, :2] + ((t0 + t1) / 2)[:, None] * (lines[who, 2:] - lines[who, :2])
+    kept = points_inside(mid, areas, ids[who])
+    return who[kept], t0[kept], t1[kept]
+
+
 def pair_distances(a: Edges, ia: np.ndarray, b: Edges, ib: np.ndarray, upto: float | None = None) -> np.ndarray:
     """Distance of geometries a[ia[p]] and b[ib[p]]; 0 when they touch or overlap, nan when one is empty.
 

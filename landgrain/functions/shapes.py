@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landgrain.functions import batches as B
 from landgrain.functions import geometry as G
 from landgrain.functions import kernels as K
 
@@ -89,20 +90,29 @@ def clip_to_box(g, x0, y0, x1, y1) -> Column:
     return _clip(G._col(g)["parts"], *[G._dbl(c) for c in (x0, y0, x1, y1)])
 
 
-@F.arrow_udf(returnType=T.DoubleType())
-def _distance(a: pa.Array, b: pa.Array) -> pa.Array:
-    left, right = K.PartsReader(a), K.PartsReader(b)
-    out = np.full(len(left), np.nan)
-    for i in np.flatnonzero(left.valid & right.valid):
-        out[i] = K.distance(left.parts(i), right.parts(i))
-    return pa.array(out, mask=np.isnan(out))
+def _distance_kernel(upto: float | None):
+    @F.arrow_udf(returnType=T.DoubleType())
+    def run(a: pa.Array, b: pa.Array) -> pa.Array:
+        left, right = B.read_edges(a), B.read_edges(b)
+        rows = np.arange(len(left))
+        out = B.pair_distances(left, rows, right, rows, upto)
+        return pa.array(out, mask=np.isnan(out))
 
+    return run
+
+
+_distance = _distance_kernel(None)
+
+
+def distance(a, b, upto: float | None = None) -> Column:
+    """Exact distance; envelope arithmetic when both sides are boxes, otherwise the edge kernel.
 
-def distance(a, b) -> Column:
-    """Exact distance; envelope arithmetic when both sides are boxes, otherwise the edge kernel."""
+    With `upto`, a larger distance may come out as infinity.
+    """
     a, b = G._col(a), G._col(b)
     both = a["boxy"] & b["boxy"]
-    hard = _distance(F.when(~both, a["parts"]), F.when(~both, b["parts"]))
+    kernel = _distance if upto is None else _distance_kernel(float(upto))
+    hard = kernel(F.when(~both, a["parts"]), F.when(~both, b["parts"]))
     return F.when(both, G.envelope_distance(a, b)).otherwise(hard)
 
 

@@ -20,10 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from landgrain.functions import batches as B
 from landgrain.functions import geometry as G
-from landgrain.functions import kernels as K
 from landgrain.functions import shapes as S
-from landgrain.operators.overlap import inside_spans
 from landgrain.operators.spatial_join import KEY, Grid, candidates, only_boxes, sjoin
 
 SPANS_TYPE = T.ArrayType(T.StructType([T.StructField("t0", T.DoubleType()), T.StructField("t1", T.DoubleType())]))
@@ -182,12 +181,10 @@ def _box_interval(pairs: DataFrame, g: Column) -> DataFrame:
 
 @F.arrow_udf(returnType=SPANS_TYPE)
 def _shape_spans(x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array, parts: pa.Array) -> pa.Array:
-    rows = K.PartsReader(parts)
-    edge = np.column_stack([c.to_numpy(zero_copy_only=False) for c in (x0, y0, x1, y1)])
-    kind = pa.list_(pa.struct([("t0", pa.float64()), ("t1", pa.float64())]))
-    return pa.array(
-        [[{"t0": a, "t1": b} for a, b in inside_spans(edge[i], rows.parts(i))] if rows.valid[i] else [] for i in range(len(rows))], kind
-    )
+    lines = np.column_stack([c.to_numpy(zero_copy_only=False) for c in (x0, y0, x1, y1)]).astype(float)
+    who, t0, t1 = B.spans_inside(lines, B.read_edges(parts), np.arange(len(lines)))
+    ends = np.searchsorted(who, np.arange(len(lines) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(t0), pa.array(t1)], names=["t0", "t1"]))
 
 
 def merge_spans(spans: DataFrame, keys: list[str]) -> DataFrame:

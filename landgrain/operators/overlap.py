@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landgrain.functions import batches as B
 from landgrain.functions import geometry as G
 from landgrain.functions import kernels as K
 from landgrain.functions import shapes as S
@@ -53,83 +54,67 @@ def _box_fields(s) -> np.ndarray:
 def _cell_kernel(n_layers: int):
     @F.arrow_udf(returnType=CELL_RESULT)
     def measure(parcel: pa.Array, parcel_box: pa.Array, window: pa.Array, features: pa.Array, want_pieces: pa.Array) -> pa.Array:
-        parcels = K.PartsReader(parcel)
+        """Area of parcel x every layer's union inside the window, and whether anything meets the parcel."""
+        n = len(features)
         pbox, win = _box_fields(parcel_box), _box_fields(window)
         flat = features.values
         fbox = _box_fields(flat)
-        boxy = np.asarray(flat.field("boxy"))
-        poly = np.asarray(flat.field("poly"))
-        tags = np.asarray(flat.field("tag"))
-        shapes = K.PartsReader(flat.field("parts"))
-        offsets = np.asarray(features.offsets)
-        valid = np.asarray(features.is_valid())
+        boxy, poly, tags = (np.asarray(flat.field(c)) for c in ("boxy", "poly", "tag"))
         wanted = np.asarray(want_pieces)
-        area, hit, pieces = np.zeros(len(features)), np.zeros(len(features), dtype=bool), []
-        for i in range(len(features)):
-            rows = []
-            if valid[i]:
-                span = range(offsets[i], offsets[i + 1])
-                shape = parcels.parts(i) if parcels.valid[i] else None
-                area[i], hit[i], rows = _measure_cell(shape, pbox[i], win[i], span, fbox, boxy, poly, tags, shapes, n_layers, wanted[i])
-            pieces.append(rows)
-        return pa.StructArray.from_arrays(
-            [pa.array(area), pa.array(hit), pa.array(pieces, pa.list_(PIECE_ARROW))], names=["area", "hit", "pieces"]
-        )
+        plain = ~np.asarray(parcel.is_valid())
+        parcels = B.read_edges(parcel, pbox, plain)
+        shapes = B.read_edges(flat.field("parts"), fbox, boxy)
+        offsets = np.asarray(features.offsets)
+        counts = np.where(np.asarray(features.is_valid()), np.diff(offsets), 0)
+        row, at = np.repeat(np.arange(n), counts), B.spread(offsets[:-1], counts)
+        w = np.column_stack([np.maximum(pbox[:, :2], win[:, :2]), np.minimum(pbox[:, 2:], win[:, 2:])])
+        areal = ((w[:, 2] > w[:, 0]) & (w[:, 3] > w[:, 1]))[row] & poly[at]
+
+        def covered(some, layer, layers, pieces=False):
+            """Common area of each row's parcel and the layers of the features `some`."""
+            mine = np.unique(row[some])
+            a, pn = B.spread(parcels.first[:-1][mine], parcels.counts()[mine]), parcels.counts()[mine]
+            f, fn = B.spread(shapes.first[:-1][at[some]], shapes.counts()[at[some]]), shapes.counts()[at[some]]
+            a_row, f_row = np.repeat(mine, pn), np.repeat(row[some], fn)
+            a_area, f_area = parcels.dim[a] == 2, shapes.dim[f] == 2
+            xy = np.concatenate([parcels.xy[a[a_area]], shapes.xy[f[f_area]]])
+            group = np.concatenate([a_row[a_area], f_row[f_area]])
+            level = np.concatenate([np.zeros(int(a_area.sum()), int), np.repeat(layer, fn)[f_area]])
+            part = np.concatenate([2 * parcels.part[a[a_area]], 2 * shapes.part[f[f_area]] + 1])
+            return B.common_areas(xy, group, level, part, layers, w, pieces)
+
+        some = np.flatnonzero(areal & ~wanted[row])
+        area = covered(some, tags[at[some]] + 1, n_layers + 1) if len(some) else np.zeros(n)
+        pieces: list[list] = [[] for _ in range(n)]
+        for t in range(n_layers):
+            some = np.flatnonzero(areal & wanted[row] & (tags[at] == t))
+            if len(some):
+                for i, cut in enumerate(covered(some, np.ones(len(some), int), 2, pieces=True)[1]):
+                    pieces[i] += [dict(zip(("tag", *PIECE_NAMES), (t, *r))) for r in cut]
+        hit = (area > 0) | np.array([bool(r) for r in pieces], bool)
+        hit[row[plain[row] & boxy[at]]] = True
+        some = np.flatnonzero(~hit[row])
+        touching = B.pair_distances(parcels, row[some], shapes, at[some], 0.0) == 0
+        hit[row[some[touching]]] = True
+        return pa.StructArray.from_arrays([pa.array(area), pa.array(hit), pa.array(pieces, pa.list_(PIECE_ARROW))], names=["area", "hit", "pieces"])
 
     return measure
 
 
-def _box_parts(b):
-    return [(2, [np.array([[b[0], b[1]], [b[0], b[3]], [b[2], b[3]], [b[2], b[1]], [b[0], b[1]]])])]
-
-
-def _measure_cell(shape, pbox, win, span, fbox, boxy, poly, tags, shapes, n_layers, want_pieces):
-    """Area of parcel x every layer's union inside the window, and whether anything meets the parcel."""
-    w = (max(pbox[0], win[0]), max(pbox[1], win[1]), min(pbox[2], win[2]), min(pbox[3], win[3]))
-    total, rows = 0.0, []
-    if w[2] > w[0] and w[3] > w[1]:
-        areal = [k for k in span if poly[k]]
-        plain = shape is None and n_layers == 1 and not want_pieces and all(boxy[k] for k in areal)
-        if plain:
-            cut = [(max(fbox[k][0], w[0]), max(fbox[k][1], w[1]), min(fbox[k][2], w[2]), min(fbox[k][3], w[3])) for k in areal]
-            cut = [b for b in cut if b[2] > b[0] and b[3] > b[1]]
-            total = K.box_union_area(cut) if cut else 0.0
-        elif areal:
-            base = _box_parts(pbox) if shape is None else shape
-            layers = [[_box_parts(fbox[k]) if boxy[k] else shapes.parts(k) for k in areal if tags[k] == t] for t in range(n_layers)]
-            if want_pieces:
-                for t, layer in enumerate(layers):
-                    if layer:
-                        _, cut = K.slab_overlap([[base], layer], w, pieces=True)
-                        rows += [dict(zip(("tag", *PIECE_NAMES), (t, *r))) for r in cut]
-            elif all(layers):
-                total = K.slab_overlap([[base], *layers], w)
-    if total > 0 or rows:
-        return total, True, rows
-    meets = any(shape is None and boxy[k] for k in span)
-    if not meets:
-        base = _box_parts(pbox) if shape is None else shape
-        meets = any(K.distance(base, _box_parts(fbox[k]) if boxy[k] else shapes.parts(k)) == 0 for k in span)
-    return total, meets, rows
-
-
 def _union_kernel(n_layers: int):
     @F.arrow_udf(returnType=T.DoubleType())
     def unite(pieces: pa.Array) -> pa.Array:
-        out = np.zeros(len(pieces))
         offsets, flat = np.asarray(pieces.offsets), pieces.values
-        if len(flat):
-            tag = np.asarray(flat.field("tag"))
-            cols = np.column_stack([np.asarray(flat.field(n)) for n in PIECE_NAMES])
-            for i in range(len(pieces)):
-                a, b = offsets[i], offsets[i + 1]
-                if a == b:
-                    continue
-                layers = [[K.trapezoid(cols[k]) for k in range(a, b) if tag[k] == t] for t in range(n_layers)]
-                c = cols[a:b]
-                if all(layers):
-                    out[i] = K.slab_overlap(layers, (c[:, 0].min(), c[:, 2:].min(), c[:, 1].max(), c[:, 2:].max()))
-        return pa.array(out)
+        counts = np.where(np.asarray(pieces.is_valid()), np.diff(offsets), 0)
+        at, row = B.spread(offsets[:-1], counts), np.repeat(np.arange(len(pieces)), counts)
+        tag = np.asarray(flat.field("tag"))[at]
+        x0, x1, b0, b1, t0, t1 = (np.asarray(flat.field(c))[at] for c in PIECE_NAMES)
+        windows = np.tile([np.inf, np.inf, -np.inf, -np.inf], (len(pieces), 1))
+        for k, values, pick in ((0, x0, np.minimum), (1, np.minimum(b0, b1), np.minimum), (2, x1, np.maximum), (3, np.maximum(t0, t1), np.maximum)):
+            pick.at(windows[:, k], row, values)
+        xy = np.concatenate([np.column_stack([x0, b0, x1, b1]), np.column_stack([x0, t0, x1, t1])])
+        part = np.arange(len(at))
+        return pa.array(B.common_areas(xy, np.tile(row, 2), np.tile(tag, 2), np.tile(part, 2), n_layers, windows))
 
     return unite
 
@@ -264,15 +249,8 @@ def join_parcels(
 
 @F.arrow_udf(returnType=T.DoubleType())
 def _pair_area(a: pa.Array, b: pa.Array) -> pa.Array:
-    left, right = K.PartsReader(a), K.PartsReader(b)
-    out = np.zeros(len(left))
-    for i in np.flatnonzero(left.valid & right.valid):
-        p, q = left.parts(i), right.parts(i)
-        ba, bb = K.bounds(p), K.bounds(q)
-        w = (max(ba[0], bb[0]), max(ba[1], bb[1]), min(ba[2], bb[2]), min(ba[3], bb[3]))
-        if w[2] > w[0] and w[3] > w[1]:
-            out[i] = K.slab_overlap([[p], [q]], w)
-    return pa.array(out)
+    rows = np.arange(len(a))
+    return pa.array(B.pair_areas(B.read_edges(a), rows, B.read_edges(b), rows))
 
 
 def pair_area(a, b) -> Column:
@@ -462,35 +440,12 @@ def self_overlap(parcels: DataFrame, key: str = "id_parcel", grid: Grid = Grid()
 
 @F.arrow_udf(returnType=T.DoubleType())
 def _length_inside(lines: pa.Array, areas: pa.Array) -> pa.Array:
-    left, right = K.PartsReader(lines), K.PartsReader(areas)
-    out = np.zeros(len(left))
-    for i in np.flatnonzero(left.valid & right.valid):
-        shape = right.parts(i)
-        for e in K.edges_of(left.parts(i), 1):
-            out[i] += inside_length(e, shape)
-    return pa.array(out)
-
-
-def inside_length(edge, parts) -> float:
-    return sum(b - a for a, b in inside_spans(edge, parts)) * float(np.hypot(edge[2] - edge[0], edge[3] - edge[1]))
-
-
-def inside_spans(edge, parts) -> list:
-    """Parameter intervals of an edge inside polygon parts."""
-    a, d = edge[:2], edge[2:] - edge[:2]
-    cuts = [0.0, 1.0]
-    for f in K.edges_of(parts, 2):
-        c, r = f[:2], f[2:] - f[:2]
-        den = d[0] * r[1] - d[1] * r[0]
-        if den:
-            w = c - a
-            t, u = (w[0] * r[1] - w[1] * r[0]) / den, (w[0] * d[1] - w[1] * d[0]) / den
-            if 0 <= u <= 1 and 0 < t < 1:
-                cuts.append(t)
-    cuts = np.unique(cuts)
-    mids = a + ((cuts[:-1] + cuts[1:]) / 2)[:, None] * d
-    kept = K.inside(mids, parts)
-    return [(t0, t1) for t0, t1, k in zip(cuts[:-1], cuts[1:], kept) if k]
+    left, right = B.read_edges(lines), B.read_edges(areas)
+    row = np.repeat(np.arange(len(left)), left.counts())[left.dim == 1]
+    xy = left.xy[left.dim == 1]
+    who, t0, t1 = B.spans_inside(xy, right, row)
+    run = np.hypot(xy[:, 2] - xy[:, 0], xy[:, 3] - xy[:, 1])
+    return pa.array(np.bincount(row[who], (t1 - t0) * run[who], len(left)))
 
 
 def length_inside(lines: DataFrame, areas: DataFrame, by: list[str], grid: Grid = Grid()) -> DataFrame:

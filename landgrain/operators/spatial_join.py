@@ -354,10 +354,10 @@ def sjoin(
         measured = pairs.withColumn("_gap", G.envelope_distance(gl, gr))
     elif distance == 0 and distance_col is None:
         # envelopes already meet; only pairs with a general shape need the kernel
-        measured = pairs.withColumn("_gap", S.distance(gl, gr))
+        measured = pairs.withColumn("_gap", S.distance(gl, gr, 0.0))
     else:
         # far-apart pairs are dropped on envelopes before geometry travels to Python
-        measured = pairs.where(G.envelope_distance(gl, gr) <= distance).withColumn("_gap", S.distance(gl, gr))
+        measured = pairs.where(G.envelope_distance(gl, gr) <= distance).withColumn("_gap", S.distance(gl, gr, distance))
     kept = measured.where(F.col("_gap") <= distance)
     if distance_col:
         kept = kept.withColumn(distance_col, F.col("_gap"))
@@ -437,7 +437,7 @@ def sjoin_small(
         & (gr["ymin"] <= gl["ymax"] + distance),
     )
     flat = only_boxes(left) and only_boxes(right)
-    measure = G.envelope_distance(gl, gr) if flat else S.distance(gl, gr)
+    measure = G.envelope_distance(gl, gr) if flat else S.distance(gl, gr, distance)
     met = near.withColumn("_gap", measure).where(F.col("_gap") <= distance)
     return met.withColumnRenamed("_gap", distance_col) if distance_col else met.drop("_gap")
 
