@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landgrain.functions.text import clean_name, leading_score, slope_score
 from landgrain.operators import ranking, tables as T
-from landgrain.operators.spatial_join import Grid, sjoin
+from landgrain.operators.spatial_join import Grid, durable, sjoin, small_enough
 from landgrain.sources.rules import Model, Rule, unmatched, validate
 
 KEY = "id_parcel"
@@ -115,12 +115,8 @@ def check_assignment(assigned: DataFrame) -> DataFrame:
     return validate(assigned, ASSIGNMENT)
 
 
-def existing_habitats(parcels: DataFrame, proportions: DataFrame, create: DataFrame, manage: DataFrame) -> DataFrame:
-    """H4: habitat share and area per parcel under three groupings, with group totals.
-
-    A feature counts once per parcel and group; shares are capped at the parcel.
-    """
-    base = parcels.select(KEY, "area_ha").join(proportions.withColumn("_clean", clean_name("habitat_name")), KEY)
+def _grouped_names(names: DataFrame, create: DataFrame, manage: DataFrame) -> DataFrame:
+    """(habitat_name, grouping_category, action_group, action_habitat): the groups that a habitat name belongs to."""
     create = create.where("source = 'phi'").select(
         F.replace("action_group", F.lit("Create "), F.lit("")).alias("action_group"), "action_habitat", clean_name("habitat_name").alias("_clean")
     )
@@ -130,17 +126,55 @@ def existing_habitats(parcels: DataFrame, proportions: DataFrame, create: DataFr
         {"action_group": F.lit("Wetland and SRG"), "action_habitat": F.lit("action_group_total")}
     )
     manage = T.with_subtotals(manage, {"action_habitat": "action_group_total"}).unionByName(joint).distinct()
-    cols = [KEY, "area_ha", "grouping_category", "action_group", "action_habitat", "fid", "proportion"]
+    cols = ["habitat_name", "grouping_category", "action_group", "action_habitat"]
     views = [
-        base.withColumns({"action_habitat": F.col("habitat_name"), "action_group": F.lit(None).cast("string"), "grouping_category": F.lit("raw")}),
-        base.join(create, "_clean").withColumn("grouping_category", F.lit("create")),
-        base.join(manage, "habitat_name").withColumn("grouping_category", F.lit("manage")),
+        names.withColumns({"action_habitat": F.col("habitat_name"), "action_group": F.lit(None).cast("string"), "grouping_category": F.lit("raw")}),
+        names.withColumn("_clean", clean_name("habitat_name")).join(create, "_clean").withColumn("grouping_category", F.lit("create")),
+        names.join(manage, "habitat_name").withColumn("grouping_category", F.lit("manage")),
     ]
-    rows = reduce(DataFrame.unionAll, [v.select(*cols) for v in views])
-    group = [KEY, "grouping_category", "action_group", "action_habitat"]
-    once = rows.groupBy(*group, "fid").agg(F.min("area_ha").alias("area_ha"), F.max("proportion").alias("proportion"))
-    out = once.groupBy(*group).agg(F.min("area_ha").alias("area_ha"), T.clamped_sum("proportion").alias("proportion"))
-    return out.where("proportion > 0").select(*group, "proportion", (F.col("area_ha") * F.col("proportion")).alias("habitat_area_ha"))
+    return reduce(DataFrame.unionAll, [v.select(*cols) for v in views]).distinct()
+
+
+LOOKUP_ROWS = 200_000
+"""Rows of a lookup that are broadcast; a larger one is joined on salted names."""
+SALTS = 64
+
+
+def _look_up(rows: DataFrame, lookup: DataFrame, on: str, salt: Column) -> DataFrame:
+    """Join a lookup whose key has few values: broadcast where it is checked to be small, else each value is spread by `salt`."""
+    named = lookup.withColumnRenamed(on, "_on")
+    if small_enough(lookup, LOOKUP_ROWS):
+        return rows.join(F.broadcast(named), F.col(on).eqNullSafe(F.col("_on"))).drop("_on")
+    salted = named.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("_mine", F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int"))
+    return rows.join(salted, F.col(on).eqNullSafe(F.col("_on")) & (F.col("_mine") == F.col("_salt"))).drop("_on", "_mine", "_salt")
+
+
+def existing_habitats(parcels: DataFrame, proportions: DataFrame, create: DataFrame, manage: DataFrame) -> DataFrame:
+    """H4: habitat share and area per parcel under three groupings, with group totals.
+
+    A feature counts once per parcel and group, with its largest share; shares are capped at
+    the parcel.  Groups with the same habitat names have the same shares, so shares are
+    summed per set of names and handed to its groups at the end.  Features with one name
+    are summed per name before that.  Everything per parcel shares one partitioning.
+    """
+    names = proportions.select("habitat_name").distinct()
+    group = ["grouping_category", "action_group", "action_habitat"]
+    sets = _grouped_names(names, create, manage).groupBy(*group).agg(F.array_sort(F.collect_set("habitat_name")).alias("names"))
+    sets = durable(sets.withColumn("set", F.xxhash64("names")))
+    raw = F.when(F.size("names") == 0, F.array(F.lit(None).cast("string"))).otherwise(F.col("names"))  # a null name is a group of its own
+    members = sets.select("set", F.explode(raw).alias("habitat_name")).distinct()
+
+    rows = proportions.select(KEY, "habitat_name", "fid", "proportion").repartition(KEY)
+    feats = rows.groupBy(KEY, "fid", "habitat_name").agg(F.max("proportion").alias("proportion"))
+    feats = feats.withColumn("_names", F.count(F.lit(1)).over(Window.partitionBy(KEY, "fid")))
+    plain = feats.where("_names = 1").groupBy(KEY, "habitat_name").agg(F.sum("proportion").alias("share"))
+    plain = _look_up(plain, members, "habitat_name", F.col(KEY)).select(KEY, "set", "share")
+    mixed = _look_up(feats.where("_names > 1"), members, "habitat_name", F.col(KEY)).groupBy(KEY, "set", "fid").agg(F.max("proportion").alias("share"))
+    shares = plain.unionByName(mixed.drop("fid")).groupBy(KEY, "set").agg(T.clamped_sum("share").alias("proportion")).where("proportion > 0")
+    area = parcels.groupBy(KEY).agg(F.min("area_ha").alias("area_ha"))
+    out = _look_up(shares.join(area, KEY), sets.select("set", *group), "set", F.col(KEY))
+    return out.select(KEY, *group, "proportion", (F.col("area_ha") * F.col("proportion")).alias("habitat_area_ha"))
 
 
 def soil_habitats(proportions: DataFrame, matrix: DataFrame, unit: str = "unit") -> DataFrame:
