@@ -55,6 +55,13 @@ def subdivide(g, max_vertices: int = 256, max_depth: int = 100, max_area: float
     return _splitter(lambda p: K.halve_until(p, max_vertices, max_depth, max_area))(G._col(g)["parts"])
 
 
+def pieces_of(g, max_vertices: int = 64) -> Column:
+    """Array of pieces of at most max_vertices vertices; small geometries and boxes stay as they are."""
+    g = G._col(g)
+    big = ~g["boxy"] & (G.vertex_count(g) > max_vertices)
+    return F.when(big, subdivide(F.when(big, g), max_vertices)).otherwise(F.array(g))
+
+
 def fishnet(g, size: float) -> Column:
     """Array of pieces cut by a fixed square grid."""
     return _splitter(lambda p: K.fishnet(p, size))(G._col(g)["parts"])

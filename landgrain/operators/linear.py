@@ -23,6 +23,7 @@ from pyspark.sql import Window as W
 from landgrain.functions import batches as B
 from landgrain.functions import geometry as G
 from landgrain.functions import shapes as S
+from landgrain.operators.overlap import PIECE_VERTICES
 from landgrain.operators.spatial_join import KEY, Grid, candidates, only_boxes, sjoin
 
 SPANS_TYPE = T.ArrayType(T.StructType([T.StructField("t0", T.DoubleType()), T.StructField("t1", T.DoubleType())]))
@@ -196,8 +197,8 @@ def merge_spans(spans: DataFrame, keys: list[str]) -> DataFrame:
     return isles.groupBy(*keys, "_isle").agg(F.min("t0").alias("t0"), F.max("t1").alias("t1")).drop("_isle")
 
 
-def _feature_edges(feats: DataFrame, cols: list[str]) -> DataFrame:
-    """Every edge of the features as a row, and every polygon once more as a whole."""
+def _feature_edges(feats: DataFrame, cols: list[str], cut: bool = False) -> DataFrame:
+    """Every edge of the features as a row, and every polygon once more as a whole, or in pieces of few vertices."""
     outline = dump_edges(feats).select(
         *cols,
         (F.col("dim") == 2).alias("_poly"),
@@ -209,7 +210,7 @@ def _feature_edges(feats: DataFrame, cols: list[str]) -> DataFrame:
         *cols,
         F.lit(True).alias("_poly"),
         F.lit(True).alias("_area"),
-        "geometry",
+        (F.explode(S.pieces_of("geometry", PIECE_VERTICES)) if cut else F.col("geometry")).alias("geometry"),
         *[F.lit(None).cast("double").alias(f"_f{c}") for c in ("x0", "y0", "x1", "y1")],
     )
     return outline.unionAll(polygons)
@@ -244,8 +245,8 @@ def buffer_spans(
     )
     feat_cols = list(dict.fromkeys([*columns, *([ex_feat] if ex_feat else [])]))
     whole = features.select(*feat_cols, "geometry")
-    pairs = candidates(left, _feature_edges(whole.dropDuplicates(), feat_cols), grid, far, once=False, bound=_feature_edges(whole, feat_cols))
     shapes = not only_boxes(whole.where(F.exists(F.col("geometry")["parts"], lambda p: p["dim"] == 2)))
+    pairs = candidates(left, _feature_edges(whole.dropDuplicates(), feat_cols, shapes), grid, far, once=False, bound=_feature_edges(whole, feat_cols))
     if exclude:
         pairs = pairs.where(F.col("_own") != F.col(ex_feat))
     gl, gr = F.col("geometry_left"), F.col("geometry_right")
@@ -259,12 +260,15 @@ def buffer_spans(
     )
     boxed = _box_interval(_near_interval(spread.withColumn("buffer", F.explode(wanted))), gr)
     kept = [*KEY, "_seg", "_edge", *columns, "buffer", "run"]
-    closed = F.array(F.struct(F.greatest("_lo", F.lit(0.0)).alias("t0"), F.least("_hi", F.lit(1.0)).alias("t1")))
+    # an edge beside the segment has no interval; greatest and least would read its null as all of it
+    low = F.when(F.col("_lo").isNotNull(), F.greatest("_lo", F.lit(0.0)))
+    high = F.when(F.col("_hi").isNotNull(), F.least("_hi", F.lit(1.0)))
+    closed = F.array(F.struct(low.alias("t0"), high.alias("t1")))
     if shapes:
         hard = _shape_spans(*[F.col(f"_s{c}") for c in ("x0", "y0", "x1", "y1")], F.when(shaped, gr["parts"]))
         spans = boxed.withColumn("_hard", hard).select(*kept, F.inline(F.when(shaped, F.col("_hard")).otherwise(closed)))
     else:
-        spans = boxed.select(*kept, F.greatest("_lo", F.lit(0.0)).alias("t0"), F.least("_hi", F.lit(1.0)).alias("t1"))
+        spans = boxed.select(*kept, low.alias("t0"), high.alias("t1"))
     spans = spans.where(F.col("t1") > F.col("t0"))
     keys = ["_seg", "_edge", "run", *columns, "buffer"]
     local = merge_spans(spans, [*KEY, *keys])

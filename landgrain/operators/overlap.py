@@ -6,13 +6,18 @@ against the part of the parcel in that cell; the cell results are summed.  The
 rows of one cell are already together after the join, so the grouped step
 needs no further shuffle, and a large parcel is spread over its cells.
 
+Features with many vertices are cut into pieces of a few dozen vertices first: pieces
+inside a feature are plain boxes, so a cell gets the vertices near it and no others.
+
 A cell that stays crowded after quartering is measured slice by slice: each
 slice reduces its features to the disjoint trapezoids of their union, and the
-trapezoids of the slices are united in a second, much smaller step.
+trapezoids of a bounded number of slices are united in every further round.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,7 +28,7 @@ from landgrain.functions import batches as B
 from landgrain.functions import geometry as G
 from landgrain.functions import kernels as K
 from landgrain.functions import shapes as S
-from landgrain.operators.spatial_join import CELL_KEY, KEY, Grid, list_cells, only_boxes, plan_candidates, sjoin
+from landgrain.operators.spatial_join import CELL_KEY, KEY, Grid, choose_cell, durable, list_cells, only_boxes, plan_candidates, sjoin, survey
 
 PIECE_NAMES = ("x0", "x1", "b0", "b1", "t0", "t1")
 PIECE_ARROW = pa.struct([("tag", pa.int32()), *[(n, pa.float64()) for n in PIECE_NAMES]])
@@ -101,24 +106,72 @@ def _cell_kernel(n_layers: int):
     return measure
 
 
+def _piece_edges(pieces: pa.Array, n_layers: int):
+    """Edges of arrays of trapezoids by row: (xy, row, tag, part, envelope of every row)."""
+    offsets, flat = np.asarray(pieces.offsets), pieces.values
+    counts = np.where(np.asarray(pieces.is_valid()), np.diff(offsets), 0)
+    at, row = B.spread(offsets[:-1], counts), np.repeat(np.arange(len(pieces)), counts)
+    tag = np.asarray(flat.field("tag"))[at]
+    x0, x1, b0, b1, t0, t1 = (np.asarray(flat.field(c))[at] for c in PIECE_NAMES)
+    windows = np.tile([np.inf, np.inf, -np.inf, -np.inf], (len(pieces), 1))
+    for k, values, pick in ((0, x0, np.minimum), (1, np.minimum(b0, b1), np.minimum), (2, x1, np.maximum), (3, np.maximum(t0, t1), np.maximum)):
+        pick.at(windows[:, k], row, values)
+    xy = np.concatenate([np.column_stack([x0, b0, x1, b1]), np.column_stack([x0, t0, x1, t1])])
+    return xy, np.tile(row, 2), np.tile(tag, 2), np.tile(np.arange(len(at)), 2), windows
+
+
+def _piece_lists(rows: list[list], n_layers: int) -> pa.Array:
+    """One array of trapezoids per row from lists by (row, layer)."""
+    flat = [(k % n_layers, *r) for k, cut in enumerate(rows) for r in cut]
+    ends = np.cumsum([0, *(sum(len(c) for c in rows[k : k + n_layers]) for k in range(0, len(rows), n_layers))])
+    columns = list(zip(*flat)) if flat else [[] for _ in range(1 + len(PIECE_NAMES))]
+    values = pa.StructArray.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.float64()) for c in columns[1:])], names=["tag", *PIECE_NAMES])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
+def _merge_kernel(n_layers: int):
+    @F.arrow_udf(returnType=T.ArrayType(PIECE_TYPE))
+    def merge(pieces: pa.Array) -> pa.Array:
+        """The trapezoids of the union of each layer's trapezoids."""
+        xy, row, tag, part, windows = _piece_edges(pieces, n_layers)
+        _, rows = B.common_areas(xy, row * n_layers + tag, np.zeros(len(row), int), part, 1, np.repeat(windows, n_layers, axis=0), pieces=True)
+        return _piece_lists(rows, n_layers)
+
+    return merge
+
+
 def _union_kernel(n_layers: int):
     @F.arrow_udf(returnType=T.DoubleType())
     def unite(pieces: pa.Array) -> pa.Array:
-        offsets, flat = np.asarray(pieces.offsets), pieces.values
-        counts = np.where(np.asarray(pieces.is_valid()), np.diff(offsets), 0)
-        at, row = B.spread(offsets[:-1], counts), np.repeat(np.arange(len(pieces)), counts)
-        tag = np.asarray(flat.field("tag"))[at]
-        x0, x1, b0, b1, t0, t1 = (np.asarray(flat.field(c))[at] for c in PIECE_NAMES)
-        windows = np.tile([np.inf, np.inf, -np.inf, -np.inf], (len(pieces), 1))
-        for k, values, pick in ((0, x0, np.minimum), (1, np.minimum(b0, b1), np.minimum), (2, x1, np.maximum), (3, np.maximum(t0, t1), np.maximum)):
-            pick.at(windows[:, k], row, values)
-        xy = np.concatenate([np.column_stack([x0, b0, x1, b1]), np.column_stack([x0, t0, x1, t1])])
-        part = np.arange(len(at))
-        return pa.array(B.common_areas(xy, np.tile(row, 2), np.tile(tag, 2), np.tile(part, 2), n_layers, windows))
+        xy, row, tag, part, windows = _piece_edges(pieces, n_layers)
+        return pa.array(B.common_areas(xy, row, tag, part, n_layers, windows))
 
     return unite
 
 
+FAN = 32
+"""Slices of trapezoids that are united in one row."""
+PIECE_VERTICES = 64
+"""Vertices of a piece of a feature."""
+
+
+def merge_rounds(rows: DataFrame, keys: list[str], slices: int, n_layers: int, held: list[Column] = ()) -> DataFrame:
+    """Unite the trapezoid arrays `pieces` of up to `slices` slices per key, `_slice` numbering them, FAN slices at a time.
+
+    Returns (*keys, *held, pieces) with `held` as aggregates over the slices.  A row never holds more than
+    the unions of FAN slices, and each round leaves a union in place of what overlapped.
+    """
+    merge = _merge_kernel(n_layers)
+    while True:
+        left = -(-slices // FAN)
+        last = left <= 1
+        group = keys if last else [*keys, F.floor(F.col("_slice") / FAN).alias("_slice")]
+        rows = rows.groupBy(*group).agg(*held, F.flatten(F.collect_list("pieces")).alias("pieces"))
+        if last:
+            return rows
+        rows, slices = rows.withColumn("pieces", merge("pieces")), left
+
+
 def shared_area(
     parcels: DataFrame,
     layers: list[DataFrame],
@@ -131,15 +184,21 @@ def shared_area(
     Returns (key, *columns, parcel_area, area) for parcels met by some feature.
     """
     keys, columns = [key] if isinstance(key, str) else list(key), list(columns)
-    tagged = None
+    raw = None
     for t, layer in enumerate(layers):
-        one = layer.where(~G.is_empty("geometry")).select(*columns, _compact(F.col("geometry"), F.lit(t)).alias("geometry"))
-        tagged = one if tagged is None else tagged.unionAll(one)
-    # a union does not change with copies: drop them before anything is replicated
-    whole, tagged = tagged, tagged.dropDuplicates()
+        one = layer.where(~G.is_empty("geometry")).select(*columns, F.lit(t).alias("_tag"), "geometry")
+        raw = one if raw is None else raw.unionAll(one)
     left = parcels.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "geometry")
     held = [f"_k{i}" for i in range(len(keys))]
-    pairs, has_slices = plan_candidates(left, tagged, grid, 0.0, once=False, bound=whole)
+    if grid.cell is None:
+        grid = replace(grid, cell=choose_cell(left, raw))
+    seen = survey(left, raw, grid.cell)
+    if seen.vertices[1] > PIECE_VERTICES:
+        raw = durable(raw.dropDuplicates().withColumn("geometry", F.explode(S.pieces_of("geometry", PIECE_VERTICES))))
+        seen = replace(seen, rows=(seen.rows[0], raw.count()))
+    whole = raw.select(*columns, _compact(F.col("geometry"), F.col("_tag")).alias("geometry"))
+    # a union does not change with copies: drop them before anything is replicated
+    pairs, n_slices = plan_candidates(left, whole.dropDuplicates(), grid, 0.0, once=False, bound=whole, seen=seen)
     gl, gr = F.col("geometry_left"), F.col("geometry_right")
     window = F.struct(
         (F.col("_cx") * F.col("_side")).alias("xmin"),
@@ -176,18 +235,15 @@ def shared_area(
         *held,
         *columns,
         *CELL_KEY,
+        F.col("_i").alias("_slice"),
         G.area(p).alias("parcel_area"),
         F.when(simple, closed).otherwise(F.col("r.area")).alias("area"),
         (simple | F.col("r.hit")).alias("hit"),
         F.when(sliced, F.col("r.pieces")).alias("pieces"),
     )
-    if has_slices:
-        united = cells.groupBy(*held, *columns, *CELL_KEY).agg(
-            F.first("parcel_area").alias("parcel_area"),
-            F.sum("area").alias("area"),
-            F.max("hit").alias("hit"),
-            F.flatten(F.collect_list("pieces")).alias("pieces"),
-        )
+    if n_slices:
+        carried = [F.first("parcel_area").alias("parcel_area"), F.sum("area").alias("area"), F.max("hit").alias("hit")]
+        united = merge_rounds(cells, [*held, *columns, *CELL_KEY], n_slices, len(layers), carried)
         cells = united.withColumn("area", F.col("area") + _union_kernel(len(layers))("pieces"))
     summed = (
         cells.groupBy(*held, *columns)
@@ -225,6 +281,31 @@ def parcel_proportion(
     return out.transform(post) if post else out
 
 
+@F.arrow_udf(returnType=T.ArrayType(PIECE_TYPE))
+def _as_pieces(shapes: pa.Array) -> pa.Array:
+    """The trapezoids of the union of an array of geometries' parts."""
+    edges = B.read_edges(shapes.values)
+    offsets = np.asarray(shapes.offsets)
+    counts = np.where(np.asarray(shapes.is_valid()), np.diff(offsets), 0)
+    at, row = B.spread(offsets[:-1], counts), np.repeat(np.arange(len(shapes)), counts)
+    n = edges.counts()[at]
+    edge, owner = B.spread(edges.first[:-1][at], n), np.repeat(row, n)
+    flat = edges.dim[edge] == 2
+    edge, owner = edge[flat], owner[flat]
+    boxes = edges.boxes()[at]
+    windows = np.tile([np.inf, np.inf, -np.inf, -np.inf], (len(shapes), 1))
+    for k, pick in ((0, np.minimum), (1, np.minimum), (2, np.maximum), (3, np.maximum)):
+        pick.at(windows[:, k], row, boxes[:, k])
+    _, rows = B.common_areas(edges.xy[edge], owner, np.zeros(len(edge), int), edges.part[edge], 1, windows, pieces=True)
+    return _piece_lists(rows, 1)
+
+
+def _trapezoid(p: Column) -> Column:
+    box = (p["b0"] == p["b1"]) & (p["t0"] == p["t1"])
+    corners = [("x0", "b0"), ("x0", "t0"), ("x1", "t1"), ("x1", "b1"), ("x0", "b0")]
+    return F.when(box, G.rectangle(p["x0"], p["b0"], p["x1"], p["t0"])).otherwise(G.polygon(F.array(F.array(*[G.vertex(p[x], p[y]) for x, y in corners]))))
+
+
 def join_parcels(
     parcels: DataFrame,
     features: DataFrame,
@@ -234,14 +315,30 @@ def join_parcels(
     grid: Grid = Grid(),
     **kw,
 ) -> DataFrame:
-    """O1: features near each parcel, one row per (parcel, class, feature); copies of a feature count once.
+    """O1: the union of the features of each class near each parcel: (key, *columns, piece, geometry_left, geometry_right).
 
-    The union of a class on a parcel stays implicit: measures of it are sums over its
-    rows or over cells, so no parcel's features are gathered into one value.
+    A union is kept as rows: disjoint trapezoids numbered by `piece`, whose areas add up to that of
+    the union.  Lines and points stay as they are, one row per feature, with a null piece.
+    The features of a parcel and class are united a bounded number at a time.
     """
     columns = list(columns)
+    keys = [key, *columns]
     feats = features.select(*columns, "geometry").dropDuplicates()
-    return sjoin(parcels.select(key, "geometry"), feats, distance, grid, **kw).select(key, *columns, "geometry_left", "geometry_right")
+    one = parcels.groupBy(key).agg(F.first("geometry").alias("geometry"))
+    pairs = durable(sjoin(one, feats, distance, grid, **kw).select(*keys, F.col("geometry_right").alias("geometry")))
+    areal = pairs.where(F.exists(F.col("geometry")["parts"], lambda p: p["dim"] == 2))
+    most = areal.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    slices = max(1, -(-most // FAN))
+    g = F.col("geometry")
+    sliced = areal.withColumn("_slice", F.pmod(F.xxhash64(g["xmin"], g["ymin"], g["xmax"], g["ymax"], F.size(g["parts"])), F.lit(slices)))
+    first = sliced.groupBy(*keys, "_slice").agg(F.collect_list(g["parts"]).alias("shapes")).select(*keys, "_slice", _as_pieces("shapes").alias("pieces"))
+    united = merge_rounds(first, keys, slices, 1)
+    if slices > 1:
+        united = united.withColumn("pieces", _merge_kernel(1)("pieces"))
+    rows = united.select(*keys, F.posexplode("pieces").alias("piece", "_p")).select(*keys, "piece", _trapezoid(F.col("_p")).alias("geometry_right"))
+    thin = G.from_parts(F.filter(g["parts"], lambda p: p["dim"] < 2))
+    others = pairs.where(F.exists(g["parts"], lambda p: p["dim"] < 2)).select(*keys, F.lit(None).cast("int").alias("piece"), thin.alias("geometry_right"))
+    return rows.unionByName(others).join(one.withColumnRenamed("geometry", "geometry_left"), key).select(*keys, "piece", "geometry_left", "geometry_right")
 
 
 # -- pairwise ----------------------------------------------------------------

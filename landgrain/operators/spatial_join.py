@@ -86,24 +86,28 @@ def _own_level(cell: float, margin: float) -> str:
 
 @dataclass(frozen=True)
 class Survey:
-    """Levels of both sides, their row counts, and whether every geometry equals its envelope."""
+    """Levels of both sides, their row counts, whether every geometry equals its envelope, and the most vertices of the others."""
 
     left: tuple[int, ...]
     right: tuple[int, ...]
     rows: tuple[int, int]
     boxes: tuple[bool, bool]
+    vertices: tuple[int, int] = (0, 0)
 
 
 def survey(left: DataFrame, right: DataFrame, cell: float, margin: float = 0.0) -> Survey:
     """One aggregate over the envelopes of both sides; a row per side and level reaches the driver."""
 
     def one(df, side, grown):
-        return df.where("geometry.xmin IS NOT NULL").selectExpr(f"{side} AS side", f"{_own_level(cell, grown)} AS level", "geometry.boxy AS boxy")
+        size = "CASE WHEN geometry.boxy THEN 0 ELSE aggregate(geometry.parts, 0, (n, p) -> n + aggregate(p.rings, 0, (m, r) -> m + size(r))) END"
+        return df.where("geometry.xmin IS NOT NULL").selectExpr(f"{side} AS side", f"{_own_level(cell, grown)} AS level", "geometry.boxy AS boxy", f"{size} AS v")
 
-    both = one(left, 0, margin).unionAll(one(right, 1, 0.0)).groupBy("side", "level").agg(F.count("*").alias("n"), F.min("boxy").alias("boxy")).collect()
+    both = one(left, 0, margin).unionAll(one(right, 1, 0.0)).groupBy("side", "level")
+    both = both.agg(F.count("*").alias("n"), F.min("boxy").alias("boxy"), F.max("v").alias("v")).collect()
     sides = [[r for r in both if r.side == k] for k in (0, 1)]
     levels = [tuple(sorted(r.level for r in side)) for side in sides]
-    return Survey(*levels, tuple(sum(r.n for r in side) for side in sides), tuple(all(r.boxy for r in side) for side in sides))
+    most = tuple(max((r.v for r in side), default=0) for side in sides)
+    return Survey(*levels, tuple(sum(r.n for r in side) for side in sides), tuple(all(r.boxy for r in side) for side in sides), most)
 
 
 def list_cells(df: DataFrame, cell: float, margin: float = 0.0, names=("_cx", "_cy")) -> DataFrame:
@@ -248,8 +252,8 @@ def _row_hash(cells: DataFrame) -> Column:
 
 def place(
     left: DataFrame, right: DataFrame, grid: Grid, margin: float = 0.0, once: bool = True, bound: DataFrame | None = None, seen: Survey | None = None
-) -> tuple[DataFrame, DataFrame, float, bool]:
-    """Both sides listed under join keys; returns (left, right, cell, sliced).
+) -> tuple[DataFrame, DataFrame, float, int]:
+    """Both sides listed under join keys; returns (left, right, cell, slices), where slices is 0 or the most that a cell's right rows are cut into.
 
     `bound` is a superset of the right side that is cheaper to count, such as
     the rows before copies are dropped; if it is not crowded, neither is right.
@@ -273,7 +277,7 @@ def place(
         slices = _slices(lcells, rcells, crowd)
     if slices is None:
         plain = ["*", "0 AS _i", "0 AS _j"]
-        return lcells.selectExpr(*plain), rcells.selectExpr(*plain), cell, False
+        return lcells.selectExpr(*plain), rcells.selectExpr(*plain), cell, 0
 
     def cut(cells, own, count_own, other, count_other):
         joined = cells.join(slices, CELL_KEY, "left")
@@ -283,7 +287,7 @@ def place(
 
     lcells = cut(lcells, "_j", "_sl", "_i", "_sr").drop("_sl")
     rcells = cut(rcells, "_i", "_sr", "_j", "_sl").drop("_sl", "_sr")
-    return lcells, rcells, cell, True
+    return lcells, rcells, cell, slices.agg(F.max("_sr")).first()[0] or 1
 
 
 def candidates(left: DataFrame, right: DataFrame, grid: Grid = Grid(), margin: float = 0.0, once: bool = True, **suffixes) -> DataFrame:
@@ -301,8 +305,8 @@ def plan_candidates(
     rsuffix: str = "_right",
     bound: DataFrame | None = None,
     seen: Survey | None = None,
-) -> tuple[DataFrame, bool]:
-    """Candidate pairs, and whether crowded cells had to be sliced.
+) -> tuple[DataFrame, int]:
+    """Candidate pairs, and the most slices of a crowded cell, 0 where none is sliced.
 
     once=True emits each pair from one cell.  once=False emits it from every
     shared cell, for aggregates that add up or merge over cells; all cells of a left

@@ -267,14 +267,13 @@ def o2(spark, sf):
 @query(
     "O1_join_parcels",
     with_sql("parcels", "features")
-    + f"""SELECT id_parcel, class, count(*) AS n_parts, CAST(sum(w * h) AS DOUBLE) AS total_area FROM
-        (SELECT DISTINCT p.id_parcel, f.class, f.x0, f.y0, f.w, f.h FROM parcels p JOIN features f ON {MEET}) GROUP BY ALL""",
+    + ", "
+    + union_area_sql(f"SELECT DISTINCT p.id_parcel, f.class, f.x0 AS ax0, f.y0 AS ay0, f.x1 AS ax1, f.y1 AS ay1 FROM parcels p JOIN features f ON {MEET}", "id_parcel, class")
+    + "SELECT id_parcel, class, round(area, 6) AS union_area FROM areas",
 )
 def o1(spark, sf):
     out = overlap.join_parcels(parcels(spark, sf), features(spark, sf), ["class"], grid=CELL)
-    return out.groupBy("id_parcel", "class").agg(
-        F.sum(F.size("geometry_right.parts")).alias("n_parts"), F.sum(G.area("geometry_right")).alias("total_area")
-    )
+    return out.groupBy("id_parcel", "class").agg(F.round(F.sum(G.area("geometry_right")), 6).alias("union_area"))
 
 
 @query(
