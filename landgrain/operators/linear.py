@@ -22,6 +22,7 @@ from pyspark.sql import Window as W
 
 from landgrain.functions import batches as B
 from landgrain.functions import geometry as G
+from landgrain.functions import kernels as K
 from landgrain.functions import shapes as S
 from landgrain.operators.overlap import PIECE_VERTICES
 from landgrain.operators.spatial_join import KEY, Grid, candidates, only_boxes, sjoin
@@ -180,6 +181,31 @@ def _box_interval(pairs: DataFrame, g: Column) -> DataFrame:
     )
 
 
+@F.udtf(returnType="id string, piece int, vertices int, area double")
+class CutPieces:
+    """Table function over (id, g), one partition per id: its geometries cut into pieces of at most `most` vertices.
+
+    Pieces of one id are numbered across its rows, which the call orders.
+    """
+
+    def __init__(self):
+        self.piece = 0
+
+    def eval(self, row, most: int):
+        parts = [(p["dim"], [np.array([(v["x"], v["y"]) for v in ring]) for ring in p["rings"]]) for p in row["g"]["parts"]]
+        for cut in K.halve_until(parts, most) if parts else ():
+            yield row["id"], self.piece, K.count_vertices(cut), K.parts_area(cut)
+            self.piece += 1
+
+
+def cut_pieces(shapes: DataFrame, key: str, order: str, most: int = 256) -> DataFrame:
+    """(id, piece, vertices, area) of the pieces of every geometry, by a table function partitioned by key."""
+    if most < 8:
+        raise ValueError("a piece needs room for 8 vertices: halves of four-sided pieces never get smaller")
+    table = shapes.select(F.col(key).cast("string").alias("id"), F.col(order).alias("at"), F.col("geometry").alias("g"))
+    return CutPieces(table.asTable().partitionBy("id").orderBy("at"), F.lit(most))
+
+
 @F.arrow_udf(returnType=SPANS_TYPE)
 def _shape_spans(x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array, parts: pa.Array) -> pa.Array:
     lines = np.column_stack([c.to_numpy(zero_copy_only=False) for c in (x0, y0, x1, y1)]).astype(float)

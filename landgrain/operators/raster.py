@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landgrain.functions import geometry as G
+from landgrain.operators.quantiles import with_quantiles
 from landgrain.operators.spatial_join import Grid, candidates, knn_nearest, sjoin, WORK
 
 PIXEL = ["col", "row"]
@@ -111,18 +112,18 @@ def cloud_cover(mask: str = "mask") -> list[Column]:
     return [F.avg((m == 1).cast("double")).alias("share_cloud"), F.avg(((m > 0) & (m < 1)).cast("double")).alias("share_uncertain")]
 
 
-def summary(value: str = "value") -> list[Column]:
-    """R10."""
+def summary(pixels: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
+    """Extremes, moments, exact median and share of nulls per group."""
     v = F.col(value)
-    return [
+    rest = pixels.groupBy(*keys).agg(
         F.min(v).alias("min"),
         F.max(v).alias("max"),
         F.avg(v).alias("mean"),
-        F.percentile(v, 0.5).alias("median"),
         F.var_pop(v).alias("variance"),
         F.stddev_pop(v).alias("std"),
         (F.count_if(v.isNull()) / F.count("*")).alias("null_share"),
-    ]
+    )
+    return with_quantiles(rest, pixels, keys, value, {"median": 0.5})
 
 
 def fill_nearest(pixels: DataFrame, value: str = "value", start: float = 2.0) -> DataFrame:

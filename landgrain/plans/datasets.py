@@ -316,6 +316,18 @@ def u7(spark, sf):
     return linear.dump_parts(p.select("id_parcel", twin.alias("geometry"))).select("id_parcel", "part", G.area("geometry").alias("area"))
 
 
+@query(
+    "U7_table_function",
+    with_sql("parcels") + "SELECT id_parcel AS id, 2::BIGINT AS n_pieces, 1 AS last_piece, round(4 * w * w, 6) AS area FROM parcels",
+)
+def u7_table(spark, sf):
+    """Two diamonds of every parcel, numbered across its rows."""
+    p = layer(spark, sf, "parcels").select("id_parcel", F.explode(F.array(F.lit(0), F.lit(1))).alias("n"), "x0", "y0", "w")
+    shapes = p.select("id_parcel", "n", G.diamond(F.col("x0") + 1000 * F.col("n"), "y0", "w").alias("geometry"))
+    out = linear.cut_pieces(shapes, "id_parcel", "n", 16)
+    return out.groupBy("id").agg(F.count("*").alias("n_pieces"), F.max("piece").alias("last_piece"), F.round(F.sum("area"), 6).alias("area"))
+
+
 @query("U8_hooks", with_sql("parcels", "features") + "SELECT id_parcel, count(*) > 0 AS covered FROM parcels p JOIN features f ON f.x0 < p.x1 AND f.x1 > p.x0 AND f.y0 < p.y1 AND f.y1 > p.y0 AND f.class = 'A' GROUP BY 1")
 def u8(spark, sf):
     out = overlap.parcel_proportion(

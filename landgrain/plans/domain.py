@@ -117,7 +117,7 @@ def r9(spark, sf):
 
 @query("R10_raster_summary", PIX + "SELECT scene, min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean, round(median(v), 6) AS median, round(var_pop(v), 4) AS variance, round(stddev_pop(v), 6) AS std, round(count(*) FILTER (v IS NULL) / count(*), 9) AS null_share FROM (SELECT scene, nullif(red, 0) AS v FROM pixels) GROUP BY 1")
 def r10(spark, sf):
-    out = pixels(spark, sf).select("scene", R.mask_value("red", 0).alias("value")).groupBy("scene").agg(*R.summary())
+    out = R.summary(pixels(spark, sf).select("scene", R.mask_value("red", 0).alias("value")), ["scene"])
     digits = {"variance": 4, "null_share": 9, "mean": 6, "median": 6, "std": 6}
     return out.withColumns({c: F.round(c, d) for c, d in digits.items()})
 

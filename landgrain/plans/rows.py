@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from landgrain.functions import text as X
 from landgrain.operators import ranking, tables as T
+from landgrain.operators.quantiles import with_quantiles
 from landgrain.plans.book import query
 from landgrain.plans.fixtures import layer, table, with_sql
 from landgrain.sources import rules
@@ -442,13 +443,12 @@ def a15(spark, sf):
     " UNPIVOT (value FOR name IN (qty_sum, qty_count, qty_median, qty_mean, disc_sum, disc_count, disc_median, disc_mean)))",
 )
 def a16(spark, sf):
-    stats = []
+    items, stats = table(spark, sf, "lineitem"), []
     for short, c, digits in (("qty", "l_quantity", 4), ("disc", "l_discount", 4)):
-        stats += [
-            F.round(F.sum(c), digits).alias(f"{short}_sum"), F.count(c).cast("double").alias(f"{short}_count"),
-            F.median(c).alias(f"{short}_median"), F.round(F.avg(c), 6).alias(f"{short}_mean"),
-        ]
-    wide = table(spark, sf, "lineitem").groupBy("l_returnflag").agg(*stats)
+        stats += [F.round(F.sum(c), digits).alias(f"{short}_sum"), F.count(c).cast("double").alias(f"{short}_count"), F.round(F.avg(c), 6).alias(f"{short}_mean")]
+    wide = items.groupBy("l_returnflag").agg(*stats)
+    for short, c in (("qty", "l_quantity"), ("disc", "l_discount")):
+        wide = with_quantiles(wide, items, ["l_returnflag"], c, {f"{short}_median": 0.5})
     long = T.pivot_long(wide, wide.columns[1:])
     part = F.split("name", "_")
     return long.select("l_returnflag", part[0].alias("metric"), part[1].alias("stat"), "value")
@@ -459,9 +459,10 @@ def a16(spark, sf):
     "SELECT event_type, round(median(value), 6) AS median, round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.9), 6) AS q90, min(value) AS min, max(value) AS max, round(stddev_samp(value), 6) AS std FROM events GROUP BY 1",
 )
 def a17(spark, sf):
-    return table(spark, sf, "events").groupBy("event_type").agg(
-        F.round(F.median("value"), 6).alias("median"), F.round(F.percentile("value", 0.25), 6).alias("q25"), F.round(F.percentile("value", 0.9), 6).alias("q90"), F.min("value").alias("min"), F.max("value").alias("max"), F.round(F.stddev("value"), 6).alias("std")
-    )
+    events = table(spark, sf, "events")
+    rest = events.groupBy("event_type").agg(F.min("value").alias("min"), F.max("value").alias("max"), F.round(F.stddev("value"), 6).alias("std"))
+    out = with_quantiles(rest, events, ["event_type"], "value", {"median": 0.5, "q25": 0.25, "q90": 0.9})
+    return out.withColumns({c: F.round(c, 6) for c in ("median", "q25", "q90")})
 
 
 @query(
@@ -533,7 +534,7 @@ def a24(spark, sf):
 )
 def a25(spark, sf):
     b = table(spark, sf, "orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("value"))
-    t = b.agg(F.avg("value").alias("mean"), F.median("value").alias("median"))  # one row
+    t = with_quantiles(b.agg(F.avg("value").alias("mean")), b, [], "value", {"median": 0.5})  # one row
     rows = b.crossJoin(F.broadcast(t))
     v, over_mean, over_median = F.col("value"), F.col("value") > F.col("mean"), F.col("value") > F.col("median")
     return rows.agg(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from landgrain.functions import codecs as C
 from landgrain.functions import geometry as G
 from landgrain.operators.ranking import batches
+from landgrain.operators.spatial_join import small_enough
 
 
 def encode_geometry(df: DataFrame) -> DataFrame:
@@ -19,17 +20,30 @@ def encode_geometry(df: DataFrame) -> DataFrame:
     return df
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
-    """Replace a Parquet table; every partition carries the same schema.
+def sliced(df: DataFrame, by: list[str], rows: int) -> DataFrame:
+    """The rows dealt out to tasks by partition value, a value with many rows to as many tasks as it needs.
 
-    Rows are shuffled to their partition value with a random spread inside it,
-    so a value that holds much of the table is still written by many tasks.
+    The rows of each value are counted first; its number of slices is its count over `rows`.
+    """
+    sizes = df.groupBy(*by).agg(F.ceil(F.count("*") / rows).cast("int").alias("_slices"))
+    sizes = sizes.withColumnsRenamed({c: f"_by_{c}" for c in by})
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    row = F.xxhash64(*[F.col(c) for c, t in df.dtypes if not t.startswith("map")], F.monotonically_increasing_id())
+    dealt = df.withColumn("_row", row).join(sizes, same).withColumn("_slice", F.pmod("_row", "_slices"))
+    return dealt.repartition(*by, "_slice").select(df.columns)
+
+
+def write_parquet(df: DataFrame, path: str, partition_by: list[str] = (), rows: int = 1_000_000) -> None:
+    """Replace a Parquet table; every partition carries the same schema, and no file has more than `rows` rows.
+
+    Copies of one row are dealt out like other rows, so no value is bound to one task.
     """
     out = encode_geometry(df)
     if partition_by:
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c, t in out.dtypes if not t.startswith("map")]), F.lit(32))
-        out = out.withColumn("_spread", spread).repartition(*partition_by, "_spread").drop("_spread")
-    writer = out.write.mode("overwrite")
+        out = sliced(out, list(partition_by), rows)
+    writer = out.write.mode("overwrite").option("maxRecordsPerFile", rows)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
@@ -38,11 +52,17 @@ def write_batches(df: DataFrame, path: str, keys: list[str], order: str, tie: st
     batches(df, keys, order, tie, size).write.mode("overwrite").partitionBy(*keys, "batch").parquet(path)
 
 
-def export(df: DataFrame, path: str, format: str = "csv", single: bool = True) -> None:
-    """One file in a folder of its own, whatever the size; `single=False` writes one file per partition."""
+def export(df: DataFrame, path: str, format: str = "csv", single: bool = True, most: int = 1_000_000) -> None:
+    """One file in a folder of its own; `single=False` writes one file per partition.
+
+    A single file passes through one task, so it is for results of at most `most` rows; more raise an
+    error before anything is written.  The rows are made by all tasks and only then brought together.
+    """
     out = encode_geometry(df) if format == "parquet" else df
     if single:
-        out = out.coalesce(1)
+        if not small_enough(out, most):
+            raise ValueError(f"more than {most} rows for one file: write them with single=False")
+        out = out.repartition(1)
     writer = out.write.mode("overwrite")
     (writer.option("header", True) if format == "csv" else writer).format(format).save(path)
 
