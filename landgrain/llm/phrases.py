@@ -190,7 +190,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hom
     homes = max(64, size // home_bytes)
     blocks = max(64, size // (6 * block_words))
     home = F.pmod(F.xxhash64(key, F.length(text)), F.lit(homes)).cast("int")
-    sent = docs.select(*columns).withColumn("__home", home)
+    mark = "__home"
+    while mark in docs.columns:
+        mark += "_"
+    sent = docs.select(*columns).withColumn(mark, home)
     k_key, k_text = columns.index(key), columns.index(text)
 
     def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +248,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hom
         marked = np.unique(what + _mixed(doc))
         column = texts.column(text).combine_chunks() if isinstance(texts.column(text), pa.ChunkedArray) else texts.column(text)
         ids, null = _ids(texts.column(key).combine_chunks())
-        place = int(texts.column("__home")[0].as_py())
+        place = int(texts.column(mark)[0].as_py())
         words = split(column)
         of = words.of()
         hashes, starts, at, g = _windows(words, of)
@@ -328,11 +331,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hom
     def _arrow_schema(texts: pa.Table, names: list[str]) -> pa.Schema:
         return pa.schema([texts.schema.field(c) for c in names] + [pa.field(c, pa.int64()) for c in added[:3]] + [pa.field("kept", pa.string())])
 
-    found = sent.select(F.col(columns[k_key]), F.col(columns[k_text]), "__home").mapInArrow(send_anchors, _schema(ANCHOR_ROWS))
+    found = sent.select(F.col(columns[k_key]), F.col(columns[k_text]), mark).mapInArrow(send_anchors, _schema(ANCHOR_ROWS))
     reports = found.groupBy("block").applyInArrow(common_anchors, _schema(REPORT_ROWS))
-    phrases = sent.groupBy("__home").cogroup(reports.groupBy("home")).applyInArrow(send_phrases, _schema(PHRASE_ROWS))
+    phrases = sent.groupBy(mark).cogroup(reports.groupBy("home")).applyInArrow(send_phrases, _schema(PHRASE_ROWS))
     copies = phrases.groupBy("block").applyInArrow(copied_phrases, _schema(COPY_ROWS))
-    return sent.groupBy("__home").cogroup(copies.groupBy("home")).applyInArrow(take_out, schema)
+    return sent.groupBy(mark).cogroup(copies.groupBy("home")).applyInArrow(take_out, schema)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

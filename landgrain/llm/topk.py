@@ -29,7 +29,8 @@ _INT = "vec_id long, vector binary, norm double"
 def quantise(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", scale: int = 256) -> DataFrame:
     """(vec_id, vector, norm) with components floor(scale * x) as packed 64-bit integers.
 
-    Null vectors and keys, and vectors with a null or non-finite component, take no part.
+    Null vectors and keys, and vectors with a null or non-finite component, take no part.  A finite
+    component of 2**62 or more after scaling raises an error: its scores need not fit 64 bits.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -39,8 +40,10 @@ def quantise(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
                 if k is None or not v.is_valid or v.values.null_count:
                     continue
                 x = np.floor(np.asarray(v.values).astype(np.float64) * scale)
-                if not np.isfinite(x).all() or (np.abs(x) >= 2.0**62).any():
+                if not np.isfinite(np.asarray(v.values).astype(np.float64)).all():
                     continue
+                if not (np.abs(x) < 2.0**62).all():
+                    raise ValueError(f"vector {k} has components beyond 64-bit scores")
                 out[0].append(k)
                 out[1].append(x.astype("<i8").tobytes())
                 out[2].append(float(np.sqrt(x @ x)))
@@ -59,11 +62,16 @@ def _matrix(packed: list[bytes], dims: int) -> np.ndarray:
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products of rows: in doubles where no sum can pass 2**53."""
+    """Exact integer products of rows: in doubles where no sum can pass 2**53, in whole numbers of any size where it can pass 2**63."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
     if most < 2.0**53:
         return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    return a @ b.T
+    if most < 2.0**62:
+        return a @ b.T
+    exact = a.astype(object) @ b.T.astype(object)
+    if exact.size and max(abs(exact.max()), abs(exact.min())) >= 1 << 63:
+        raise OverflowError("a score doesn't fit 64 bits")
+    return exact.astype(np.int64)
 
 
 def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, rotation: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

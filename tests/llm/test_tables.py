@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 import brute
 from landgrain.llm import topk, warc
@@ -51,6 +52,29 @@ def test_top_products(spark):
     assert topk.top_products(two, two).count() == 2
 
 
+def test_large_components_are_exact_or_refused(spark):
+    rows = [(k, [float(2**40 + 256 * k), 1.0]) for k in range(3)] + [(3, [2.0**30, 2.0**30])]
+    q = topk.quantise(spark.createDataFrame([(k, [x / 2**20 for x in v]) for k, v in rows], "vec_id long, embedding array<double>"))
+    got = topk.top_products(q, q.where("vec_id = 0")).orderBy("rank").collect()
+    whole = {k: [int(np.floor(x / 2**20 * 256)) for x in v] for k, v in rows}
+    want = sorted((-sum(a * b for a, b in zip(whole[0], v)), k) for k, v in whole.items() if k)
+    assert [(-r["score"], r["vec_id"]) for r in got] == want
+    huge = topk.quantise(spark.createDataFrame([(0, [2.0**40, 2.0**40]), (50, [2.0**40, 2.0**40]), (1, [1.0, 2.0])], "vec_id long, embedding array<double>"))
+    with pytest.raises(Exception, match="fit 64 bits"):
+        topk.top_products(huge, huge.where("vec_id % 50 = 0")).collect()
+    with pytest.raises(Exception, match="beyond 64-bit"):
+        topk.quantise(spark.createDataFrame([(0, [2.0**60])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_repeats_keep_a_column_named_like_the_group(spark):
+    from landgrain.llm import phrases
+
+    text = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, text, 7), (2, text + " end", 8)], "doc_id long, text string, __home long")
+    got = {r["doc_id"]: (r["__home"], r["n_removed"]) for r in phrases.remove_repeats(docs).collect()}
+    assert got == {1: (7, 0), 2: (8, 20)}
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline as P
     from landgrain.llm import pseudonyms
