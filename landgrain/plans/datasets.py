@@ -318,7 +318,7 @@ def u7(spark, sf):
 
 @query(
     "U7_table_function",
-    with_sql("parcels") + "SELECT id_parcel AS id, 2::BIGINT AS n_pieces, 1 AS last_piece, round(4 * w * w, 6) AS area FROM parcels",
+    with_sql("parcels") + "SELECT id_parcel AS id, 2::BIGINT AS n_pieces, 1 AS last_piece, round(CAST(4 * w * w AS DOUBLE), 6) AS area FROM parcels",
 )
 def u7_table(spark, sf):
     """Two diamonds of every parcel, numbered across its rows."""
