@@ -13,6 +13,8 @@ HEADLINE = [
     "J1_intersects",
     "J2_within_distance",
     "J6_knn_per_class",
+    "J1_intersects_diamond",
+    "J2_within_distance_diamond",
     "J8_adjacency",
     "J9_spatial_anti",
     "J10_contains",
@@ -22,6 +24,7 @@ HEADLINE = [
     "O9_area_within_distances",
     "O12_dominant_class",
     "O19_pair_overlap",
+    "O19_pair_overlap_diamond",
     "A1_group_measures",
     "A3_weighted_means",
     "A9_pivot_wide",
