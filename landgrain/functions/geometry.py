@@ -486,14 +486,3 @@ def hex_cell(x, y, size: float) -> tuple[Column, Column]:
     fixed_q = F.when((dq > dr) & (dq > ds), -rr - rs).otherwise(rq)
     fixed_r = F.when((dq > dr) & (dq > ds), rr).when(dr > ds, -rq - rs).otherwise(rr)
     return fixed_q.cast("long"), fixed_r.cast("long")
-
-
-def points_inside(g, resolution: float) -> Column:
-    """Cell centres of a regular grid that fall inside a polygon."""
-    g, res = _col(g), float(resolution)
-    xs = F.sequence(F.floor(g["xmin"] / res), F.floor(g["xmax"] / res))
-    ys = F.sequence(F.floor(g["ymin"] / res), F.floor(g["ymax"] / res))
-    grid = F.flatten(
-        F.transform(xs, lambda i: F.transform(ys, lambda j: F.struct(((i + 0.5) * res).alias("x"), ((j + 0.5) * res).alias("y"))))
-    )
-    return F.filter(grid, lambda v: point_in_polygon(v["x"], v["y"], g))

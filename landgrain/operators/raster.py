@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from landgrain.functions import geometry as G
 from landgrain.operators.quantiles import with_quantiles
-from landgrain.operators.spatial_join import Grid, candidates, knn_nearest, sjoin, WORK
+from landgrain.operators.scanlines import cells, cells_within
+from landgrain.operators.spatial_join import Grid, knn_nearest, sjoin
 
 PIXEL = ["col", "row"]
 
@@ -155,10 +156,9 @@ def centroid_lookup(df: DataFrame, pixels: DataFrame, x0: float, y0: float, res:
     return df.withColumns({"col": col, "row": row}).join(pixels.select("col", "row", value), ["col", "row"], "left").drop("col", "row")
 
 
-def _cells(pixels: DataFrame, x0: float, y0: float, res: float, box: bool) -> DataFrame:
+def _boxes(pixels: DataFrame, x0: float, y0: float, res: float) -> DataFrame:
     x, y = F.col("col") * res + x0, F.col("row") * res + y0
-    g = G.rectangle(x, y, x + res, y + res) if box else G.point(x + res / 2, y + res / 2)
-    return pixels.withColumn("geometry", g)
+    return pixels.withColumn("geometry", G.rectangle(x, y, x + res, y + res))
 
 
 def zonal(
@@ -173,22 +173,13 @@ def zonal(
     grid: Grid = Grid(),
 ) -> DataFrame:
     """Aggregates of the cells of each zone: by cell centre, or every cell the zone touches."""
-    cells = _cells(pixels, x0, y0, res, all_touched)
-    side = zones.select(key, "geometry")
     if all_touched:
-        pairs = sjoin(side, cells, 0.0, grid)
+        pairs = sjoin(zones.select(key, "geometry"), _boxes(pixels, x0, y0, res), 0.0, grid)
     else:
-        pairs = candidates(side, cells, grid).where(_centre_in("geometry_left", "geometry_right")).drop(*WORK)
+        pairs = cells_within(zones, pixels, key, res, x0, y0)
     return pairs.groupBy(key).agg(*aggs)
 
 
-def _centre_in(zone: str, centre: str) -> Column:
-    g, c = F.col(zone), F.col(centre)
-    x, y = c["xmin"], c["ymin"]
-    box = (x >= g["xmin"]) & (x < g["xmax"]) & (y >= g["ymin"]) & (y < g["ymax"])
-    return F.when(g["boxy"], box).otherwise(G.point_in_polygon(x, y, g))
-
-
 def bare_share(value: str, threshold: float = 0.25, null_as_zero: bool = False) -> Column:
     """R13 aggregate: share of cells with an index below a threshold."""
     v = F.col(value)
@@ -196,14 +187,10 @@ def bare_share(value: str, threshold: float = 0.25, null_as_zero: bool = False)
     return F.avg(F.coalesce(bare, F.lit(0.0)) if null_as_zero else bare)
 
 
-def rasterise(df: DataFrame, value: str, res: float, grid: Grid = Grid()) -> DataFrame:
+def rasterise(df: DataFrame, value: str, res: float) -> DataFrame:
     """Spread a value of each geometry over the cells whose centres it holds, as value per cell area, added up."""
-    g = F.col("geometry")
-    centres = df.select(value, G.area(g).alias("_area"), F.explode(G.points_inside(g, res)).alias("c"))
-    return (
-        centres.groupBy(F.floor(F.col("c.x") / res).cast("long").alias("col"), F.floor(F.col("c.y") / res).cast("long").alias("row"))
-        .agg(F.sum(F.col(value) * (res * res) / F.col("_area")).alias("value"))
-    )
+    held = cells(df.select(F.col(value).alias("_v"), G.area("geometry").alias("_area"), "geometry"), res)
+    return held.groupBy("col", "row").agg(F.sum(F.col("_v") * (res * res) / F.col("_area")).alias("value"))
 
 
 # -- scenes ----------------------------------------------------------------------

@@ -9,6 +9,7 @@ from landgrain.functions import geometry as G
 from landgrain.functions import shapes as S
 from landgrain.functions import text as X
 from landgrain.operators import linear, reference_grid
+from landgrain.operators.scanlines import cells
 from landgrain.plans.book import query
 from landgrain.plans.fixtures import layer, spread, table, with_sql
 
@@ -478,13 +479,13 @@ def g23(spark, sf):
 
 @query(
     "G24_pointify",
-    with_sql("water") + "SELECT k, CAST(gx * 10 + 5 AS DOUBLE) AS x, CAST(gy * 10 + 5 AS DOUBLE) AS y FROM (SELECT *, unnest(range((x0 - w) // 10 - 1, (x0 + w) // 10 + 1)) AS gx FROM water) q, LATERAL (SELECT unnest(range((q.y0 - q.w) // 10 - 1, (q.y0 + q.w) // 10 + 1)) AS gy) WHERE abs(gx * 10 + 5 - x0) + abs(gy * 10 + 5 - y0) < w",
+    with_sql("water") + "SELECT k, CAST(gx * 10 + 5 AS DOUBLE) AS x, CAST(gy * 10 + 5 AS DOUBLE) AS y FROM (SELECT *, unnest(range((x0 - w) // 10 - 1, (x0 + w) // 10 + 1)) AS gx FROM water) q, LATERAL (SELECT unnest(range((q.y0 - q.w) // 10 - 1, (q.y0 + q.w) // 10 + 1)) AS gy) WHERE abs(gx * 10 + 5 - x0) + abs(gy * 10 + 5 - y0) < w OR (abs(gx * 10 + 5 - x0) + abs(gy * 10 + 5 - y0) = w AND gx * 10 + 5 < x0)",
 )
 def g24(spark, sf):
-    zones = layer(spark, sf, "water").select("k", "x0", "y0", "w", G.diamond("x0", "y0", "w").alias("g"))
-    dots = zones.select("k", "x0", "y0", "w", F.inline(G.points_inside("g", 10.0)))
-    # a centre exactly on the outline belongs to neither side of the check
-    return dots.where(F.abs(F.col("x") - F.col("x0")) + F.abs(F.col("y") - F.col("y0")) < F.col("w")).select("k", "x", "y")
+    """Cell centres in each diamond; of those on its outline, the ones on the left sides."""
+    zones = layer(spark, sf, "water").select("k", G.diamond("x0", "y0", "w").alias("g"))
+    dots = cells(zones, 10.0, geometry="g")
+    return dots.select("k", ((F.col("col") + 0.5) * 10).alias("x"), ((F.col("row") + 0.5) * 10).alias("y"))
 
 
 @query(
