@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from landgrain.functions import geometry as G
 from landgrain.operators.quantiles import with_quantiles
+from landgrain.operators.nearest import knn_nearest
 from landgrain.operators.scanlines import cells, cells_within
-from landgrain.operators.spatial_join import Grid, knn_nearest, sjoin
+from landgrain.operators.spatial_join import Grid, sjoin
 
 PIXEL = ["col", "row"]
 
@@ -127,12 +128,12 @@ def summary(pixels: DataFrame, keys: list[str], value: str = "value") -> DataFra
     return with_quantiles(rest, pixels, keys, value, {"median": 0.5})
 
 
-def fill_nearest(pixels: DataFrame, value: str = "value", start: float = 2.0) -> DataFrame:
+def fill_nearest(pixels: DataFrame, value: str = "value") -> DataFrame:
     """Missing cells take the value of the nearest valid cell, the smaller (row, col) on ties."""
     known = pixels.where(F.col(value).isNotNull())
     holes = pixels.where(F.col(value).isNull()).select("col", "row", F.struct("row", "col").alias("hole"))
     source = known.select(F.struct("row", "col").alias("src"), G.point("col", "row").alias("geometry"))
-    near = knn_nearest(holes.withColumn("geometry", G.point("col", "row")), source, "hole", "src", 1, start)
+    near = knn_nearest(holes.withColumn("geometry", G.point("col", "row")), source, "hole", "src", 1)
     filled = (
         near.select(F.col("hole.col").alias("col"), F.col("hole.row").alias("row"), F.col("src.col").alias("_sc"), F.col("src.row").alias("_sr"))
         .join(known.select(F.col("col").alias("_sc"), F.col("row").alias("_sr"), value), ["_sc", "_sr"])

@@ -495,53 +495,6 @@ def knn_within(
     return ranked.select(id_left, *keep_r, F.floor(F.col("_near") + 0.5).cast("int").alias("distance"), "rank")
 
 
-def knn_nearest(
-    left: DataFrame,
-    right: DataFrame,
-    id_left: str,
-    id_right: str,
-    k: int = 1,
-    start: float = 100.0,
-    growth: float = 2.0,
-    grid: Grid = Grid(),
-    **kw,
-) -> DataFrame:
-    """The k nearest right rows of every left row, with no threshold.
-
-    The search radius grows geometrically.  A left row leaves as soon as k
-    neighbours lie within the radius, so later rounds only see isolated rows;
-    the radius stops growing once it spans both layers, where every row still
-    left gets all the neighbours there are.
-    """
-    lf, rt = left.select(id_left, "geometry"), right.select(id_right, "geometry")
-    g = F.col("geometry")
-    extent = (
-        lf.select("geometry").unionAll(rt.select("geometry"))
-        .agg(F.min(g["xmin"]).alias("x0"), F.min(g["ymin"]).alias("y0"), F.max(g["xmax"]).alias("x1"), F.max(g["ymax"]).alias("y1"))
-        .first()
-    )
-    reach = 0.0 if extent.x0 is None else ((extent.x1 - extent.x0) ** 2 + (extent.y1 - extent.y0) ** 2) ** 0.5
-    found, todo, radius = [], lf, float(start)
-    while True:
-        last = radius >= reach
-        near = sjoin(todo, rt, radius, Grid(max(grid.cell or 0.0, radius), grid.crowd), distance_col="distance", **kw)
-        ranked = durable(
-            near.select(id_left, id_right, "distance")
-            .withColumn("rank", F.row_number().over(W.partitionBy(id_left).orderBy("distance", id_right)))
-            .where(F.col("rank") <= k)
-        )
-        if last:
-            found.append(ranked)
-            break
-        settled = ranked.where(F.col("rank") == k).select(id_left)
-        found.append(ranked.join(settled, id_left, "left_semi"))
-        todo = durable(todo.join(settled, id_left, "left_anti"))
-        if todo.isEmpty():
-            break
-        radius *= growth
-    return reduce(DataFrame.unionAll, found)
-
-
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage through reliable storage named by spark.checkpoint.dir."""
     spark = df.sparkSession

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from landgrain.functions import geometry as G
 from landgrain.functions import shapes as S
+from landgrain.operators.nearest import knn_nearest
 from landgrain.operators import linear, overlap, spatial_join as SJ, tables, tally
 from landgrain.plans.book import query
 from landgrain.plans.fixtures import CELL, SEGMENTS_SQL, layer, layer_sql, segments, spread, with_sql
@@ -101,7 +102,7 @@ def j6_left(spark, sf):
 def j7(spark, sf):
     hedges = layer(spark, sf, "hedges").withColumnRenamed("k", "hedge")
     water = layer(spark, sf, "water").withColumnRenamed("k", "water")
-    out = SJ.knn_nearest(hedges, water, "hedge", "water", 2, 400.0, 4.0)
+    out = knn_nearest(hedges, water, "hedge", "water", 2)
     return out.select("hedge", "water", F.round("distance", 6).alias("distance"), "rank")
 
 

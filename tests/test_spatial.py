@@ -68,16 +68,6 @@ def test_variants_agree(layers):
         assert sorted((r.a, r.b) for r in out.select("a", "b").collect()) == want
 
 
-def test_nearest(layers):
-    left, right, gaps = layers
-    got = {}
-    for r in SJ.knn_nearest(left, right, "a", "b", 2, 1.0).collect():
-        got.setdefault(r.a, []).append((r.distance, r.b))
-    for a in {k for k, _ in gaps}:
-        want = sorted((v, b) for (x, b), v in gaps.items() if x == a)[:2]
-        assert [b for _, b in sorted(got[a])] == [b for _, b in want]
-
-
 def test_text_forms_survive(spark):
     wkts = [
         "POINT (1 2)", "LINESTRING (0 0, 3 4)", "POLYGON ((0 0, 0 4, 4 4, 4 0, 0 0), (1 1, 1 2, 2 2, 2 1, 1 1))",
