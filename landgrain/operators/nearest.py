@@ -128,7 +128,8 @@ def knn_nearest(left: DataFrame, right: DataFrame, id_left: str, id_right: str,
     Equal distances rank by id_right.  A left row gets fewer rows only if the right side
     has fewer; rows with a null or empty geometry take no part.
     """
-    lf, rt = _placed(left, id_left), durable(_first_copies(_placed(right, id_right), k))
+    lf = durable(_placed(left, id_left).withColumn("_row", F.monotonically_increasing_id()))
+    rt = durable(_first_copies(_placed(right, id_right), k).withColumn("_row", F.monotonically_increasing_id()))
     both = lf.select("_px", "_py", F.lit(0).alias("_r")).unionAll(rt.select("_px", "_py", F.lit(1).alias("_r")))
     seen = both.agg(F.min("_px").alias("x0"), F.min("_py").alias("y0"), F.max("_px").alias("x1"), F.max("_py").alias("y1"), F.sum("_r").alias("n")).first()
     x0, y0 = seen.x0 or 0.0, seen.y0 or 0.0
@@ -144,9 +145,23 @@ def knn_nearest(left: DataFrame, right: DataFrame, id_left: str, id_right: str,
     lf, rt = _in_leaves(lf, x0, y0, leaf, top), _in_leaves(rt, x0, y0, leaf, top)
     leaves = _descend(durable(_leaf_nodes(lf)), durable(_leaf_nodes(rt)), top, k)
 
-    a = lf.select(F.col("_id").alias("_a"), F.col("geometry").alias("_ga"), *[F.col(c).alias("l_" + c) for c in NODE])
-    b = rt.select(F.col("_id").alias("_b"), F.col("geometry").alias("_gb"), *[F.col(c).alias("r_" + c) for c in NODE])
+    # on envelopes and points alone: the k-th far bound of each left row leaves a few pairs for the exact distance
+    slim = ["_row", "_px", "_py", *[F.col(f"geometry.{c}").alias("_" + c) for c in ("xmin", "ymin", "xmax", "ymax")], *NODE]
+    a, b = lf.select(*slim), rt.select(*slim)
+    a, b = a.select([F.col(c).alias("l_" + c) for c in a.columns]), b.select([F.col(c).alias("r_" + c) for c in b.columns])
     met = leaves.join(b, ["r_" + c for c in NODE]).join(a, ["l_" + c for c in NODE])
-    met = met.where(G.envelope_distance("_ga", "_gb") <= F.col("_bound")).select("_a", "_b", S.distance("_ga", "_gb").alias("distance"))
-    ranked = met.withColumn("rank", F.row_number().over(W.partitionBy("_a").orderBy("distance", "_b"))).where(F.col("rank") <= k)
+
+    def gap(axis: str) -> Column:
+        return F.greatest(F.col(f"l__{axis}min") - F.col(f"r__{axis}max"), F.col(f"r__{axis}min") - F.col(f"l__{axis}max"), F.lit(0.0))
+
+    met = met.select("l__row", "r__row", "_bound", F.hypot(gap("x"), gap("y")).alias("_near"), (F.hypot(F.col("l__px") - F.col("r__px"), F.col("l__py") - F.col("r__py")) * SLACK).alias("_far"))
+    own = W.partitionBy("l__row").orderBy("_far")
+    met = met.where(F.col("_near") <= F.col("_bound")).withColumn("_nth", F.row_number().over(own))
+    bound = F.coalesce(F.min(F.when(F.col("_nth") == k, F.col("_far"))).over(W.partitionBy("l__row")), F.lit(float("inf")))
+    few = met.withColumn("_bound", bound).where(F.col("_near") <= F.col("_bound")).select("l__row", "r__row")
+
+    a = lf.select(F.col("_row").alias("l__row"), F.col("_id").alias("_a"), F.col("geometry").alias("_ga"))
+    b = rt.select(F.col("_row").alias("r__row"), F.col("_id").alias("_b"), F.col("geometry").alias("_gb"))
+    exact = few.join(b, "r__row").join(a, "l__row").select("_a", "_b", S.distance("_ga", "_gb").alias("distance"))
+    ranked = exact.withColumn("rank", F.row_number().over(W.partitionBy("_a").orderBy("distance", "_b"))).where(F.col("rank") <= k)
     return ranked.select(F.col("_a").alias(id_left), F.col("_b").alias(id_right), "distance", "rank")

@@ -28,8 +28,9 @@ def found(got):
 
 @pytest.fixture()
 def fine(monkeypatch):
-    monkeypatch.setattr(nearest, "LEAF_ROWS", 1)
+    monkeypatch.setattr(nearest, "LEAF_ROWS", 8)
     monkeypatch.setattr(nearest, "CROWD", 6)
+    monkeypatch.setattr(nearest, "REFINEMENTS", 2)
 
 
 @pytest.mark.parametrize("k", [1, 3])
