@@ -39,15 +39,6 @@ SPELLINGS = [
     ("whilst", "while"),
     ("v", "version"),
 ]
-# The check SQL still replaces these strings wherever they stand in a line, so it
-# differs from the query on texts with a spelling inside a word or beside a line break.
-CHECK_SPELLINGS = [
-    ("licence", "license"),
-    ("organisation", "organization"),
-    ("favour", "favor"),
-    (" whilst ", " while "),
-    (" v ", " version "),
-]
 
 
 def canonical_lines(text: Column) -> Column:
@@ -115,8 +106,10 @@ def _check_sql() -> str:
     body = f"replace(replace({body}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
     body = rf"regexp_replace({body}, '(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$', '', 'g')"
     body = rf"regexp_replace({body}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
-    for old, new in CHECK_SPELLINGS:
-        body = f"replace({body}, '{old}', '{new}')"
+    body = f"' ' || replace(replace({body}, ' ', '  '), chr(10), ' ' || chr(10) || ' ') || ' '"
+    for old, new in SPELLINGS:
+        body = f"replace({body}, ' {old} ', ' {new} ')"
+    body = f"replace({body}, '  ', ' ')"
     lines = f"[trim(x, ' ') FOR x IN string_split({body}, chr(10)) IF trim(x, ' ') <> '']"
     known = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in NOTICES)
     return rf"""WITH known AS (SELECT * FROM (VALUES {known}) AS t(license, text)),

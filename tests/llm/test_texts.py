@@ -4,8 +4,10 @@ import hashlib
 import itertools
 import random
 
+import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from landgrain.llm import languages, licences, overlaps, packing, pairs, phrases, pieces, pseudonyms, signatures
@@ -72,6 +74,20 @@ def test_licence_spellings_are_whole_words(spark):
     assert [got[len(same) + k] for k in range(len(other))] == [hashlib.sha256(t.encode()).hexdigest() for t in other]
 
 
+def test_licence_check_sql_has_the_same_rules(spark, sf_dir):
+    """The check SQL on texts with every spelling inside words, beside marks and at line edges."""
+    olds = [old for old, _ in licences.SPELLINGS]
+    texts = [f"{a}\n{b} x{a} {a}y {b}{nl}{a}, ({b})" for a in olds for b in ("v", "Whilst") for nl in ("\r", "\r\n", "\n\n")]
+    texts += [None, "", " \n ", "(c) 2020\nReleased under the MIT Licence.\nCopyright me", "Released under\nthe MIT License.", "Licensed under the Apache Licence, v 2.0", "released under the MIT licence\nx\nLicensed under CC BY 4.0."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").unionByName(spark.read.parquet(f"{sf_dir}/documents.parquet").select((F.col("doc_id") + 1000).alias("doc_id"), "text"))
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    got = licences.scan(docs, licences.notices(spark)).select("doc_id", "canonical_sha256", "text_license", "line_licenses")
+    want = con.execute(f"SELECT doc_id, canonical_sha256, text_license, line_licenses FROM ({licences._check_sql()})").fetchall()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert {w[2] for w in want} >= {"MIT", None}
+
+
 # -- near copies -------------------------------------------------------------------------
 
 
