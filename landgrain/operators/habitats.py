@@ -210,22 +210,27 @@ def erosion_scores(parcels: DataFrame, flows: DataFrame, flow_key: str, tie: str
     return ranked.select(KEY, F.col("erosion_score").cast("tinyint").alias("erosion_score"), *factors)
 
 
-def valid_tiles(scenarios: DataFrame, keys: list[str], carbon: list[str]) -> DataFrame:
-    """Scenario rows of the tiles with any carbon at all."""
-    total = reduce(lambda a, b: a + b, [F.abs(F.coalesce(F.col(c), F.lit(0.0))) for c in carbon])
-    live = scenarios.groupBy(*keys).agg(F.sum(total).alias("_t")).where("_t > 0")
-    return scenarios.join(live, keys, "left_semi")
+def usable_scenarios(scenarios: DataFrame, tile: str, by: list[str], carbon: list[str], species: list[str]) -> DataFrame:
+    """H7: scenario rows with a species, of tiles and scenarios where the sum of a carbon column over the periods is not zero.
+
+    Sums are signed and null sums do not count.  They are taken over all rows, before rows
+    without a species go, and compared at 9 decimals, so the order of additions does not matter.
+    """
+    keys = [tile, *[b for b in by if b != "period"]]
+    sums = scenarios.groupBy(*keys).agg(*[F.round(F.sum(c), 9).alias(c) for c in carbon])
+    live = sums.where(reduce(lambda a, b: a | b, [F.coalesce(F.col(c) != 0, F.lit(False)) for c in carbon]))
+    return scenarios.where(F.coalesce(*species).isNotNull()).join(live, keys, "left_semi")
 
 
-def woodland_carbon(scenarios: DataFrame, parcel_tiles: DataFrame, tile: str, by: list[str], carbon: list[str], digits: int = 5) -> DataFrame:
+def woodland_carbon(scenarios: DataFrame, parcel_tiles: DataFrame, tile: str, by: list[str], carbon: list[str], species: list[str], digits: int = 5) -> DataFrame:
     """H7: area-weighted carbon per parcel and scenario over the tiles a parcel lies in."""
-    live = valid_tiles(scenarios, [tile, *[b for b in by if b != "period"]], carbon)
-    joined = parcel_tiles.join(live, tile)
+    joined = parcel_tiles.join(usable_scenarios(scenarios, tile, by, carbon, species), tile)
     return T.weighted_means(joined, [KEY, *by], "area", carbon, digits)
 
 
-def woodland_species(scenarios: DataFrame, parcel_tiles: DataFrame, tile: str, by: list[str], slots: int, digits: int = 5) -> DataFrame:
+def woodland_species(scenarios: DataFrame, parcel_tiles: DataFrame, tile: str, by: list[str], carbon: list[str], slots: int, digits: int = 5) -> DataFrame:
     """H7: species of each parcel with area-weighted share, yield and suitability; open ground is a species of its own."""
+    scenarios = usable_scenarios(scenarios, tile, by, carbon, [f"species_{i}" for i in range(1, slots + 1)])
     c = F.col
     null = F.lit(None).cast("double")
     groups = [

@@ -401,29 +401,35 @@ TILES_CTE = (
 )
 
 
+LIVE_CTE = """, live AS (SELECT tile, woodland_type FROM tiles GROUP BY ALL HAVING round(sum(carbon_tree), 9) <> 0 OR round(sum(carbon_soil), 9) <> 0),
+    usable AS (SELECT tiles.* FROM tiles JOIN live USING (tile, woodland_type) WHERE species_1 IS NOT NULL OR species_2 IS NOT NULL)"""
+
+
 @query(
     "H7_woodland_carbon",
     TILES_CTE
-    + """, live AS (SELECT tile, woodland_type FROM tiles GROUP BY ALL HAVING sum(abs(carbon_tree) + abs(carbon_soil)) > 0)
-    SELECT id_parcel, woodland_type, period, round(sum(area * carbon_tree) / sum(area) + 1e-7, 4) AS carbon_tree, round(sum(area * carbon_soil) / sum(area) + 1e-7, 4) AS carbon_soil FROM ptiles JOIN tiles USING (tile) JOIN live USING (tile, woodland_type) WHERE area > 0 GROUP BY ALL""",
+    + LIVE_CTE
+    + """
+    SELECT id_parcel, woodland_type, period, round(sum(area * carbon_tree) / sum(area) + 1e-7, 4) AS carbon_tree, round(sum(area * carbon_soil) / sum(area) + 1e-7, 4) AS carbon_soil FROM ptiles JOIN usable USING (tile) WHERE area > 0 GROUP BY ALL""",
 )
 def h7(spark, sf):
     per_tile, ptiles = woodland(spark, sf)
-    out = H.woodland_carbon(per_tile, ptiles, "tile", ["woodland_type", "period"], ["carbon_tree", "carbon_soil"], 9)
+    out = H.woodland_carbon(per_tile, ptiles, "tile", ["woodland_type", "period"], ["carbon_tree", "carbon_soil"], ["species_1", "species_2"], 9)
     return out.withColumns({c: F.round(F.col(c) + 1e-7, 4) for c in ("carbon_tree", "carbon_soil")})
 
 
 @query(
     "H7_woodland_species",
     TILES_CTE
-    + """, long AS (SELECT tile, woodland_type, period, species_1 AS species, area_1 AS share, yield_class_1 AS yield_class, suitability_1 AS suitability FROM tiles UNION ALL SELECT tile, woodland_type, period, species_2, area_2, yield_class_2, suitability_2 FROM tiles
-        UNION ALL SELECT tile, woodland_type, period, 'OPENSPACE', open_space, NULL, NULL FROM tiles)
+    + LIVE_CTE
+    + """, long AS (SELECT tile, woodland_type, period, species_1 AS species, area_1 AS share, yield_class_1 AS yield_class, suitability_1 AS suitability FROM usable UNION ALL SELECT tile, woodland_type, period, species_2, area_2, yield_class_2, suitability_2 FROM usable
+        UNION ALL SELECT tile, woodland_type, period, 'OPENSPACE', open_space, NULL, NULL FROM usable)
     SELECT id_parcel, woodland_type, period, species, round(sum(area * share) / sum(area) + 1e-7, 4) AS share, round(sum(area * yield_class) / sum(area) + 1e-7, 4) AS yield_class, round(sum(area * suitability) / sum(area) + 1e-7, 4) AS suitability
         FROM ptiles JOIN long USING (tile) WHERE species IS NOT NULL AND area > 0 GROUP BY ALL""",
 )
 def h7_species(spark, sf):
     per_tile, ptiles = woodland(spark, sf)
-    out = H.woodland_species(per_tile, ptiles, "tile", ["woodland_type", "period"], 2, 9)
+    out = H.woodland_species(per_tile, ptiles, "tile", ["woodland_type", "period"], ["carbon_tree", "carbon_soil"], 2, 9)
     return out.withColumns({c: F.round(F.col(c) + 1e-7, 4) for c in ("share", "yield_class", "suitability")})
 
 
