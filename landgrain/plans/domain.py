@@ -317,6 +317,34 @@ def d7(spark, sf):
     return H.check_assignment(assigned(spark, sf))
 
 
+def _violations_sql() -> str:
+    counts = {
+        ("action_habitat", "not_null"): "(SELECT count(*) FROM final WHERE action_group <> 'SRG')",
+        ("*", "no lowland habitat on upland"): "(SELECT count(*) FROM final WHERE is_default AND NOT is_upland AND action_group = 'SRG' AND action_habitat LIKE 'lowland%')",
+        ("*", "no upland habitat on lowland"): "(SELECT count(*) FROM final WHERE is_default AND is_upland AND action_group = 'SRG' AND action_habitat LIKE 'upland%')",
+    }
+    rules = [*[(c, "not_null") for c in H.ASSIGNMENT.columns], *[("*", i) for i in H.ASSIGNMENT.invariants]]
+    return H3_CTES + " " + " UNION ALL ".join(f"""SELECT '{c}' AS "column", '{r}' AS rule, {counts.get((c, r), "0")}::BIGINT AS failures""" for c, r in rules)
+
+
+@query("D7_assignment_violations", _violations_sql())
+def d7_violations(spark, sf):
+    """The invariants on a broken assignment: upland flags turned round, habitats missing outside one group."""
+    habitat = F.when(F.col("action_group") == "SRG", F.col("action_habitat"))
+    return H.check_assignment(assigned(spark, sf).withColumns({"is_upland": ~F.col("is_upland"), "action_habitat": habitat}))
+
+
+@query(
+    "H2_renamed_names",
+    f"WITH raw AS ({LOOKUP}), areas AS ({AREAS}), lookup AS (SELECT CASE WHEN length(habitat_name) % 2 = 0 THEN habitat_name || ' old' ELSE habitat_name END AS habitat_name, source FROM raw) SELECT DISTINCT {CLEAN} AS habitat_name FROM lookup WHERE source = 'phi' AND {CLEAN} NOT IN (SELECT {CLEAN} FROM areas)",
+)
+def h2_renamed(spark, sf):
+    """Lookup names that occur in no area row once every other name has changed."""
+    _, _, lookup, areas = rule_inputs(spark, sf)
+    name = F.when(F.length("habitat_name") % 2 == 0, F.concat("habitat_name", F.lit(" old"))).otherwise(F.col("habitat_name"))
+    return H.unknown_habitats(areas, lookup.withColumn("habitat_name", name))
+
+
 PHI = f"SELECT l_orderkey AS id_parcel, l_partkey AS fid, {NAMES.format(v='l_linenumber')} AS habitat_name, l_discount * 4 AS proportion FROM lineitem"
 MANAGE = f"SELECT DISTINCT CASE WHEN p_size % 3 = 0 THEN 'Wetland' WHEN p_size % 3 = 1 THEN 'SRG' ELSE 'Coast' END AS action_group, p_type AS action_habitat, {NAMES.format(v='p_size')} AS habitat_name FROM part"
 
