@@ -25,7 +25,7 @@ from landgrain.functions import geometry as G
 from landgrain.functions import kernels as K
 from landgrain.functions import shapes as S
 from landgrain.operators.overlap import PIECE_VERTICES
-from landgrain.operators.spatial_join import KEY, Grid, candidates, only_boxes, sjoin
+from landgrain.operators.spatial_join import KEY, Grid, candidates, only_boxes, sjoin, unbroadcast
 
 SPANS_TYPE = T.ArrayType(T.StructType([T.StructField("t0", T.DoubleType()), T.StructField("t1", T.DoubleType())]))
 BUFFERS = [0, 2, 4, 8, 12, 24]
@@ -328,14 +328,14 @@ def boundary_proportion(
     )
     base = segments.select(segment_key, key, "m")
     if parcels is None:
-        joined = base.join(covered, segment_key)
+        joined = base.join(unbroadcast(covered), segment_key)
     else:
         feats = features.select(*columns, *([exclude[1]] if exclude and exclude[1] not in columns else []), "geometry")
         met = sjoin(parcels.select(F.col(key).alias("_parcel"), "geometry"), feats, float(max(buffers)), grid)
         if exclude:
             met = met.where(F.col("_parcel") != F.col(exclude[1]))
         met = met.select(F.col("_parcel").alias(key), *columns).distinct()
-        joined = base.join(met, key).join(covered, [segment_key, *columns], "left")
+        joined = base.join(unbroadcast(met), key).join(unbroadcast(covered), [segment_key, *columns], "left")
     share = [
         F.least(F.greatest(F.coalesce(F.col(f"_m{b:g}") / F.col("m"), F.lit(0.0)), F.lit(0.0)), F.lit(1.0)).alias(f"proportion_{b:g}m")
         for b in buffers
@@ -383,9 +383,9 @@ def merge_boundaries(
     named = [f"bool_{u}" for u in uses]
     if mode == "segments":
         base = segments.select(segment_key, key, "m")
-        table = base.join(adj.drop(key, "m"), segment_key, "left").join(flags, segment_key, "left").na.fill(False, ["bool_adjacency", *named])
+        table = base.join(unbroadcast(adj.drop(key, "m")), segment_key, "left").join(unbroadcast(flags), segment_key, "left").na.fill(False, ["bool_adjacency", *named])
     else:
-        table = adj.join(flags, segment_key, "outer")
+        table = adj.join(unbroadcast(flags), segment_key, "outer")
     combined = {f"bool_{u}": F.col(f"bool_{u}") for u in uses}
     if {"wall", "hedgerow"} <= set(uses):
         combined["bool_wall_or_hedgerow"] = F.col("bool_hedgerow") | F.col("bool_wall")
@@ -450,7 +450,7 @@ def single_sided(lines: DataFrame, neighbours: DataFrame, buffers: list[float],
     covered = spans.groupBy(line_key).agg(
         *[F.sum(F.when(F.col("buffer") == float(b), (F.col("t1") - F.col("t0")) * F.col("run"))).alias(f"_c{b:g}") for b in buffers]
     )
-    base = lines.select(line_key, m.alias("m")).join(covered, line_key, "left")
+    base = lines.select(line_key, m.alias("m")).join(unbroadcast(covered), line_key, "left")
     out = [line_key, "m"]
     for b in buffers:
         p = F.least(F.coalesce(F.col(f"_c{b:g}") / F.col("m"), F.lit(0.0)), F.lit(1.0))

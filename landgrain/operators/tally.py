@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from landgrain.functions import geometry as G
 from landgrain.operators.linear import BUFFERS
-from landgrain.operators.spatial_join import Grid, sjoin
+from landgrain.operators.spatial_join import Grid, sjoin, unbroadcast
 
 
 def _snapped(features: DataFrame, key: str, snap: float | None) -> DataFrame:
@@ -72,7 +72,7 @@ def interior_counts(
     within = sjoin(parcels.select(key, "geometry"), feats, 0.0, grid, **kw).select(key, "_fid")
     near = sjoin(segments.select(key, "geometry"), feats, float(max(buffers)), grid, distance_col="_d", **kw)
     rim = near.groupBy(key, "_fid").agg(F.min("_d").alias("_d"))
-    measured = within.join(rim, [key, "_fid"], "left").withColumn("_d", F.coalesce("_d", F.lit(float("inf"))))
+    measured = within.join(unbroadcast(rim), [key, "_fid"], "left").withColumn("_d", F.coalesce("_d", F.lit(float("inf"))))
     free = {b: F.col("_d") >= float(b) for b in buffers}
     smallest = min(buffers)
     return (
@@ -96,7 +96,7 @@ def parcel_tree_features(
     """Per parcel, boundary trees by use, halved on shared boundary, and interior trees."""
     adj = adjacency.withColumn("_f", F.expr(f"CAST({threshold} AS DOUBLE)")).groupBy(segment_key).agg(F.max("_f").alias("bool_adjacency"))
     near = flags.select(segment_key, *[F.col(f"bool_{u}").cast("double").alias(f"bool_{u}") for u in uses])
-    table = boundary_counts.join(adj, segment_key, "left").join(near, segment_key, "left")
+    table = boundary_counts.join(unbroadcast(adj), segment_key, "left").join(unbroadcast(near), segment_key, "left")
     half = (2 - F.col("bool_adjacency")) / 2
     aggs = []
     for b in buffers:
@@ -107,7 +107,7 @@ def parcel_tree_features(
             aggs.append(F.sum(n * F.col(f"bool_{name}")).cast("int").alias(f"n_{name}_trees_{b}m"))
             aggs.append(F.sum(n * F.col(f"bool_{name}") * half).alias(f"n_adj_{name}_trees_{b}m"))
     inside = interior.select(key, *[F.col(f"count_{b}m").cast("int").alias(f"n_interior_trees_{b}m") for b in buffers])
-    out = table.groupBy(key).agg(*aggs).join(inside, key, "outer").na.fill(0)
+    out = table.groupBy(key).agg(*aggs).join(unbroadcast(inside), key, "outer").na.fill(0)
     return out.withColumns({f"n_adj_trees_{b}m": F.col(f"n_adj_boundary_trees_{b}m") + F.col(f"n_interior_trees_{b}m") for b in buffers})
 
 
