@@ -3,6 +3,8 @@
 import pytest
 
 from landgrain import plans
+from landgrain.functions import geometry as G
+from landgrain.operators import spatial_join as SJ
 
 
 def physical(df):
@@ -12,3 +14,12 @@ def physical(df):
 @pytest.mark.parametrize("name", ["O3_boundary_hedges", "O7_boundary_merger", "O8_parcel_tree_features", "O14_area_within_round", "O15_divide_by_use", "O16_allocate_by_priority", "H14_boundary_uses"])
 def test_sides_made_by_generators_are_sorted(spark, sf_dir, name):
     assert "Broadcast" not in physical(plans.QUERIES[name](spark, sf_dir))
+
+
+def test_small_side_meets_on_cells(spark):
+    left = spark.range(50).selectExpr("id AS a", f"{G.box_sql('id * 7', 'id * 3', 'id * 7 + 5', 'id * 3 + 5')} AS geometry")
+    right = spark.range(9).selectExpr("id AS b", f"{G.box_sql('id * 40', 'id * 15', 'id * 40 + 20', 'id * 15 + 300')} AS geometry")
+    small = SJ.sjoin_small(left, right, grid=SJ.Grid(20.0))
+    assert "NestedLoop" not in physical(small) and "BroadcastHashJoin" in physical(small)
+    want = sorted(map(tuple, SJ.sjoin(left, right, grid=SJ.Grid(20.0)).select("a", "b").collect()))
+    assert want and sorted(map(tuple, small.select("a", "b").collect())) == want
