@@ -245,7 +245,7 @@ LOOKUP_SQL = "lookup AS (SELECT p_type, p_brand, CASE WHEN p_size % 3 = 0 THEN N
     f"WITH {LOOKUP_SQL} SELECT DISTINCT s_suppkey, p_type FROM supplier JOIN lookup ON 'Brand#' || CAST(s_nationkey AS VARCHAR) = p_brand AND (want IS NULL OR want = (s_suppkey % 2 = 0))",
 )
 def j19(spark, sf):
-    lookup = table(spark, sf, "part").select("p_type", "p_brand", F.when(F.col("p_size") % 3 != 0, F.col("p_size") % 2 == 0).alias("want"))
+    lookup = table(spark, sf, "part").select("p_type", "p_brand", F.when(F.col("p_size") % 3 != 0, F.col("p_size") % 2 == 0).alias("want")).distinct()
     s = table(spark, sf, "supplier").withColumn("brand", F.concat(F.lit("Brand#"), F.col("s_nationkey").cast("string")))
     wild = lookup.want.isNull() | (lookup.want == (s.s_suppkey % 2 == 0))
     return s.join(lookup, (s.brand == lookup.p_brand) & wild).select("s_suppkey", "p_type").distinct()

@@ -23,3 +23,7 @@ def test_small_side_meets_on_cells(spark):
     assert "NestedLoop" not in physical(small) and "BroadcastHashJoin" in physical(small)
     want = sorted(map(tuple, SJ.sjoin(left, right, grid=SJ.Grid(20.0)).select("a", "b").collect()))
     assert want and sorted(map(tuple, small.select("a", "b").collect())) == want
+
+
+def test_wildcard_lookup_has_each_rule_once(spark, sf_dir):
+    assert physical(plans.QUERIES["J19_wildcard_match"](spark, sf_dir)).count("HashAggregate") >= 3
