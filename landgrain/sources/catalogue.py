@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from landgrain.functions.text import short_hash
-from landgrain.operators.spatial_join import durable
+from landgrain.operators.spatial_join import durable, unbroadcast
 from landgrain.operators.tables import rename_to_model
 from landgrain.sources import writers
 from landgrain.sources.readers import decode_geometry, read_glob, read_parquet
@@ -227,7 +227,7 @@ def lineage(edges: DataFrame) -> DataFrame:
         if not walk.where("name = ancestor").isEmpty():
             raise ValueError("dependencies form a cycle")
         hop = steps.withColumnsRenamed({"name": "ancestor", "parent": "_next"})
-        walk = durable(walk.join(hop, "ancestor").select("name", F.col("_next").alias("ancestor"), F.lit(depth).alias("depth")).distinct())
+        walk = durable(walk.join(unbroadcast(hop), "ancestor").select("name", F.col("_next").alias("ancestor"), F.lit(depth).alias("depth")).distinct())
         if walk.isEmpty():
             break
         found = found.unionAll(walk)
@@ -242,18 +242,19 @@ def impact(edges: DataFrame) -> DataFrame:
 def build_levels(names: DataFrame, edges: DataFrame) -> DataFrame:
     """0 for sources, else one more than the deepest dependency."""
     deepest = lineage(edges).groupBy("name").agg(F.max("depth").alias("level"))
-    return names.join(deepest, "name", "left").na.fill(0, ["level"])
+    return names.join(unbroadcast(deepest), "name", "left").na.fill(0, ["level"])
 
 
 def derive_hashes(known: DataFrame, table: DataFrame, edges: DataFrame, levels: DataFrame) -> DataFrame:
     """Hash of each derived dataset from its dependencies' hashes in order, one level at a time."""
-    depth = levels.agg(F.max("level")).first()[0] or 0
+    levelled = durable(edges.join(unbroadcast(levels), "name").join(unbroadcast(table), "name").select("name", "parent", "pos", "version", "level"))
+    depth = levelled.agg(F.max("level")).first()[0] or 0
     out = known
     for level in range(1, depth + 1):
-        here = edges.join(levels.where(F.col("level") == level), "name", "left_semi")
-        parts = here.join(out.withColumnsRenamed({"name": "parent", "hash": "_h"}), "parent").groupBy("name").agg(
+        here = levelled.where(F.col("level") == level).drop("level")
+        parts = here.join(unbroadcast(out.withColumnsRenamed({"name": "parent", "hash": "_h"})), "parent").groupBy("name", "version").agg(
             F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "_h"))), lambda s: s["_h"]), "-").alias("_joined")
         )
-        made = parts.join(table, "name").select("name", short_hash(F.col("_joined"), F.nullif(F.col("version"), F.lit(""))).alias("hash"))
-        out = durable(out.unionAll(made))
+        made = parts.select("name", short_hash(F.col("_joined"), F.nullif(F.col("version"), F.lit(""))).alias("hash"))
+        out = out.unionAll(durable(made))
     return out

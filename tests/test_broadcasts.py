@@ -16,6 +16,19 @@ def test_sides_made_by_generators_are_sorted(spark, sf_dir, name):
     assert "Broadcast" not in physical(plans.QUERIES[name](spark, sf_dir))
 
 
+def test_lineage_steps_are_sorted(spark, sf_dir):
+    from landgrain.plans.datasets import tree
+    from landgrain.sources import catalogue
+
+    seen = []
+    hold, catalogue.durable = catalogue.durable, lambda df: seen.append(physical(df)) or hold(df)
+    try:
+        catalogue.lineage(tree(spark, sf_dir)[1])
+    finally:
+        catalogue.durable = hold
+    assert seen and not any("Broadcast" in p for p in seen)
+
+
 def test_small_side_meets_on_cells(spark):
     left = spark.range(50).selectExpr("id AS a", f"{G.box_sql('id * 7', 'id * 3', 'id * 7 + 5', 'id * 3 + 5')} AS geometry")
     right = spark.range(9).selectExpr("id AS b", f"{G.box_sql('id * 40', 'id * 15', 'id * 40 + 20', 'id * 15 + 300')} AS geometry")
