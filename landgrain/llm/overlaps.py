@@ -3,9 +3,10 @@
 Two sets with a similarity of 0.8 or more share one of the first fifth of their shingles in
 any common order, so documents meet in blocks of one such shingle.  The order puts
 shingles that are frequent in a sample last; it decides what meets where, not what is
-found.  Sets of equal content are one node.  Every node is first compared with the smallest
-one of its blocks that it meets most often, then with the smallest ones of other
-components, and at last members of different components with each other.  Parity
+found.  Sets of equal content are one node.  Nodes that SimHash fingerprints link, and every
+node with the smallest one of its blocks that it meets most often, are compared first, then
+nodes with the smallest ones of other components, and at last members of different components
+with each other.  A link of fingerprints counts only if the sets are similar.  Parity
 sketches, whose distance never exceeds the number of differing shingles, discard pairs:
 a short one inside the blocks and then one with two bits for every shingle.  The shared
 shingles of the rest are counted, and the sets of these nodes alone are sent.
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landgrain.llm import pairs as simhash
 from landgrain.llm.components import components
 from landgrain.llm.pairs import SLICE, _then_none
 from landgrain.llm.spaces import cut, new_path
@@ -105,8 +107,9 @@ def _per_set(docs: DataFrame, schema: str, rows) -> DataFrame:
 
 def _summary(key: pa.Array, sets: list[np.ndarray]):
     sketches = [sketch(s) for s in sets]
-    columns = [key, pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([folded(x, SHORT).tobytes() for x in sketches], pa.binary()), pa.array(sketches, pa.binary())]
-    return ["key", "node", "size", "short", "sketch"], columns
+    prints = np.array([simhash.fingerprint(s) for s in sets], np.uint64).view(np.int64)
+    columns = [key, pa.array([node_of(s) for s in sets], pa.int64()), pa.array(prints), pa.array([len(s) for s in sets], pa.int32()), pa.array([folded(x, SHORT).tobytes() for x in sketches], pa.binary()), pa.array(sketches, pa.binary())]
+    return ["key", "node", "fp", "size", "short", "sketch"], columns
 
 
 def _lists(sets: list[np.ndarray]) -> pa.Array:
@@ -260,6 +263,13 @@ def _candidates(spread: DataFrame, nodes: DataFrame) -> DataFrame:
     return met.repartition("run").sortWithinPartitions("run").mapInArrow(compare, "u long, v long").where("u <> v").groupBy("u", "v").agg(F.count("*").alias("met"))
 
 
+def _fingerprint_links(infos: DataFrame) -> DataFrame:
+    """The pairs (u, v) of nodes whose SimHash fingerprints are equal or linked; `infos` has node and fp."""
+    prints = cut(infos.groupBy("fp").agg(F.min("node").alias("node")))
+    equal = infos.select("fp", F.col("node").alias("v")).join(prints.withColumnRenamed("node", "u"), "fp").where("u <> v").select("u", "v")
+    return equal.unionAll(simhash.links(prints)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+
+
 def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, component_id) for every row with a key: the smallest key that similarities of 0.8 or more reach.
 
@@ -267,8 +277,9 @@ def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """
     docs = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = docs.schema["key"].dataType.simpleString()
-    rows = cut(_per_set(docs, f"key {kind}, node long, size int, short binary, sketch binary", _summary))
+    rows = cut(_per_set(docs, f"key {kind}, node long, fp long, size int, short binary, sketch binary", _summary))
     keys = rows.select("key", "node")
+    prints = rows.select("node", "fp").distinct()
     infos = rows.select("node", "size", "short", "sketch").dropDuplicates(["node"])
     frequent = _frequent(docs, rows.count())
 
@@ -281,7 +292,7 @@ def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     stars = spread.where("lead <> node").groupBy(F.col("lead").alias("u"), F.col("node").alias("v")).agg(F.count("*").alias("met"))
     stars = _allowed(stars, infos)
     best = stars.groupBy("v").agg(F.max_by("u", F.struct("met", "u")).alias("u")).select("u", "v")
-    first = _verified(cut(best), docs, keys)
+    first = _verified(cut(best.unionAll(_fingerprint_links(prints)).distinct()), docs, keys)
     links = first.unionAll(_verified(_apart(stars, first).select("u", "v"), docs, keys))
     roots = components(links).withColumnRenamed("root", "found")
     met = spread.select("node").distinct().join(infos.select("node", "size", "short"), "node").join(roots, "node", "left")
