@@ -22,6 +22,8 @@ from landgrain.llm.words import mix, parts
 
 SIZE = 300
 """N-grams in a profile."""
+TEXT = 1 << 20
+"""Bytes of text counted at once: sorting its n-grams takes some hundred times that."""
 
 _LETTERS: list[np.ndarray] = []
 
@@ -86,7 +88,7 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "lang", size: in
         sums: dict[str, dict[int, int]] = {}
         for batch in batches:
             column, labels = batch.column(0), np.asarray(batch.column(1).to_pylist(), object)
-            for a, b in parts(column):
+            for a, b in parts(column, TEXT):
                 of, grams, counts = count_grams(column.slice(a, b - a).to_pylist())
                 for lang in sorted(set(labels[a:b])):
                     mine = (labels[a:b] == lang)[of]
@@ -170,7 +172,7 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text"
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(kept.index(text))
-            for a, b in parts(column):
+            for a, b in parts(column, TEXT):
                 found, score = ranker.predict(column.slice(a, b - a).to_pylist())
                 rows = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, pa.string()), pa.array(score, pa.float64())], [*kept, "lang_pred", "score"])

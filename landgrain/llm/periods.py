@@ -34,15 +34,19 @@ LEAST = 6
 REPEATS = 4
 MARGIN = 24
 """Words that a grid point looks beyond two steps on either side."""
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 """Comparisons made at once when tiles are picked."""
 
 SPAN = 4096
 """Words between the first and the last grid point of a tile, if sixteen steps are not more."""
 TASK = 1 << 22
 """Bytes of tiles for one task."""
-FLUSH = 1 << 24
+FLUSH = 1 << 22
 """Bytes of tiles that a task holds before it sends them."""
+TEXT = 1 << 20
+"""Bytes of text whose tiles are picked at once."""
+ROWS = 64
+"""Tiles that are lists of numbers at once."""
 
 
 def least_length(period):
@@ -182,7 +186,7 @@ def keyed(docs: DataFrame, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for a, b in parts(batch.column(1)):
+            for a, b in parts(batch.column(1), TEXT):
                 rest = batch.slice(a, b - a)
                 texts = rest.column(1)
                 found = split(texts)
@@ -219,7 +223,7 @@ def solved(tiles: DataFrame) -> DataFrame:
     """(key, period, start, stop) of the stretches around every grid point of every tile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
             out: tuple[list, list, list, list] = ([], [], [], [])
             for key, octave, points, first, total, codes in zip(*(batch.column(k).to_pylist() for k in range(6))):
                 x = np.frombuffer(codes, np.int32).tolist()

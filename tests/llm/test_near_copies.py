@@ -1,6 +1,6 @@
-"""Near copies go through SimHash links."""
+"""Near copies go through SimHash links; texts are counted and solved in bounded portions."""
 
-from landgrain.llm import overlaps, pairs
+from landgrain.llm import languages, overlaps, pairs, periods
 
 WORDS = [f"w{k}" for k in range(200)]
 
@@ -14,3 +14,14 @@ def test_near_copies_follow_fingerprint_links(spark, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in overlaps.near_sets(docs).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 1, 5: 5}
     assert linked and linked[0] >= 2
+
+
+def test_portions_change_no_row(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "la casa " * (k + 2) if k % 2 else "the house of " * (k + 1), "es" if k % 2 else "en") for k in range(12)], "doc_id long, text string, lang string")
+    before = sorted(map(tuple, languages.train_and_identify(docs).select("doc_id", "lang_pred", "score").collect()))
+    runs = sorted(map(tuple, periods.reports(docs).collect()))
+    monkeypatch.setattr(languages, "TEXT", 20)
+    monkeypatch.setattr(periods, "TEXT", 20)
+    monkeypatch.setattr(periods, "ROWS", 1)
+    assert sorted(map(tuple, languages.train_and_identify(docs).select("doc_id", "lang_pred", "score").collect())) == before
+    assert sorted(map(tuple, periods.reports(docs).collect())) == runs
