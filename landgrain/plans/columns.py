@@ -373,7 +373,7 @@ def g14(spark, sf):
     ZIGZAG_SQL + "SELECT k, CAST(CASE WHEN true THEN ceil(w / 50.0) + ceil(h / 50.0) + ceil(w / 50.0) END AS BIGINT) AS n, CAST(2 * w + h AS DOUBLE) AS m FROM zig",
 )
 def g15(spark, sf):
-    cut = zigzags(spark, sf).select("k", F.explode(S.segmentise("geometry", 5.0, 50.0)).alias("geometry"))
+    cut = spread(zigzags(spark, sf)).select("k", F.explode(S.segmentise("geometry", 5.0, 50.0)).alias("geometry"))
     return cut.groupBy("k").agg(F.count("*").alias("n"), F.round(F.sum(G.length("geometry")), 6).alias("m"))
 
 
