@@ -7,8 +7,10 @@ found.  Sets of equal content are one node.  Nodes that SimHash fingerprints lin
 node with the smallest one of its blocks that it meets most often, are compared first, then
 nodes with the smallest ones of other components, and at last members of different components
 with each other.  A link of fingerprints counts only if the sets are similar.  Parity
-sketches, whose distance never exceeds the number of differing shingles, discard pairs:
-a short one inside the blocks and then one with two bits for every shingle.  The shared
+sketches, whose distance never exceeds the number of differing shingles, discard pairs
+inside the blocks: one folded to 512 bits and then one with two bits for every shingle.  A run
+first names the pairs of a forest over its components; those that hold join components, and
+all pairs that are still apart come after.  The shared
 shingles of the rest are counted, and the sets of these nodes alone are sent.
 
 Sets are compared by 64-bit hashes of their shingles, and a node is a 64-bit hash of a set.
@@ -31,7 +33,9 @@ from landgrain.llm.words import grams, mix, parts, split
 
 SHINGLE = 5
 SHORT = 512
-"""Bits of the sketch that goes into blocks."""
+"""Bits of the folded sketch that is compared first."""
+COMPARED = 1 << 26
+"""Bits of sketches that are compared at once."""
 KEYS_SENT = 1 << 20
 """Keys up to this number are broadcast; more are joined."""
 SAMPLE = 5000
@@ -108,8 +112,8 @@ def _per_set(docs: DataFrame, schema: str, rows) -> DataFrame:
 def _summary(key: pa.Array, sets: list[np.ndarray]):
     sketches = [sketch(s) for s in sets]
     prints = np.array([simhash.fingerprint(s) for s in sets], np.uint64).view(np.int64)
-    columns = [key, pa.array([node_of(s) for s in sets], pa.int64()), pa.array(prints), pa.array([len(s) for s in sets], pa.int32()), pa.array([folded(x, SHORT).tobytes() for x in sketches], pa.binary()), pa.array(sketches, pa.binary())]
-    return ["key", "node", "fp", "size", "short", "sketch"], columns
+    columns = [key, pa.array([node_of(s) for s in sets], pa.int64()), pa.array(prints), pa.array([len(s) for s in sets], pa.int32()), pa.array(sketches, pa.binary())]
+    return ["key", "node", "fp", "size", "sketch"], columns
 
 
 def _lists(sets: list[np.ndarray]) -> pa.Array:
@@ -179,10 +183,6 @@ def _shared(spread: DataFrame) -> DataFrame:
     return spread.repartition("block").sortWithinPartitions("block", "node").mapInArrow(keep, "block long, lead long, node long")
 
 
-def _bits(sketches: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(sketches.to_pylist()), np.uint64).reshape(len(sketches), SHORT // 64)
-
-
 def _allowed(pairs: DataFrame, infos: DataFrame) -> DataFrame:
     """The rows of pairs (u, v, met) that sizes and sketches allow to be near; `infos` has node, size, sketch."""
     u, v = (infos.select(F.col("node").alias(c), F.col("size").alias(f"{c}_size"), F.col("sketch").alias(f"{c}_sketch")) for c in "uv")
@@ -205,8 +205,25 @@ def _apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
     return cut(pairs.join(u, "u", "left").join(v, "v", "left").where("coalesce(u_root, u) <> coalesce(v_root, v)").select(*pairs.columns))
 
 
-def may_be_near(run: np.ndarray, group: np.ndarray, size: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (a, b) of the pairs of one run, in different groups, that sizes and sketches allow to be near."""
+def _close(sketches: list[bytes], a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Which of the pairs (a, b) of sketches have a distance of at most `most`, at the size of the smaller one."""
+    places = 8 * np.fromiter(map(len, sketches), np.int64, len(sketches))
+    size = np.minimum(places[a], places[b])
+    out = np.zeros(len(a), bool)
+    for bits in np.unique(size).tolist():
+        some = np.flatnonzero(size == bits)
+        who, at = np.unique(np.concatenate([a[some], b[some]]), return_inverse=True)
+        table = np.stack([folded(sketches[k], bits) for k in who.tolist()])
+        i, j = at[: len(some)], at[len(some) :]
+        step = max(1, COMPARED // bits)
+        for k in range(0, len(some), step):
+            part = slice(k, k + step)
+            out[some[part]] = np.bitwise_count(table[i[part]] ^ table[j[part]]).sum(axis=1) <= most[some[part]]
+    return out
+
+
+def may_be_near(run: np.ndarray, group: np.ndarray, size: np.ndarray, sketches: list[bytes], short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (a, b) of the pairs of one run, in different groups, that sizes, short sketches and sketches allow to be near."""
     first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     alive = np.arange(len(run))
     d = 1
@@ -219,15 +236,41 @@ def may_be_near(run: np.ndarray, group: np.ndarray, size: np.ndarray, sketches:
         x, y = size[a], size[a + d]
         fits = 5 * np.minimum(x, y) >= 4 * np.maximum(x, y)
         a, most = a[fits], ((x + y) // 9)[fits]
-        a = a[np.bitwise_count(sketches[a] ^ sketches[a + d]).sum(axis=1) <= most]
-        first.append(a)
-        second.append(a + d)
+        near = np.bitwise_count(short[a] ^ short[a + d]).sum(axis=1) <= most
+        first.append(a[near])
+        second.append(a[near] + d)
         d += 1
-    return np.concatenate(first), np.concatenate(second)
+    a, b = np.concatenate(first), np.concatenate(second)
+    near = _close(sketches, a, b, (size[a] + size[b]) // 9)
+    return a[near], b[near]
 
 
-def _candidates(spread: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (u, v, met) of one block and two components that may be near; `nodes` has node, group, size, short."""
+def one_per_groups(run: np.ndarray, group: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs (a, b), a forest of those that join the groups of each run; equal runs are adjacent.
+
+    Every group keeps its first pair, so a run reports fewer pairs than it has members.
+    """
+    _, at = np.unique(np.stack([run, group]), axis=1, return_inverse=True)
+    at = at.ravel()
+    kept = np.zeros(len(a), bool)
+    root = np.arange(len(at))
+    while True:
+        apart = np.flatnonzero(root[at[a]] != root[at[b]])
+        if not len(apart):
+            return a[kept], b[kept]
+        u, v = root[at[a[apart]]], root[at[b[apart]]]
+        first = np.full(len(root), len(a))
+        np.minimum.at(first, u, apart)
+        np.minimum.at(first, v, apart)
+        kept[first[first < len(a)]] = True
+        root = simhash.forest(len(root), at[a[kept]], at[b[kept]])
+
+
+def _candidates(spread: DataFrame, nodes: DataFrame, forest: bool = False) -> DataFrame:
+    """Pairs (u, v) of one block and two components that may be near; `nodes` has node, group, size, sketch.
+
+    With `forest` a run reports the pairs of a forest over its components, fewer than its members.
+    """
     member = spread.join(nodes.select("node", "group"), "node")
     marks = [F.expr(f"bit_xor(xxhash64({k}, node))").alias(f"x{k}") for k in range(2)]
     crowds = member.groupBy("block").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count("*").alias("n"), *marks).where("lo < hi")
@@ -238,8 +281,8 @@ def _candidates(spread: DataFrame, nodes: DataFrame) -> DataFrame:
     met = (
         spread.join(crowds, "block")
         .join(nodes, "node")
-        .select("node", "group", "size", "short", "block", here.alias("here"), other.alias("other"))
-        .select("node", "group", "size", "short", F.xxhash64("block", F.least("here", "other"), F.greatest("here", "other")).alias("run"))
+        .select("node", "group", "size", "sketch", "block", here.alias("here"), other.alias("other"))
+        .select("node", "group", "size", "sketch", F.xxhash64("block", F.least("here", "other"), F.greatest("here", "other")).alias("run"))
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,13 +297,16 @@ def _candidates(spread: DataFrame, nodes: DataFrame) -> DataFrame:
             rest = held.slice(stop)
             if not stop:
                 continue
-            held = held.slice(0, stop)
+            held, run = held.slice(0, stop), run[:stop]
             node, group, size = (held[c].to_numpy() for c in ("node", "group", "size"))
-            a, b = may_be_near(run[:stop], group, size.astype(np.int64), _bits(held["short"]))
-            u, v = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+            sketches = held["sketch"].to_pylist()
+            a, b = may_be_near(run, group, size.astype(np.int64), sketches, np.stack([folded(x, SHORT) for x in sketches]))
+            if forest:
+                a, b = one_per_groups(run, group, a, b)
+            pairs = np.unique(np.stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b])]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["u", "v"])
 
-    return met.repartition("run").sortWithinPartitions("run").mapInArrow(compare, "u long, v long").where("u <> v").groupBy("u", "v").agg(F.count("*").alias("met"))
+    return met.repartition("run").sortWithinPartitions("run").mapInArrow(compare, "u long, v long").where("u <> v").distinct()
 
 
 def _fingerprint_links(infos: DataFrame) -> DataFrame:
@@ -270,6 +316,13 @@ def _fingerprint_links(infos: DataFrame) -> DataFrame:
     return equal.unionAll(simhash.links(prints)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 
 
+def _grouped(spread: DataFrame, infos: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, group, size, sketch) of the nodes in blocks; the group is the smallest node that the links reach."""
+    roots = components(links).withColumnRenamed("root", "found")
+    met = spread.select("node").distinct().join(infos.select("node", "size", "sketch"), "node").join(roots, "node", "left")
+    return cut(met.select("node", F.coalesce("found", "node").alias("group"), "size", "sketch"))
+
+
 def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, component_id) for every row with a key: the smallest key that similarities of 0.8 or more reach.
 
@@ -277,10 +330,10 @@ def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """
     docs = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = docs.schema["key"].dataType.simpleString()
-    rows = cut(_per_set(docs, f"key {kind}, node long, fp long, size int, short binary, sketch binary", _summary))
+    rows = cut(_per_set(docs, f"key {kind}, node long, fp long, size int, sketch binary", _summary))
     keys = rows.select("key", "node")
     prints = rows.select("node", "fp").distinct()
-    infos = rows.select("node", "size", "short", "sketch").dropDuplicates(["node"])
+    infos = rows.select("node", "size", "sketch").dropDuplicates(["node"])
     frequent = _frequent(docs, rows.count())
 
     def blocks(key: pa.Array, sets: list[np.ndarray]):
@@ -294,11 +347,10 @@ def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     best = stars.groupBy("v").agg(F.max_by("u", F.struct("met", "u")).alias("u")).select("u", "v")
     first = _verified(cut(best.unionAll(_fingerprint_links(prints)).distinct()), docs, keys)
     links = first.unionAll(_verified(_apart(stars, first).select("u", "v"), docs, keys))
-    roots = components(links).withColumnRenamed("root", "found")
-    met = spread.select("node").distinct().join(infos.select("node", "size", "short"), "node").join(roots, "node", "left")
-    met = cut(met.select("node", F.coalesce("found", "node").alias("group"), "size", "short"))
-    last = _verified(_allowed(_candidates(spread.select("block", "node"), met), infos).select("u", "v"), docs, keys)
-    roots = components(links.unionAll(last))
+    for forest in (True, False):  # pairs that join components, then all pairs that are still apart
+        found = _candidates(spread.select("block", "node"), _grouped(spread, infos, links), forest)
+        links = links.unionAll(_verified(cut(found), docs, keys))
+    roots = components(links)
     named = cut(keys.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root")))
     return named.join(named.groupBy("root").agg(F.min("key").alias("component_id")), "root").select(F.col("key").alias(key), "component_id")
 

@@ -25,3 +25,25 @@ def test_portions_change_no_row(spark, monkeypatch):
     monkeypatch.setattr(periods, "ROWS", 1)
     assert sorted(map(tuple, languages.train_and_identify(docs).select("doc_id", "lang_pred", "score").collect())) == before
     assert sorted(map(tuple, periods.reports(docs).collect())) == runs
+
+
+def test_runs_name_few_pairs_of_components(spark, monkeypatch):
+    """Nodes of one block that all are near each other are named by a forest first, and then no more."""
+    base = [f"v{k}" for k in range(100)]
+    texts = {k: " ".join(base[: 50 + k] + [f"own{k}"] + base[51 + k :]) for k in range(30)}
+    docs = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    infos = overlaps._per_set(docs.select(docs.doc_id.alias("key"), "text"), "key long, node long, fp long, size int, sketch binary", overlaps._summary)
+    nodes = infos.selectExpr("node", "node AS `group`", "size", "sketch")
+    spread = nodes.selectExpr("explode(array(1L, 2L)) AS block", "node")
+    every = overlaps._candidates(spread, nodes).count()
+    few = overlaps._candidates(spread, nodes, True)
+    assert few.count() == 29 and every == 30 * 29 // 2
+    assert overlaps.components(few).count() == 29
+
+
+def test_long_sets_are_told_apart_inside_a_run(spark):
+    """512 bits say nothing about sets of 1,500 shingles; the whole sketch does."""
+    docs = spark.createDataFrame([(k, " ".join(f"{'s' if n < 10 else k}{n}" for n in range(1500))) for k in range(6)], "key long, text string")
+    infos = overlaps._per_set(docs, "key long, node long, fp long, size int, sketch binary", overlaps._summary)
+    nodes = infos.selectExpr("node", "node AS `group`", "size", "sketch")
+    assert overlaps._candidates(nodes.selectExpr("1L AS block", "node"), nodes).count() == 0
