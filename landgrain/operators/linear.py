@@ -23,6 +23,7 @@ from pyspark.sql import Window as W
 from landgrain.functions import batches as B
 from landgrain.functions import geometry as G
 from landgrain.functions import kernels as K
+from landgrain.functions import rings as R
 from landgrain.functions import shapes as S
 from landgrain.operators.overlap import PIECE_VERTICES
 from landgrain.operators.spatial_join import KEY, Grid, candidates, only_boxes, sjoin, unbroadcast
@@ -181,9 +182,35 @@ def _box_interval(pairs: DataFrame, g: Column) -> DataFrame:
     )
 
 
+SIZES_TYPE = T.StructType([T.StructField("vertices", T.ArrayType(T.IntegerType())), T.StructField("areas", T.ArrayType(T.DoubleType()))])
+
+
+def _piece_sizes(most: int):
+    @F.arrow_udf(returnType=SIZES_TYPE)
+    def run(parts: pa.Array) -> pa.Array:
+        """Vertices and areas of the pieces of every geometry; all single rings of a batch are cut at once."""
+        rows = K.PartsReader(parts)
+        easy, xy, first = R.read(rows, 2, 1)
+        rest = np.setdiff1d(np.arange(len(rows)), easy, assume_unique=True)
+        cuts = [(i, cut) for i in rest.tolist() if (p := rows.parts(i)) for cut in K.halve_until(p, most)]
+        owner = np.array([i for i, _ in cuts], np.int64)
+        vertices = np.array([K.count_vertices(c) for _, c in cuts], np.int64)
+        areas = np.array([K.parts_area(c) for _, c in cuts], float)
+        if len(easy):
+            xy, first, ring = R.halve_until(xy, first, most)
+            owner, vertices = np.append(owner, np.asarray(easy)[ring]), np.append(vertices, np.diff(first))
+            areas = np.append(areas, np.abs(R.areas(xy, first)))
+        order = np.argsort(owner, kind="stable")
+        ends = pa.array(np.searchsorted(owner[order], np.arange(len(rows) + 1)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x[order], t)) for x, t in ((vertices, pa.int32()), (areas, pa.float64()))]
+        return pa.StructArray.from_arrays(lists, names=["vertices", "areas"])
+
+    return run
+
+
 @F.udtf(returnType="id string, piece int, vertices int, area double")
 class CutPieces:
-    """Table function over (id, g), one partition per id: its geometries cut into pieces of at most `most` vertices.
+    """Table function over (id, vertices and areas of a geometry's pieces), one partition per id: a row for every piece.
 
     Pieces of one id are numbered across its rows, which the call orders.
     """
@@ -191,19 +218,25 @@ class CutPieces:
     def __init__(self):
         self.piece = 0
 
-    def eval(self, row, most: int):
-        parts = [(p["dim"], [np.array([(v["x"], v["y"]) for v in ring]) for ring in p["rings"]]) for p in row["g"]["parts"]]
-        for cut in K.halve_until(parts, most) if parts else ():
-            yield row["id"], self.piece, K.count_vertices(cut), K.parts_area(cut)
+    def eval(self, row):
+        key = row["id"]
+        for vertices, area in zip(row["vertices"], row["areas"]):
+            yield key, self.piece, vertices, area
             self.piece += 1
 
 
 def cut_pieces(shapes: DataFrame, key: str, order: str, most: int = 256) -> DataFrame:
-    """(id, piece, vertices, area) of the pieces of every geometry, by a table function partitioned by key."""
+    """(id, piece, vertices, area) of the pieces of every geometry, by a table function partitioned by key.
+
+    Geometries are cut by the batch; only the sizes of their pieces go through the table function row by row.
+    """
     if most < 8:
         raise ValueError("a piece needs room for 8 vertices: halves of four-sided pieces never get smaller")
-    table = shapes.select(F.col(key).cast("string").alias("id"), F.col(order).alias("at"), F.col("geometry").alias("g"))
-    return CutPieces(table.asTable().partitionBy("id").orderBy("at"), F.lit(most))
+    # dealt out first, since a small file can hold many rows
+    dealt = shapes.select(F.col(key).cast("string").alias("id"), F.col(order).alias("at"), F.col("geometry")).repartition("id")
+    sizes = dealt.select("id", "at", _piece_sizes(most)(F.col("geometry")["parts"]).alias("cut"))
+    table = sizes.select("id", "at", "cut.vertices", "cut.areas")
+    return CutPieces(table.asTable().partitionBy("id").orderBy("at"))
 
 
 @F.arrow_udf(returnType=SPANS_TYPE)

@@ -65,3 +65,18 @@ def test_table_function_numbers_pieces(spark):
     assert linear.cut_pieces(shapes.limit(0), "k", "id").count() == 0
     with pytest.raises(ValueError):
         linear.cut_pieces(shapes, "k", "id", 4)
+
+
+def test_table_function_gets_sizes_of_pieces(spark):
+    """Rings are cut by the batch; holes, parts and empty shapes come out as the kernel cuts them."""
+    at = np.linspace(0, 2 * np.pi, 30, endpoint=False)
+    ring = ", ".join(f"{float(10 * np.cos(a))!r} {float(10 * np.sin(a))!r}" for a in [*at, 0.0])
+    wkts = [f"POLYGON (({ring}))", f"POLYGON (({ring}), (-1 -1, -1 1, 1 1, 1 -1, -1 -1))", f"MULTIPOLYGON ((({ring})), ((40 0, 50 0, 50 9, 40 0)))", "POLYGON EMPTY", "POLYGON ((0 0, 4 0, 4 3, 0 0))"]
+    shapes = spark.createDataFrame([*enumerate(wkts)], "k int, wkt string").select("k", F.lit(0).alias("n"), from_wkt("wkt").alias("geometry"))
+    out = linear.cut_pieces(shapes, "k", "n", 12)
+    want = []
+    for k, row in enumerate(shapes.orderBy("k").collect()):
+        parts = [(p["dim"], [np.array([(v["x"], v["y"]) for v in r]) for r in p["rings"]]) for p in row["geometry"]["parts"]]
+        want += [(str(k), j, K.count_vertices(c), pytest.approx(K.parts_area(c))) for j, c in enumerate(K.halve_until(parts, 12) if parts else ())]
+    assert sorted(map(tuple, out.collect())) == want
+    assert "ArrowEvalPython" in out._jdf.queryExecution().executedPlan().toString()
