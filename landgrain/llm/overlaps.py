@@ -10,7 +10,7 @@ with each other.  A link of fingerprints counts only if the sets are similar.  P
 sketches, whose distance never exceeds the number of differing shingles, discard pairs
 inside the blocks: one folded to 512 bits and then one with two bits for every shingle.  A run
 first names the pairs of a forest over its components; those that hold join components, and
-all pairs that are still apart come after.  The shared
+if some do not hold, all pairs of the components they are between come after.  The shared
 shingles of the rest are counted, and the sets of these nodes alone are sent.
 
 Sets are compared by 64-bit hashes of their shingles, and a node is a 64-bit hash of a set.
@@ -138,7 +138,9 @@ def _frequent(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets have 4/5 of their union in common."""
+    """The pairs (u, v) whose sets have 4/5 of their union in common; `pairs` is cut."""
+    if pairs.isEmpty():
+        return pairs
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     # Written as Parquet, whose size is known when the join with the texts is planned.
     path = new_path(docs.sparkSession, "named")
@@ -198,11 +200,25 @@ def _allowed(pairs: DataFrame, infos: DataFrame) -> DataFrame:
     return cut(sized.join(u, "u").join(v, "v").select("u", "v", "met", "u_size", "u_sketch", "v_size", "v_sketch").mapInArrow(keep, "u long, v long, met long"))
 
 
-def _apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
-    """The pairs whose nodes the links do not join."""
-    roots = components(links)
-    u, v = (roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in "uv")
-    return cut(pairs.join(u, "u", "left").join(v, "v", "left").where("coalesce(u_root, u) <> coalesce(v_root, v)").select(*pairs.columns))
+def _rooted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs with u_root and v_root: the smallest nodes of their components."""
+    u, v = (roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_at")) for c in "uv")
+    at = [F.coalesce(f"{c}_at", c).alias(f"{c}_root") for c in "uv"]
+    return pairs.join(u, "u", "left").join(v, "v", "left").select(*pairs.columns, *at)
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs of two components, with u_root and v_root."""
+    return cut(_rooted(pairs, roots).where("u_root <> v_root"))
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, root) with further links: only the roots that they join are linked again."""
+    if links.isEmpty():
+        return roots
+    further = components(_rooted(links, roots).select(F.col("u_root").alias("u"), F.col("v_root").alias("v")))
+    moved = roots.join(further.select(F.col("node").alias("root"), F.col("root").alias("found")), "root", "left")
+    return cut(moved.select("node", F.coalesce("found", "root").alias("root")).unionByName(further))
 
 
 def _close(sketches: list[bytes], a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -316,11 +332,23 @@ def _fingerprint_links(infos: DataFrame) -> DataFrame:
     return equal.unionAll(simhash.links(prints)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 
 
-def _grouped(spread: DataFrame, infos: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, group, size, sketch) of the nodes in blocks; the group is the smallest node that the links reach."""
-    roots = components(links).withColumnRenamed("root", "found")
-    met = spread.select("node").distinct().join(infos.select("node", "size", "sketch"), "node").join(roots, "node", "left")
-    return cut(met.select("node", F.coalesce("found", "node").alias("group"), "size", "sketch"))
+def _grouped(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, group, size, sketch) of the nodes; the group is the smallest node of the component."""
+    found = roots.withColumnRenamed("root", "found")
+    return nodes.join(found, "node", "left").select("node", F.coalesce("found", "node").alias("group"), "size", "sketch")
+
+
+def _open(nodes: DataFrame, found: DataFrame, roots: DataFrame) -> DataFrame | None:
+    """The nodes, grouped by `roots`, of the groups that some pair of `found` is still between; None if there is none.
+
+    If a run that named a forest holds another pair of two groups, the forest leads from one to
+    the other, and its links that do not hold touch both groups.
+    """
+    apart = _apart(found, roots)
+    if apart.isEmpty():
+        return None
+    groups = apart.select(F.explode(F.array("u_root", "v_root")).alias("group")).distinct()
+    return cut(_grouped(nodes, roots).join(groups, "group", "left_semi").select("node", "group", "size", "sketch"))
 
 
 def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -346,16 +374,23 @@ def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     stars = _allowed(stars, infos)
     best = stars.groupBy("v").agg(F.max_by("u", F.struct("met", "u")).alias("u")).select("u", "v")
     first = _verified(cut(best.unionAll(_fingerprint_links(prints)).distinct()), docs, keys)
-    links = first.unionAll(_verified(_apart(stars, first).select("u", "v"), docs, keys))
-    for forest in (True, False):  # pairs that join components, then all pairs that are still apart
-        found = _candidates(spread.select("block", "node"), _grouped(spread, infos, links), forest)
-        links = links.unionAll(_verified(cut(found), docs, keys))
-    roots = components(links)
+    roots = components(first)
+    roots = _joined(roots, _verified(_apart(stars, roots).select("u", "v"), docs, keys))
+    spread = spread.select("block", "node")
+    nodes = cut(_grouped(spread.select("node").distinct().join(infos, "node"), roots))
+    found = cut(_candidates(spread, nodes, True))  # pairs that join components
+    roots = _joined(roots, _verified(found, docs, keys))
+    apart = _open(nodes, found, roots)
+    if apart is not None:  # all pairs of those that the found ones did not join
+        roots = _joined(roots, _verified(cut(_candidates(spread, apart)), docs, keys))
     named = cut(keys.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root")))
     return named.join(named.groupBy("root").agg(F.min("key").alias("component_id")), "root").select(F.col("key").alias(key), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents whose doc_id is the smallest of their component; rows without a doc_id stay."""
-    found = near_sets(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    found = near_sets(docs).groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("least"))
+    gone = cut(found.where("NOT least").select("doc_id"))  # fewer than those that stay, and the texts are not shuffled if they are sent
+    if gone.count() <= KEYS_SENT:
+        gone = F.broadcast(gone)
+    return docs.join(gone, "doc_id", "left_anti")
