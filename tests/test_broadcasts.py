@@ -40,3 +40,15 @@ def test_small_side_meets_on_cells(spark):
 
 def test_wildcard_lookup_has_each_rule_once(spark, sf_dir):
     assert physical(plans.QUERIES["J19_wildcard_match"](spark, sf_dir)).count("HashAggregate") >= 3
+
+
+@pytest.mark.parametrize("name", ["O16_allocate_by_priority"])
+def test_no_side_is_broadcast_however_small_the_files_look(spark, sf_dir, name):
+    """Even a threshold above every estimate leaves these joins sorted."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        plan = physical(plans.QUERIES[name](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
