@@ -42,7 +42,7 @@ def test_wildcard_lookup_has_each_rule_once(spark, sf_dir):
     assert physical(plans.QUERIES["J19_wildcard_match"](spark, sf_dir)).count("HashAggregate") >= 3
 
 
-@pytest.mark.parametrize("name", ["O16_allocate_by_priority", "O3_boundary_hedges", "O7_boundary_merger"])
+@pytest.mark.parametrize("name", ["O16_allocate_by_priority", "O3_boundary_hedges", "O7_boundary_merger", "O7_boundary_merger_90p12m"])
 def test_no_side_is_broadcast_however_small_the_files_look(spark, sf_dir, name):
     """Even a threshold above every estimate leaves these joins sorted."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
