@@ -11,7 +11,8 @@ envelope boxes, and every two are at most as far apart as the corners of the poi
 boxes.  The smallest far bound that covers k right rows limits the k-th distance of
 all rows of a left node, and right nodes beyond it are dropped.  Both pyramids are
 descended together from the root, one checkpointed job per level, so an isolated row
-costs a few nodes per level and never meets the right side as a whole.
+costs a few nodes per level and never meets the right side as a whole.  The last step
+takes single left rows for nodes, and what they still meet is dealt out by its count.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ from landgrain.operators.spatial_join import durable
 
 LEAF_ROWS = 16
 """Right rows of a leaf on average; cells get smaller while one of them has CROWD rows."""
-CROWD = 256
+CROWD = 64
 REFINEMENTS = 8
+MET_ROWS = 250_000
+"""Pairs of rows of a task on average."""
 SLACK = 1 + 1e-9
 """Far bounds are widened by this factor, so rounding drops no pair."""
 
@@ -89,8 +92,8 @@ def _nodes(leaves: DataFrame, level: int, side: str) -> DataFrame:
     return parents.select([F.col(c).alias(side + c) for c in parents.columns])
 
 
-def _bounded(pairs: DataFrame, k: int) -> DataFrame:
-    """Pairs of nodes that can hold one of the k nearest rows, with the bound of the left node."""
+def _bounded(pairs: DataFrame, k: int, key=("l__c", "l__x", "l__y"), keep=()) -> DataFrame:
+    """Pairs of nodes that can hold one of the k nearest rows, with the bound of the left node, which `key` names."""
 
     def gap(axis: str) -> Column:
         a, b = f"l_e{axis}", f"r_e{axis}"
@@ -100,12 +103,12 @@ def _bounded(pairs: DataFrame, k: int) -> DataFrame:
         a, b = f"l_p{axis}", f"r_p{axis}"
         return F.greatest(F.col(a + "1") - F.col(b + "0"), F.col(b + "1") - F.col(a + "0"))
 
-    own = W.partitionBy(*["l_" + c for c in NODE])
+    own = W.partitionBy(*key)
     near, far = F.hypot(gap("x"), gap("y")), F.hypot(reach("x"), reach("y")) * SLACK
-    pairs = pairs.select(*["l_" + c for c in NODE], *["r_" + c for c in NODE], F.col("r_n"), near.alias("_near"), far.alias("_far"))
+    pairs = pairs.select(*key, *["r_" + c for c in NODE], *keep, F.col("r_n"), near.alias("_near"), far.alias("_far"))
     pairs = pairs.withColumn("_sum", F.sum("r_n").over(own.orderBy("_far").rowsBetween(W.unboundedPreceding, W.currentRow)))
     bound = F.coalesce(F.min(F.when(F.col("_sum") >= k, F.col("_far"))).over(own), F.lit(float("inf")))
-    return pairs.withColumn("_bound", bound).where(F.col("_near") <= F.col("_bound")).drop("r_n", "_near", "_far", "_sum")
+    return pairs.withColumn("_bound", bound).where(F.col("_near") <= F.col("_bound")).drop("_near", "_far", "_sum", *({"r_n"} - set(keep)))
 
 
 def _descend(left: DataFrame, right: DataFrame, top: int, k: int) -> DataFrame:
@@ -122,6 +125,17 @@ def _descend(left: DataFrame, right: DataFrame, top: int, k: int) -> DataFrame:
     return pairs
 
 
+def _rows_in_nodes(leaves: DataFrame, rows: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """Left rows with the right leaves that can hold one of their k nearest: (l__row, l_ex0 to l_py1, r__c, r__x, r__y, r_n, _bound)."""
+    g = F.col("geometry")
+    sides = {"l_ex0": g["xmin"], "l_ey0": g["ymin"], "l_ex1": g["xmax"], "l_ey1": g["ymax"]}
+    spots = {f"l_p{c}{n}": F.col("_p" + c) for c in "xy" for n in (0, 1)}
+    one = rows.select(F.col("_row").alias("l__row"), *[F.col(c).alias("l_" + c) for c in NODE], *[e.alias(c) for c, e in (sides | spots).items()])
+    b = nodes.select([F.col(c).alias("r_" + c) for c in nodes.columns])
+    met = leaves.drop("_bound").join(one, ["l_" + c for c in NODE]).join(b, ["r_" + c for c in NODE])
+    return _bounded(met, k, ["l__row"], [*sides, *spots, "r_n"])
+
+
 def knn_nearest(left: DataFrame, right: DataFrame, id_left: str, id_right: str, k: int = 1) -> DataFrame:
     """The k nearest right rows of every left row: (id_left, id_right, distance, rank).
 
@@ -143,20 +157,21 @@ def knn_nearest(left: DataFrame, right: DataFrame, id_left: str, id_right: str,
         top += 1
     leaf = wide / 4**top * SLACK
     lf, rt = _in_leaves(lf, x0, y0, leaf, top), _in_leaves(rt, x0, y0, leaf, top)
-    leaves = _descend(durable(_leaf_nodes(lf)), durable(_leaf_nodes(rt)), top, k)
+    nodes = durable(_leaf_nodes(rt))
+    rows = durable(_rows_in_nodes(_descend(durable(_leaf_nodes(lf)), nodes, top, k), lf, nodes, k))
+    held = rows.agg(F.sum("r_n")).first()[0] or 0
+    tasks = max(left.sparkSession.sparkContext.defaultParallelism, -(-held // MET_ROWS))
 
     # on envelopes and points alone: the k-th far bound of each left row leaves a few pairs for the exact distance
-    slim = ["_row", "_px", "_py", *[F.col(f"geometry.{c}").alias("_" + c) for c in ("xmin", "ymin", "xmax", "ymax")], *NODE]
-    a, b = lf.select(*slim), rt.select(*slim)
-    a, b = a.select([F.col(c).alias("l_" + c) for c in a.columns]), b.select([F.col(c).alias("r_" + c) for c in b.columns])
-    met = leaves.join(b, ["r_" + c for c in NODE]).join(a, ["l_" + c for c in NODE])
+    b = rt.select(F.col("_row").alias("r__row"), "_px", "_py", *[F.col(f"geometry.{c}").alias(c) for c in ("xmin", "ymin", "xmax", "ymax")], *[F.col(c).alias("r_" + c) for c in NODE])
+    met = rows.repartition(tasks).join(b, ["r_" + c for c in NODE])
 
     def gap(axis: str) -> Column:
-        return F.greatest(F.col(f"l__{axis}min") - F.col(f"r__{axis}max"), F.col(f"r__{axis}min") - F.col(f"l__{axis}max"), F.lit(0.0))
+        return F.greatest(F.col(f"l_e{axis}0") - F.col(f"{axis}max"), F.col(f"{axis}min") - F.col(f"l_e{axis}1"), F.lit(0.0))
 
-    met = met.select("l__row", "r__row", "_bound", F.hypot(gap("x"), gap("y")).alias("_near"), (F.hypot(F.col("l__px") - F.col("r__px"), F.col("l__py") - F.col("r__py")) * SLACK).alias("_far"))
+    met = met.select("l__row", "r__row", "_bound", F.hypot(gap("x"), gap("y")).alias("_near"), (F.hypot(F.col("l_px0") - F.col("_px"), F.col("l_py0") - F.col("_py")) * SLACK).alias("_far"))
     own = W.partitionBy("l__row").orderBy("_far")
-    met = met.where(F.col("_near") <= F.col("_bound")).withColumn("_nth", F.row_number().over(own))
+    met = met.where(F.col("_near") <= F.col("_bound")).repartition(tasks, "l__row").withColumn("_nth", F.row_number().over(own))
     bound = F.coalesce(F.min(F.when(F.col("_nth") == k, F.col("_far"))).over(W.partitionBy("l__row")), F.lit(float("inf")))
     few = met.withColumn("_bound", bound).where(F.col("_near") <= F.col("_bound")).select("l__row", "r__row")
 

@@ -72,3 +72,25 @@ def test_fill_over_half_a_raster(spark, fine):
     known = [(r, c, v) for c, r, v in cells if v is not None]
     want = {(c, r): v if v is not None else min(((c - kc) ** 2 + (r - kr) ** 2, kr, kc, kv) for kr, kc, kv in known)[3] for c, r, v in cells}
     assert got == want
+
+
+def test_rows_of_a_leaf_meet_their_own_neighbours(spark, monkeypatch):
+    """3,600 left rows beside a lattice: a left row meets the leaves near it, not all that its leaf needs, in tasks of few pairs."""
+    right = spark.range(2_500).select(F.col("id").alias("b"), G.point(F.col("id") % 50 * 10, F.floor(F.col("id") / 50) * 10).alias("geometry"))
+    left = spark.range(3_600).select(F.col("id").alias("a"), G.point(F.col("id") % 60 * 8 + 1, F.floor(F.col("id") / 60) * 8 + 1).alias("geometry"))
+    rows, met = nearest._rows_in_nodes, []
+
+    def seen(leaves, lf, nodes, k):
+        out = rows(leaves, lf, nodes, k)
+        every = leaves.join(lf.withColumnsRenamed({c: "l_" + c for c in nearest.NODE}), ["l_" + c for c in nearest.NODE])
+        every = every.join(nodes.withColumnsRenamed({c: "r_" + c for c in nodes.columns}), ["r_" + c for c in nearest.NODE])
+        met.append((every.agg(F.sum("r_n")).first()[0], out.agg(F.sum("r_n")).first()[0]))
+        return out
+
+    monkeypatch.setattr(nearest, "_rows_in_nodes", seen)
+    monkeypatch.setattr(nearest, "MET_ROWS", 10_000)
+    got = nearest.knn_nearest(left, right, "a", "b", 1).collect()
+    want = {y * 60 + x: min((x * 8 + 1 - c * 10) ** 2 for c in range(50)) + min((y * 8 + 1 - c * 10) ** 2 for c in range(50)) for x in range(60) for y in range(60)}
+    assert {r.a: round(r.distance**2) for r in got} == want
+    (before, after), = met
+    assert after < 0.6 * before and after < 100 * 3_600
