@@ -5,6 +5,7 @@ the edge's parameter, because the distance to a segment is convex along a
 line.  Its ends have a closed form, so every step up to the final sum is column
 arithmetic; only the inside of a polygon that is not a box asks a kernel.
 
+A pair of edges meets in one grid cell, since its interval does not depend on the cell.
 Intervals of one edge are merged twice: inside the grid cell where the join
 found them, which bounds each merge by the cell, and then over cells.
 """
@@ -305,7 +306,7 @@ def buffer_spans(
     feat_cols = list(dict.fromkeys([*columns, *([ex_feat] if ex_feat else [])]))
     whole = features.select(*feat_cols, "geometry")
     shapes = not only_boxes(whole.where(F.exists(F.col("geometry")["parts"], lambda p: p["dim"] == 2)))
-    pairs = candidates(left, _feature_edges(whole.dropDuplicates(), feat_cols, shapes), grid, far, once=False, bound=_feature_edges(whole, feat_cols))
+    pairs = candidates(left, _feature_edges(whole.dropDuplicates(), feat_cols, shapes), grid, far, once=True, bound=_feature_edges(whole, feat_cols))
     if exclude:
         pairs = pairs.where(F.col("_own") != F.col(ex_feat))
     gl, gr = F.col("geometry_left"), F.col("geometry_right")

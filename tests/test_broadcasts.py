@@ -52,3 +52,16 @@ def test_no_side_is_broadcast_however_small_the_files_look(spark, sf_dir, name):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
+def test_a_pair_of_edges_meets_in_one_cell(spark, sf_dir, monkeypatch):
+    from landgrain.operators import linear
+    from landgrain.plans import fixtures
+
+    met, found = [], linear.candidates
+    monkeypatch.setattr(linear, "candidates", lambda *a, **kw: met.append(found(*a, **kw)) or met[-1])
+    parcels = fixtures.layer(spark, sf_dir, "parcels").select("id_parcel", "geometry").limit(300)
+    segments = fixtures.segments(spark, sf_dir).join(parcels.select("id_parcel"), "id_parcel")
+    linear.boundary_adjacency(parcels, segments, [2, 12], grid=fixtures.CELL)
+    pairs = met[0].selectExpr("_seg", "_edge", "id_parcel_right", "_area", "_fx0", "_fy0", "_fx1", "_fy1")
+    assert pairs.count() == pairs.distinct().count() > 1000
