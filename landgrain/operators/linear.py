@@ -6,8 +6,10 @@ line.  Its ends have a closed form, so every step up to the final sum is column
 arithmetic; only the inside of a polygon that is not a box asks a kernel.
 
 A pair of edges meets in one grid cell, since its interval does not depend on the cell.
-Intervals of one edge are merged twice: inside the grid cell where the join
-found them, which bounds each merge by the cell, and then over cells.
+Where every feature equals its envelope, a pair of an edge and a feature has one
+interval, found from whole Arrow batches.  Otherwise features are met edge by edge, and
+the intervals of an edge are merged inside the grid cell where the join found them, which
+bounds each merge by the cell.  Then intervals are merged over cells, dealt out by segment.
 """
 
 from __future__ import annotations
@@ -183,6 +185,69 @@ def _box_interval(pairs: DataFrame, g: Column) -> DataFrame:
     )
 
 
+NEAR_TYPE = T.ArrayType(T.StructType([T.StructField(n, T.DoubleType()) for n in ("buffer", "t0", "t1")]))
+
+
+def _inside_band(at, step, low, high) -> tuple[np.ndarray, np.ndarray]:
+    """Interval of t where low <= at + t * step <= high; inf to -inf where there is none."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        a, b = (low - at) / step, (high - at) / step
+    always = (low <= at) & (at <= high)
+    first = np.where(step != 0, np.minimum(a, b), np.where(always, -np.inf, np.inf))
+    return first, np.where(step != 0, np.maximum(a, b), np.where(always, np.inf, -np.inf))
+
+
+def _near_box(line: np.ndarray, box: np.ndarray, b: float) -> tuple[np.ndarray, np.ndarray]:
+    """The part of t in [0, 1] of every line within b of its box, first > last where there is none.
+
+    What is near a box is the box grown along either axis and a disc at every corner;
+    together they are convex, so the interval is the hull of the six.
+    """
+    x, y, dx, dy = line[0], line[1], line[2] - line[0], line[3] - line[1]
+    lows, highs = [], []
+    for gx, gy in ((b, 0.0), (0.0, b)):
+        x0, x1 = _inside_band(x, dx, box[0] - gx, box[2] + gx)
+        y0, y1 = _inside_band(y, dy, box[1] - gy, box[3] + gy)
+        low, high = np.maximum(x0, y0), np.minimum(x1, y1)
+        lows.append(np.where(low <= high, low, np.inf))
+        highs.append(np.where(low <= high, high, -np.inf))
+    square = dx * dx + dy * dy
+    for cx, cy in ((0, 1), (0, 3), (2, 1), (2, 3)):
+        px, py = x - box[cx], y - box[cy]
+        along = dx * px + dy * py
+        under = along * along - square * (px * px + py * py - b * b)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            root = np.sqrt(under)
+            low, high = (-along - root) / square, (-along + root) / square
+        ok = (under >= 0) & (square > 0)
+        lows.append(np.where(ok, low, np.inf))
+        highs.append(np.where(ok, high, -np.inf))
+    return np.maximum(np.minimum.reduce(lows), 0.0), np.minimum(np.maximum.reduce(highs), 1.0)
+
+
+def _box_spans(buffers: list[float]):
+    @F.arrow_udf(returnType=NEAR_TYPE)
+    def run(
+        sx0: pa.Array, sy0: pa.Array, sx1: pa.Array, sy1: pa.Array, xmin: pa.Array, ymin: pa.Array, xmax: pa.Array, ymax: pa.Array, poly: pa.Array
+    ) -> pa.Array:
+        """Intervals (buffer, t0, t1) of every edge near its box; boxes without area have no inside."""
+        line, box = ([c.to_numpy(zero_copy_only=False).astype(float) for c in cs] for cs in ((sx0, sy0, sx1, sy1), (xmin, ymin, xmax, ymax)))
+        areal = np.asarray(poly.to_numpy(zero_copy_only=False), bool)
+        rows, found = [], []
+        for b in buffers:
+            first, last = _near_box(line, box, b)
+            some = np.flatnonzero((last > first) & (areal | (b > 0)))
+            rows.append(some)
+            found.append(np.column_stack([np.full(len(some), float(b)), first[some], last[some]]))
+        row, values = np.concatenate(rows), np.concatenate(found)
+        order = np.argsort(row, kind="stable")
+        ends = np.searchsorted(row[order], np.arange(len(areal) + 1)).astype(np.int32)
+        columns = [pa.array(np.ascontiguousarray(values[order, k])) for k in range(3)]
+        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, names=["buffer", "t0", "t1"]))
+
+    return run
+
+
 SIZES_TYPE = T.StructType([T.StructField("vertices", T.ArrayType(T.IntegerType())), T.StructField("areas", T.ArrayType(T.DoubleType()))])
 
 
@@ -257,13 +322,20 @@ def merge_spans(spans: DataFrame, keys: list[str]) -> DataFrame:
     return isles.groupBy(*keys, "_isle").agg(F.min("t0").alias("t0"), F.max("t1").alias("t1")).drop("_isle")
 
 
+def _bounds(x0, y0, x1, y1) -> Column:
+    """A geometry of which only the envelope is needed."""
+    low, high = [F.least(x0, x1), F.least(y0, y1)], [F.greatest(x0, x1), F.greatest(y0, y1)]
+    ends = dict(zip(("xmin", "ymin", "xmax", "ymax"), [*low, *high]))
+    return F.struct(F.lit(None).cast(G.PARTS).alias("parts"), *[v.alias(k) for k, v in ends.items()], F.lit(True).alias("boxy"))
+
+
 def _feature_edges(feats: DataFrame, cols: list[str], cut: bool = False) -> DataFrame:
     """Every edge of the features as a row, and every polygon once more as a whole, or in pieces of few vertices."""
     outline = dump_edges(feats).select(
         *cols,
         (F.col("dim") == 2).alias("_poly"),
         F.lit(False).alias("_area"),
-        G.segment("x0", "y0", "x1", "y1").alias("geometry"),
+        _bounds("x0", "y0", "x1", "y1").alias("geometry"),
         *[F.col(c).alias(f"_f{c}") for c in ("x0", "y0", "x1", "y1")],
     )
     polygons = feats.where(F.exists(F.col("geometry")["parts"], lambda p: p["dim"] == 2)).select(
@@ -276,6 +348,41 @@ def _feature_edges(feats: DataFrame, cols: list[str], cut: bool = False) -> Data
     return outline.unionAll(polygons)
 
 
+def _feature_boxes(feats: DataFrame, cols: list[str]) -> DataFrame:
+    """Features that equal their envelopes, a row each, with the columns of _feature_edges."""
+    g = F.col("geometry")
+    return feats.select(
+        *cols,
+        F.exists(g["parts"], lambda p: p["dim"] == 2).alias("_poly"),
+        F.lit(True).alias("_area"),
+        _bounds(g["xmin"], g["ymin"], g["xmax"], g["ymax"]).alias("geometry"),
+        *[F.lit(None).cast("double").alias(f"_f{c}") for c in ("x0", "y0", "x1", "y1")],
+    )
+
+
+def _spans_of_edges(pairs: DataFrame, kept: list[str], buffers: list[float], g: Column, shapes: bool) -> DataFrame:
+    """Intervals of the pairs of segment edges with feature edges and polygons; `shapes` says that some polygon is no box."""
+    shaped = F.col("_area") & ~g["boxy"]
+    spread = _measure_pairs(pairs).withColumn("run", F.sqrt("_aa"))
+    # a pair farther apart than a buffer has no interval there; the inside of a polygon does not depend on the buffer
+    wanted = F.filter(
+        F.array(*[F.lit(float(b)) for b in buffers]),
+        lambda b: (b >= F.col("_reach")) & ((b > 0) | F.col("_poly")) & (~F.col("_area") | (F.col("_reach") == 0)),
+    )
+    boxed = _box_interval(_near_interval(spread.withColumn("buffer", F.explode(wanted))), g)
+    kept = [*kept, "run", "buffer"]
+    # an edge beside the segment has no interval; greatest and least would read its null as all of it
+    low = F.when(F.col("_lo").isNotNull(), F.greatest("_lo", F.lit(0.0)))
+    high = F.when(F.col("_hi").isNotNull(), F.least("_hi", F.lit(1.0)))
+    closed = F.array(F.struct(low.alias("t0"), high.alias("t1")))
+    if shapes:
+        hard = _shape_spans(*[F.col(f"_s{c}") for c in ("x0", "y0", "x1", "y1")], F.when(shaped, g["parts"]))
+        spans = boxed.withColumn("_hard", hard).select(*kept, F.inline(F.when(shaped, F.col("_hard")).otherwise(closed)))
+    else:
+        spans = boxed.select(*kept, low.alias("t0"), high.alias("t1"))
+    return spans.where(F.col("t1") > F.col("t0"))
+
+
 def buffer_spans(
     segments: DataFrame,
     features: DataFrame,
@@ -284,12 +391,14 @@ def buffer_spans(
     segment_key: str = "id_boundary",
     grid: Grid = Grid(),
     exclude: tuple[str, str] | None = None,
+    deal: list[str] = (),
 ) -> DataFrame:
     """Disjoint intervals (segment, edge, *columns, buffer, t0, t1, run) of boundary within each buffer.
 
     At buffer 0 only polygons count: a line or point has no area to lie in.
     `exclude` names a segment and a feature column whose equal values do not
-    match (a parcel's own outline).
+    match (a parcel's own outline).  The rows come dealt out by the segment and
+    the columns `deal`, so what follows by these is not shuffled again.
     """
     columns = list(columns)
     ex_seg, ex_feat = exclude or (None, None)
@@ -300,39 +409,31 @@ def buffer_spans(
         F.col(segment_key).alias("_seg"),
         *([F.col(ex_seg).alias("_own")] if ex_seg else []),
         F.struct("part", "ring", "pos").alias("_edge"),
-        G.segment("x0", "y0", "x1", "y1").alias("geometry"),
+        _bounds("x0", "y0", "x1", "y1").alias("geometry"),
         *[F.col(c).alias(f"_s{c}") for c in ("x0", "y0", "x1", "y1")],
     )
     feat_cols = list(dict.fromkeys([*columns, *([ex_feat] if ex_feat else [])]))
     whole = features.select(*feat_cols, "geometry")
-    shapes = not only_boxes(whole.where(F.exists(F.col("geometry")["parts"], lambda p: p["dim"] == 2)))
-    pairs = candidates(left, _feature_edges(whole.dropDuplicates(), feat_cols, shapes), grid, far, once=True, bound=_feature_edges(whole, feat_cols))
+    boxes = only_boxes(whole)
+    shapes = not boxes and not only_boxes(whole.where(F.exists(F.col("geometry")["parts"], lambda p: p["dim"] == 2)))
+    right = _feature_boxes(whole, feat_cols) if boxes else _feature_edges(whole, feat_cols, shapes)
+    pairs = candidates(left, right, grid, far, once=True, copies=True)
     if exclude:
         pairs = pairs.where(F.col("_own") != F.col(ex_feat))
     gl, gr = F.col("geometry_left"), F.col("geometry_right")
-    shaped = F.col("_area") & ~gr["boxy"]
     pairs = pairs.withColumn("_reach", G.envelope_distance(gl, gr)).where(F.col("_reach") <= far)
-    spread = _measure_pairs(pairs).withColumn("run", F.sqrt("_aa"))
-    # a pair farther apart than a buffer has no interval there; the inside of a polygon does not depend on the buffer
-    wanted = F.filter(
-        F.array(*[F.lit(float(b)) for b in buffers]),
-        lambda b: (b >= F.col("_reach")) & ((b > 0) | F.col("_poly")) & (~F.col("_area") | (F.col("_reach") == 0)),
-    )
-    boxed = _box_interval(_near_interval(spread.withColumn("buffer", F.explode(wanted))), gr)
-    kept = [*KEY, "_seg", "_edge", *columns, "buffer", "run"]
-    # an edge beside the segment has no interval; greatest and least would read its null as all of it
-    low = F.when(F.col("_lo").isNotNull(), F.greatest("_lo", F.lit(0.0)))
-    high = F.when(F.col("_hi").isNotNull(), F.least("_hi", F.lit(1.0)))
-    closed = F.array(F.struct(low.alias("t0"), high.alias("t1")))
-    if shapes:
-        hard = _shape_spans(*[F.col(f"_s{c}") for c in ("x0", "y0", "x1", "y1")], F.when(shaped, gr["parts"]))
-        spans = boxed.withColumn("_hard", hard).select(*kept, F.inline(F.when(shaped, F.col("_hard")).otherwise(closed)))
+    kept = [*KEY, "_seg", "_edge", *columns]
+    if boxes:
+        near = _box_spans([float(b) for b in buffers])(*[F.col(f"_s{c}") for c in ("x0", "y0", "x1", "y1")], *[gr[c] for c in ("xmin", "ymin", "xmax", "ymax")], F.col("_poly"))
+        dx, dy = F.col("_sx1") - F.col("_sx0"), F.col("_sy1") - F.col("_sy0")
+        spans = pairs.select(*kept, F.sqrt(dx * dx + dy * dy).alias("run"), F.inline(near))
     else:
-        spans = boxed.select(*kept, low.alias("t0"), high.alias("t1"))
-    spans = spans.where(F.col("t1") > F.col("t0"))
+        spans = _spans_of_edges(pairs, kept, buffers, gr, shapes)
     keys = ["_seg", "_edge", "run", *columns, "buffer"]
-    local = merge_spans(spans, [*KEY, *keys])
-    return merge_spans(local.select(*keys, "t0", "t1"), keys).withColumnRenamed("_seg", segment_key)
+    if not boxes:  # a feature makes many intervals of an edge; a box makes one, and merging it by cells would cost two shuffles
+        spans = merge_spans(spans, [*KEY, *keys])
+    dealt = spans.select(*keys, "t0", "t1").repartition("_seg", *deal)
+    return merge_spans(dealt, keys).withColumnRenamed("_seg", segment_key)
 
 
 def boundary_proportion(
@@ -353,7 +454,7 @@ def boundary_proportion(
     segments with something near.
     """
     columns = list(columns)
-    spans = buffer_spans(segments, features, columns, buffers, segment_key, grid, exclude)
+    spans = buffer_spans(segments, features, columns, buffers, segment_key, grid, exclude, deal=columns if parcels is not None else [])
     covered = spans.groupBy(segment_key, *columns).agg(
         *[
             F.coalesce(F.sum(F.when(F.col("buffer") == float(b), (F.col("t1") - F.col("t0")) * F.col("run"))), F.lit(0.0)).alias(f"_m{b:g}")
