@@ -54,3 +54,4 @@ def test_intervals_are_shuffled_once(spark, sf_dir):
     """The spans of an edge go from the cells to their segments, and stay there."""
     assert shuffles(spark, sf_dir, "O3_boundary_adjacency") <= 9
     assert shuffles(spark, sf_dir, "O7_boundary_merger") <= 10
+    assert shuffles(spark, sf_dir, "O7_boundary_merger_90p12m") <= 10
