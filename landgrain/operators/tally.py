@@ -40,7 +40,8 @@ def nearest_segment_counts(
     drop_empty leaves out buffer columns that are zero throughout.
     """
     feats = _snapped(features, feature_key, snap)
-    near = sjoin(segments.select(segment_key, key, "m", "geometry"), feats, float(max(buffers)), grid, distance_col="_d", **kw)
+    # the left side is listed with the distance around it, so the segments, which are many, are the right side
+    near = sjoin(feats, segments.select(segment_key, key, "m", "geometry"), float(max(buffers)), grid, distance_col="_d", **kw)
     # one parcel's segments around one feature: a handful of rows per window
     order = W.partitionBy(key, "_fid").orderBy("_d", segment_key)
     ranked = near.select(segment_key, key, "m", "_fid", "_d").withColumn("_rank", F.row_number().over(order))
@@ -70,7 +71,7 @@ def interior_counts(
     """Point features of a parcel that are not closer than b to any of its own segments."""
     feats = _snapped(features, feature_key, snap)
     within = sjoin(parcels.select(key, "geometry"), feats, 0.0, grid, **kw).select(key, "_fid")
-    near = sjoin(segments.select(key, "geometry"), feats, float(max(buffers)), grid, distance_col="_d", **kw)
+    near = sjoin(feats, segments.select(key, "geometry"), float(max(buffers)), grid, distance_col="_d", **kw)
     rim = near.groupBy(key, "_fid").agg(F.min("_d").alias("_d"))
     measured = within.join(unbroadcast(rim), [key, "_fid"], "left").withColumn("_d", F.coalesce("_d", F.lit(float("inf"))))
     free = {b: F.col("_d") >= float(b) for b in buffers}

@@ -55,3 +55,16 @@ def test_intervals_are_shuffled_once(spark, sf_dir):
     assert shuffles(spark, sf_dir, "O3_boundary_adjacency") <= 9
     assert shuffles(spark, sf_dir, "O7_boundary_merger") <= 10
     assert shuffles(spark, sf_dir, "O7_boundary_merger_90p12m") <= 10
+
+
+def test_trees_are_listed_around_the_segments(spark, monkeypatch):
+    """The many segments are the side that is listed without the distance."""
+    from landgrain.operators import tally
+
+    sides, join = [], tally.sjoin
+    monkeypatch.setattr(tally, "sjoin", lambda left, right, *a, **kw: sides.append(left.columns) or join(left, right, *a, **kw))
+    lines, feats = layers(spark)
+    trees = spark.range(30).selectExpr("id AS fid", f"{G.point_sql('id * 6', 'id')} AS geometry")
+    named = lines.selectExpr("id_boundary", "own AS id_parcel", "1.0D AS m", "geometry")
+    out = tally.nearest_segment_counts(named, trees, "fid", [2, 24], grid=SJ.Grid(25.0))
+    assert sides == [["_fid", "geometry"]] and out.agg(F.sum("count_24m")).first()[0] > 30
