@@ -68,3 +68,15 @@ def test_trees_are_listed_around_the_segments(spark, monkeypatch):
     named = lines.selectExpr("id_boundary", "own AS id_parcel", "1.0D AS m", "geometry")
     out = tally.nearest_segment_counts(named, trees, "fid", [2, 24], grid=SJ.Grid(25.0))
     assert sides == [["_fid", "geometry"]] and out.agg(F.sum("count_24m")).first()[0] > 30
+
+
+def test_features_of_parcels_are_not_shuffled_to_drop_copies(spark, monkeypatch):
+    """O1 drops copies where a cell's rows meet, and a box by itself needs no kernel."""
+    from landgrain.operators import overlap
+
+    seen, join = [], overlap.sjoin
+    monkeypatch.setattr(overlap, "sjoin", lambda *a, **kw: seen.append(kw.get("copies")) or join(*a, **kw))
+    parcels = spark.range(1).select(F.lit("a").alias("id_parcel"), G.rectangle(F.lit(0), F.lit(0), F.lit(9), F.lit(9)).alias("geometry"))
+    feats = spark.range(3).select(F.lit("x").alias("class"), G.rectangle(F.lit(2), F.lit(3), F.lit(6), F.lit(8)).alias("geometry"))
+    got = overlap.join_parcels(parcels, feats, ["class"], grid=SJ.Grid(50.0)).select(G.area("geometry_right").alias("a")).collect()
+    assert seen == [True] and [r.a for r in got] == [20.0]
